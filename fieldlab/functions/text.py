@@ -75,9 +75,14 @@ STOP_WORDS = (
 ).split()
 
 
+def strip(c: Column | str) -> Column:
+    """Text without white space (line breaks included) at either end."""
+    return F.btrim(as_column(c), F.lit(" \t\r\n\f\v"))
+
+
 def tidy(c: Column | str) -> Column:
-    """Trimmed lower-case text."""
-    return F.trim(F.lower(as_column(c)))
+    """Stripped lower-case text."""
+    return strip(F.lower(as_column(c)))
 
 
 def replace_in_order(c: Column | str, rules: list[tuple[str, str]]) -> Column:
@@ -153,14 +158,14 @@ def repaired(c: Column | str, wrong: str, right: str) -> Column:
 
 def fragments(c: Column | str, separator: str = r"\.") -> Column:
     """Array of trimmed, non-blank fragments between separators."""
-    parts = F.transform(F.split(as_column(c), separator), F.trim)
+    parts = F.transform(F.split(as_column(c), separator), lambda p: strip(p))
     return F.filter(parts, lambda p: p != "")
 
 
 def tidy_activity(c: Column | str) -> Column:
     """Doubled full stops become one, leading stops go, outer blanks are trimmed."""
     rules = [(r"\.( ?\.)+", "."), (r"^[. ]+", "")]
-    return F.trim(replace_in_order(c, rules))
+    return strip(replace_in_order(c, rules))
 
 
 def or_label(c: Column | str, label: str = "NA") -> Column:

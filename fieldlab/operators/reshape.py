@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldlab.functions.numbers import as_column
+from fieldlab.functions.text import strip
 
 
 def to_long(
@@ -57,7 +58,7 @@ def chosen_tables(matrix: DataFrame, display_name: str, id_column: str = "TableN
 def split_rows(df: DataFrame, column: str, separator: str = ",") -> DataFrame:
     """One row per non-blank, trimmed part of a delimited cell."""
     parts = F.explode(F.split(F.col(column), separator))
-    return df.withColumn(column, parts).withColumn(column, F.trim(column)).filter(F.col(column) != "")
+    return df.withColumn(column, parts).withColumn(column, strip(column)).filter(F.col(column) != "")
 
 
 def split_columns(df: DataFrame, column: str, separator: str, into: Sequence[str]) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 from collections import defaultdict
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,12 +25,16 @@ def file_headers(spark: SparkSession, root: str, glob: str = "*.csv") -> list[tu
     """(file, header line) of every matching file under ``root``, editor lock files left out."""
     lines = (
         spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(root)
-        .select("value", F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("start"))
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("line"),
+        )
         .filter("start = 0")
     )
     # Within a split ids rise with the line, so the smallest id of the first split is the header.
-    first = lines.groupBy("file").agg(F.min_by("value", F.monotonically_increasing_id()).alias("header"))
+    first = lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
     return [(r.file, r.header) for r in first.collect() if not _is_lock(r.file)]
 
 
@@ -66,15 +71,14 @@ def scan_delimited(
 def scan_forms(
     spark: SparkSession, root: str, glob: str = "*.csv", repeats: tuple[str, ...] = ("c", "r")
 ) -> dict[str, DataFrame]:
-    """Landed workbooks, one folder per workbook and one text file per sheet, stacked by sheet.
+    """Landed workbooks, stacked by sheet: ``root/<workbook>/<sheet>/<text files>``.
 
     Returns one table per sheet name found in any workbook, with the workbook as ``_form``.
     """
     by_sheet: dict[str, list[tuple[str, str]]] = defaultdict(list)
     for path, header in file_headers(spark, root, glob):
-        sheet = path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
-        by_sheet[sheet.replace("%20", " ")].append((path, header))
-    form = F.element_at(F.split("_file", "/"), -2)
+        by_sheet[unquote(path.split("/")[-2])].append((path, header))
+    form = F.url_decode(F.element_at(F.split("_file", "/"), -3))
     return {
         sheet: scan_delimited(spark, root, glob, repeats, files).withColumn("_form", form)
         for sheet, files in sorted(by_sheet.items())

@@ -114,6 +114,10 @@ def labelled_value(cells: DataFrame, label: str, across: int, into: str) -> Data
     return found.select("file", "sheet", F.col("text").alias(into))
 
 
+def _reads(name: str):
+    return lambda col, text: text == name
+
+
 def form_record(
     cells: DataFrame, label_rows: tuple[int, int], labels: list[str], response_row: int,
     responses: list[str], comment_rows: tuple[int, int],
@@ -146,7 +150,7 @@ def form_record(
     record = line.groupBy("file", "sheet").agg(*pairs, heads, values, notes.alias("_notes"))
     answer = {}
     for name in responses:
-        at = F.map_keys(F.map_filter("_heads", lambda k, v, name=name: v == name))
+        at = F.map_keys(F.map_filter("_heads", _reads(name)))
         answer[name] = F.try_element_at("_answers", F.try_element_at(at, F.lit(1)))
     comment = F.array_join(F.transform("_notes", lambda n: n["_comment"]), " ")
     return record.withColumns({**answer, "comments": comment}).drop("_heads", "_answers", "_notes")
