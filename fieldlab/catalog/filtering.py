@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fieldlab.catalog.registry import query
+from fieldlab.catalog.registry import BLANKS, query
 from fieldlab.functions.text import fragments
 from fieldlab.operators import aggregates, filters
 from fieldlab.operators.skew import sort_columns
@@ -106,9 +106,9 @@ def not_both_zero(t):
     return zeros.filter(~((F.col("a0") == 0) & (F.col("b0") == 0)))
 
 
-@query("f12_no_blank_parts", """
+@query("f12_no_blank_parts", f"""
 SELECT doc_id, count(*) AS parts FROM (
-  SELECT doc_id, trim(unnest(string_split(text, '.')), E' \t\r\n\f\v') AS part FROM documents) WHERE part <> '' GROUP BY 1""")
+  SELECT doc_id, trim(unnest(string_split(text, '.')), {BLANKS}) AS part FROM documents) WHERE part <> '' GROUP BY 1""")
 def no_blank_parts(t):
     return t.documents.select("doc_id", F.size(fragments("text")).cast("long").alias("parts")).filter("parts > 0")
 

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fieldlab.sources.tables import Store
 
+# White space as a DuckDB character list.
+BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 

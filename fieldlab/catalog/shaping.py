@@ -82,9 +82,9 @@ def promoted_header(t):
     cells = _sheet_cells(t)
     table = workbooks.promote_header(cells, 2, _HEADERS)
     titled = workbooks.with_title(table, cells, 1, 1, "title")
-    names = dict(zip(_HEADERS, shape.fix_headers(_HEADERS)))
-    return titled.select("file", F.col("row").cast("long").alias("row_no"),
-                         *[F.col(f"`{c}`").alias(n) for c, n in names.items()], "title")
+    return titled.select(
+        "file", F.col("row").cast("long").alias("row_no"), *shape.fix_headers(_HEADERS), "title"
+    )
 
 
 @query("p7_label_value", """

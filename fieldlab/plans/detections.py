@@ -10,6 +10,7 @@ from fieldlab.functions.text import after_dash
 from fieldlab.functions.times import serial_date
 from fieldlab.operators.aggregates import counts, keep_first, ranked_counts
 from fieldlab.operators.joins import mapped_once, merge_inner
+from fieldlab.operators.shape import fix_headers
 from fieldlab.sources.workbooks import labelled_value, promote_header
 
 # Fixed value: longitudes west of this are outside the study area.
@@ -43,7 +44,7 @@ def repair_coordinates(detections: DataFrame, stations: DataFrame) -> DataFrame:
 
 def sale_sheet(cells: DataFrame, header_row: int, names: list[str], label: str = "Date:") -> DataFrame:
     """Complete rows of a tag sale sheet with the sheet's sale date beside them."""
-    rows = promote_header(cells, header_row, names).dropna("any", subset=names)
+    rows = promote_header(cells, header_row, names).dropna("any", subset=fix_headers(names))
     date = labelled_value(cells, label, 2, "_serial")
     dated = rows.join(date, ["file", "sheet"], "left")
     return dated.withColumn("date_sold", serial_date("_serial")).drop("_serial")

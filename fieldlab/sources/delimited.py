@@ -18,7 +18,7 @@ SOURCE_COLUMNS = ["_file", "_block", "_line"]
 
 
 def _is_lock(path: str) -> bool:
-    return path.rsplit("/", 1)[-1].startswith(("~$", "%7E$", "~%24"))
+    return path.rsplit("/", 1)[-1].startswith("~$")
 
 
 def file_headers(spark: SparkSession, root: str, glob: str = "*.csv") -> list[tuple[str, str]]:
@@ -35,7 +35,9 @@ def file_headers(spark: SparkSession, root: str, glob: str = "*.csv") -> list[tu
     )
     # Within a split ids rise with the line, so the smallest id of the first split is the header.
     first = lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
-    return [(r.file, r.header) for r in first.collect() if not _is_lock(r.file)]
+    # The metadata column gives an encoded URI; readers take the plain path.
+    found = [(unquote(r.file), r.header) for r in first.collect()]
+    return [(path, header) for path, header in found if not _is_lock(path)]
 
 
 def scan_delimited(
@@ -77,7 +79,7 @@ def scan_forms(
     """
     by_sheet: dict[str, list[tuple[str, str]]] = defaultdict(list)
     for path, header in file_headers(spark, root, glob):
-        by_sheet[unquote(path.split("/")[-2])].append((path, header))
+        by_sheet[path.split("/")[-2]].append((path, header))
     form = F.url_decode(F.element_at(F.split("_file", "/"), -3))
     return {
         sheet: scan_delimited(spark, root, glob, repeats, files).withColumn("_form", form)

@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldlab.operators.shape import fix_headers
+
 CELLS = "file string, sheet string, row int, col int, text string"
 
 
@@ -83,7 +85,8 @@ def workbook_cells(spark: SparkSession, root: str, glob: str = "*.xlsx") -> Data
 def promote_header(cells: DataFrame, header_row: int = 1, names: list[str] | None = None) -> DataFrame:
     """Rows below a header row as a wide text table, one row per (file, sheet, row).
 
-    ``names`` are the headers to keep; without it the distinct headers are read once.
+    ``names`` are the headers to keep as written in the sheet; without it the distinct headers
+    are read once. The columns get fixed header names.
     """
     header = cells.filter(F.col("row") == header_row).select(
         "file", "sheet", "col", F.trim("text").alias("_name")
@@ -91,7 +94,8 @@ def promote_header(cells: DataFrame, header_row: int = 1, names: list[str] | Non
     if names is None:
         names = sorted(r[0] for r in header.select("_name").distinct().collect())
     body = cells.filter(F.col("row") > header_row).join(header, ["file", "sheet", "col"])
-    return body.groupBy("file", "sheet", "row").pivot("_name", names).agg(F.min_by("text", "col"))
+    wide = body.groupBy("file", "sheet", "row").pivot("_name", names).agg(F.min_by("text", "col"))
+    return wide.toDF("file", "sheet", "row", *fix_headers(names))
 
 
 def with_title(table: DataFrame, cells: DataFrame, row: int, col: int, into: str) -> DataFrame:
