@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from string import digits, punctuation
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -75,9 +76,12 @@ STOP_WORDS = (
 ).split()
 
 
+_SPACES = "\t\r\n\f\v"
+
+
 def strip(c: Column | str) -> Column:
     """Text without white space (line breaks included) at either end."""
-    return F.btrim(as_column(c), F.lit(" \t\r\n\f\v"))
+    return F.btrim(as_column(c), F.lit(" " + _SPACES))
 
 
 def tidy(c: Column | str) -> Column:
@@ -172,7 +176,7 @@ def or_label(c: Column | str, label: str = "NA") -> Column:
     return F.coalesce(as_column(c), F.lit(label))
 
 
-def words(c: Column | str, shortest: int = 3) -> Column:
-    """Lower-case words after dropping ASCII punctuation and digits."""
-    bare = F.regexp_replace(F.lower(as_column(c)), r"[!-/:-@\[-`{-~0-9]", "")
-    return F.filter(F.split(bare, r"\s+"), lambda w: F.length(w) >= shortest)
+def words(c: Column | str) -> Column:
+    """Lower-case words after dropping ASCII punctuation and digits; blanks may remain."""
+    bare = F.translate(F.lower(as_column(c)), _SPACES + punctuation + digits, " " * len(_SPACES))
+    return F.split(bare, " ")

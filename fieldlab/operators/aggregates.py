@@ -134,7 +134,7 @@ def term_counts(
     df: DataFrame, text: str, shortest: int = 3, least: int = 2, top: int | None = 100
 ) -> DataFrame:
     """Frequent words of a text column: function words left out, rare words cut, top kept."""
-    token = df.select(F.explode(words(text, shortest)).alias("word"))
+    token = df.select(F.explode(words(text)).alias("word")).filter(F.length("word") >= shortest)
     n = counts(token.filter(~F.col("word").isin(STOP_WORDS)), "word", name="freq")
     n = n.filter(F.col("freq") >= least)
     return n if top is None else n.orderBy(F.desc("freq"), "word").limit(top)

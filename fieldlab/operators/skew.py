@@ -2,21 +2,26 @@
 
 A Spark window sends every row of one partition key to one task. That is the best plan while
 groups are small and fails when one key holds a third of the table. The functions here first
-count rows per group (one column-pruned pass with map-side combine):
+look for hot groups (see ``hot_groups``: a count, and a sketch of the key columns if the table
+is large):
 
-* no group above the row budget: the plain Spark window is returned unchanged;
-* otherwise each hot group is cut into pieces by value ranges of its leading order column. A
-  row's piece depends only on literal bounds, so recomputed tasks always agree. Pieces are
-  sorted in parallel and an offset per piece (a few rows per hot group) is added back.
+* none: the plain Spark window is returned unchanged;
+* otherwise each hot group is cut into consecutive pieces of its order. A row's piece depends
+  only on literal bounds, so recomputed tasks always agree. Pieces are sorted in parallel and
+  an offset per piece (a few rows per hot group) is added back.
 
-At most ``4 * shuffle partitions`` groups are treated as hot, taken largest first, so any
-other group holds less than that fraction of all rows.
+Fewer than ``4 * shuffle partitions`` groups can be hot, since each holds more than that
+fraction of all rows; every other group is at most a quarter of an average task's load.
+
+The check runs on the frame itself. Where that is costly to compute, ``sizes`` names a cheaper
+frame with the same group columns and at least as many rows in every group.
 
 An order is a list of column names; a leading ``-`` means descending. Nulls sort last.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 from math import ceil
 
@@ -30,6 +35,7 @@ _PIECE = "_piece"
 _BOUNDS = "_bounds"
 _SALT = "_salt"
 _WAYS = "_ways"
+_SAMPLE_PER_PIECE = 40
 
 
 def sort_columns(order: list[str]) -> list[Column]:
@@ -61,77 +67,125 @@ def hot_limit(df: DataFrame) -> int:
 
 
 def hot_groups(df: DataFrame, by: list[str], budget: int) -> list:
-    """Groups with more rows than ``budget``, largest first, as rows ``(*by, _n)``."""
+    """Groups too large for one task, as rows ``(*by, _n)``.
+
+    A group is hot if it has more rows than ``budget`` and more than ``1 / hot_limit`` of all
+    rows. Candidates come from a frequent-items sketch over key hashes, whose error (below a
+    quarter of that share for the tracked size) cannot hide such a group; they are then counted
+    exactly. Keys are never shuffled for this, and a table within the budget is only counted.
+    """
+    n = df.count()
+    if n <= budget:
+        return []
     if not by:
-        n = df.count()
-        return [T.Row(_n=n)] if n > budget else []
+        return [T.Row(_n=n)]
+    k = hot_limit(df)
+    keyed = df.select(*by, F.xxhash64(*by).alias("_hash"))
+    sketch = F.expr(f"approx_top_k(_hash, {2 * k}, {min(16 * k, 1_000_000)})")
+    candidates = [r["item"] for r in keyed.agg(sketch).first()[0]]
+    if not candidates:
+        return []
     return (
-        df.groupBy(*by)
+        keyed.filter(F.col("_hash").isin(candidates))
+        .groupBy(*by)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > budget)
-        .orderBy(F.desc("_n"))
-        .limit(hot_limit(df))
+        .filter(F.col("_n") > max(budget, n // k))
         .collect()
     )
 
 
-def _code(df: DataFrame, name: str) -> Column:
-    """A double that never decreases when the column's value increases."""
-    kind = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(kind, T.NumericType):
-        return c.cast("double")
-    if isinstance(kind, T.BooleanType):
-        return c.cast("int").cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        day = F.unix_date(F.to_date(c)) * 86400.0
-        return day + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
-    if isinstance(kind, T.StringType):
-        first_bytes = F.substring(F.hex(F.substring(c, 1, 6)), 1, 12)
-        return F.conv(F.rpad(first_bytes, 12, "0"), 16, 10).cast("double")
-    raise TypeError(f"cannot split a group by {name} of type {kind.simpleString()}")
+def _compared(order: list[str], a: Column, b: Column) -> Column:
+    """-1, 0 or 1 as struct ``a`` sorts before, with or after struct ``b`` in the given order."""
+    result = F.lit(0)
+    for name in reversed(order):
+        column, way = name.lstrip("-"), -1 if name.startswith("-") else 1
+        x, y = a[column], b[column]
+        result = (
+            F.when(x.isNull() & y.isNull(), result)
+            .when(x.isNull(), 1)
+            .when(y.isNull(), -1)
+            .when(x < y, -way)
+            .when(x > y, way)
+            .otherwise(result)
+        )
+    return result
+
+
+@dataclass(frozen=True)
+class Pieces:
+    """A frame with ``_piece`` and, for hot groups, ``_bounds``.
+
+    ``heavy_ties`` tells that rows with one and the same order values fill a whole piece.
+    """
+
+    frame: DataFrame
+    heavy_ties: bool
 
 
 def with_pieces(
-    df: DataFrame, by: list[str], order: list[str], budget: int | None = None
-) -> DataFrame | None:
-    """``df`` with ``_piece`` (int) and ``_bounds`` for its hot groups, or None if there are none."""
+    df: DataFrame, by: list[str], order: list[str], budget: int | None = None,
+    sizes: DataFrame | None = None,
+) -> Pieces | None:
+    """Cut hot groups into consecutive pieces of the order, or None if no group is hot.
+
+    Bounds are order values at equal distances in a sample of the hot rows. The sample only
+    balances the pieces; every row is then placed by comparing it with the bounds.
+    """
     budget = budget or rows_per_task(df.sparkSession)
-    hot = hot_groups(df, by, budget)
+    hot = hot_groups(df if sizes is None else sizes, by, budget)
     if not hot:
         return None
-    lead, falling = order[0].lstrip("-"), order[0].startswith("-")
-    piece_rows = max(budget, sum(r["_n"] for r in hot) // hot_limit(df))
-    most = max(ceil(r["_n"] / piece_rows) for r in hot)
-    cuts = [i / most for i in range(1, most)] or [0.5]
     spark = df.sparkSession
-    keys = T.StructType([df.schema[c] for c in by])
-    coded = df.withColumn("_code", _code(df, lead))
-    quantiles = F.percentile_approx("_code", cuts, 20 * (most + 1)).alias(_BOUNDS)
-
+    total = sum(r["_n"] for r in hot)
+    piece_rows = max(budget, total // hot_limit(df))
+    fields = [df.schema[name.lstrip("-")] for name in order]
+    places = T.ArrayType(T.StructType(fields))
+    keys = [df.schema[c] for c in by]
+    rows = [(*[r[c] for c in by], ceil(r["_n"] / piece_rows)) for r in hot]
+    groups = spark.createDataFrame(rows, T.StructType([*keys, T.StructField("_p", T.LongType())]))
+
+    at = F.struct(*[name.lstrip("-") for name in order]).alias("_at")
+    share = min(1.0, _SAMPLE_PER_PIECE * sum(r[-1] for r in rows) / total)
+    drawn = df.select(*by, at).sample(share, 7)
+    if by:
+        drawn = null_safe_join(drawn, F.broadcast(groups), by, "inner")
+    else:
+        drawn = drawn.withColumn("_p", F.lit(rows[0][-1]))
+    ordered = F.array_sort(F.collect_list("_at"), lambda a, b: _compared(order, a, b))
+    step = lambda i: F.get(F.col("_s"), (i * F.size("_s") / F.col("_p")).cast("int"))
+    cut = F.when(F.col("_p") > 1, F.transform(F.sequence(F.lit(1), F.col("_p") - 1), step))
+    found = drawn.groupBy(*by, "_p").agg(ordered.alias("_s")).select(*by, cut.alias(_BOUNDS)).collect()
+    bounds = [(*[r[c] for c in by], r[_BOUNDS] or []) for r in found]
+    heavy = any(x == y for r in bounds for x, y in zip(r[-1], r[-1][1:]))
+
+    table = spark.createDataFrame(bounds, T.StructType([*keys, T.StructField(_BOUNDS, places)]))
+    # At most hot_limit groups and about twice as many bounds.
     if by:
-        hot_keys = spark.createDataFrame([tuple(r[c] for c in by) for r in hot], keys)
-        inside = null_safe_join(coded, F.broadcast(hot_keys), by, "left_semi")
-        found = inside.groupBy(*by).agg(quantiles).collect()
-        schema = T.StructType(keys.fields + [T.StructField(_BOUNDS, T.ArrayType(T.DoubleType()))])
-        rows = [(*[r[c] for c in by], sorted(set(r[_BOUNDS] or []))) for r in found]
-        table = spark.createDataFrame(rows, schema)
-        joined = null_safe_join(coded, F.broadcast(table), by, "left")
+        placed = null_safe_join(df, F.broadcast(table), by, "left")
     else:
-        bounds = sorted(set(coded.agg(quantiles).first()[0] or []))
-        literal = F.array(*[F.lit(float(b)) for b in bounds]).cast("array<double>")
-        joined = coded.withColumn(_BOUNDS, literal)
+        placed = df.withColumn(_BOUNDS, table.scalar())
+    most = max((len(r[-1]) for r in bounds), default=0)
+    piece = F.when(F.col(_BOUNDS).isNull(), F.lit(0)).otherwise(_bounds_below(order, most))
+    return Pieces(placed.withColumn(_PIECE, piece), heavy)
+
+
+def _bounds_below(order: list[str], most: int) -> Column:
+    """Number of bounds that sort before the row, by halving the sorted bounds."""
+    here = F.struct(*[name.lstrip("-") for name in order])
 
-    below = F.size(F.filter(_BOUNDS, lambda b: b < F.col("_code")))
-    rising_piece = F.when(F.col("_code").isNull(), F.size(_BOUNDS)).otherwise(below)
-    piece = rising_piece
-    if falling:
-        piece = F.when(F.col("_code").isNull(), F.size(_BOUNDS)).otherwise(F.size(_BOUNDS) - below)
-    return joined.withColumn(
-        _PIECE, F.when(F.col(_BOUNDS).isNull(), F.lit(0)).otherwise(piece).cast("int")
-    ).drop("_code")
+    def halve(span, _):
+        middle = F.floor((span["lo"] + span["hi"]) / 2).cast("int")
+        bound = F.get(F.col(_BOUNDS), middle)
+        under = _compared(order, bound, here) < 0
+        open_span = span["lo"] < span["hi"]
+        return F.struct(
+            F.when(open_span & under, middle + 1).otherwise(span["lo"]).alias("lo"),
+            F.when(open_span & ~under, middle).otherwise(span["hi"]).alias("hi"),
+        )
+
+    start = F.struct(F.lit(0).alias("lo"), F.size(_BOUNDS).alias("hi"))
+    steps = F.sequence(F.lit(1), F.lit(most.bit_length() + 1))
+    return F.aggregate(steps, start, halve, lambda span: span["lo"])
 
 
 def _with_offsets(pieces: DataFrame, by: list[str], totals: list[Column], carried) -> DataFrame:
@@ -146,15 +200,18 @@ def _with_offsets(pieces: DataFrame, by: list[str], totals: list[Column], carrie
 
 
 def numbered(
-    df: DataFrame, by: list[str], order: list[str], into: str, budget: int | None = None
+    df: DataFrame, by: list[str], order: list[str], into: str, budget: int | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Number rows 1..n inside each group (all rows if ``by`` is empty) in the given order."""
-    pieces = with_pieces(df, by, order, budget)
-    number = F.row_number().over(_window(by, order, pieces)).cast("long")
-    if pieces is None:
+    cut = with_pieces(df, by, order, budget, sizes)
+    number = F.row_number().over(_window(by, order, cut)).cast("long")
+    if cut is None:
         return df.withColumn(into, number)
+    if cut.heavy_ties and {*by, *(c.lstrip("-") for c in order)} == set(df.columns):
+        return _numbered_copies(df, by, order, into, budget)
     full = _with_offsets(
-        pieces.withColumn(into, number),
+        cut.frame.withColumn(into, number),
         by,
         [F.count(F.lit(1)).alias("_n")],
         lambda before, after: [F.sum("_n").over(before).alias("_offset")],
@@ -164,6 +221,23 @@ def numbered(
     )
 
 
+def _numbered_copies(
+    df: DataFrame, by: list[str], order: list[str], into: str, budget: int | None
+) -> DataFrame:
+    """Numbering when many rows are full copies: count copies, number the counts, write them out.
+
+    The copies of one row are written in chunks, so no task writes more than its budget.
+    """
+    chunk = budget or rows_per_task(df.sparkSession)
+    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    last = running_sum(copies, by, order, "_n", "_upto", budget)
+    chunks = last.withColumn("_from", F.explode(F.sequence(F.lit(0), F.col("_n") - 1, F.lit(chunk))))
+    spread = chunks.repartition(*df.columns, "_from")
+    first = F.col("_upto") - F.col("_n") + 1 + F.col("_from")
+    final = F.least(first + (chunk - 1), F.col("_upto"))
+    return spread.select(*df.columns, F.explode(F.sequence(first, final)).alias(into))
+
+
 def running_sum(
     df: DataFrame,
     by: list[str],
@@ -173,13 +247,13 @@ def running_sum(
     budget: int | None = None,
 ) -> DataFrame:
     """Sum of ``value`` over this and all earlier rows of the group; the order must be unique."""
-    pieces = with_pieces(df, by, order, budget)
-    frame = _window(by, order, pieces).rowsBetween(Window.unboundedPreceding, 0)
+    cut = with_pieces(df, by, order, budget)
+    frame = _window(by, order, cut).rowsBetween(Window.unboundedPreceding, 0)
     total = F.sum(value).over(frame)
-    if pieces is None:
+    if cut is None:
         return df.withColumn(into, total)
     full = _with_offsets(
-        pieces.withColumn(into, total),
+        cut.frame.withColumn(into, total),
         by,
         [F.sum(value).alias("_n")],
         lambda before, after: [F.sum("_n").over(before).alias("_offset")],
@@ -203,15 +277,15 @@ def carried(
     """
     if any(name.startswith("-") for name in order):
         raise ValueError("carried needs an ascending order")
-    pieces = with_pieces(df, by, order, budget)
-    window = _window(by, order, pieces)
+    cut = with_pieces(df, by, order, budget)
+    window = _window(by, order, cut)
     if direction == "down":
         window = window.rowsBetween(Window.unboundedPreceding, 0)
         near = {c: F.last(c, ignorenulls=True).over(window) for c in columns}
     else:
         window = window.rowsBetween(0, Window.unboundedFollowing)
         near = {c: F.first(c, ignorenulls=True).over(window) for c in columns}
-    if pieces is None:
+    if cut is None:
         return df.withColumns(near)
     place = F.struct(*order)
     pick = F.max_by if direction == "down" else F.min_by
@@ -222,7 +296,7 @@ def carried(
             return [F.last(f"_edge_{c}", True).over(before).alias(f"_far_{c}") for c in columns]
         return [F.first(f"_edge_{c}", True).over(after).alias(f"_far_{c}") for c in columns]
 
-    full = _with_offsets(pieces, by, edge, over_pieces)
+    full = _with_offsets(cut.frame, by, edge, over_pieces)
     filled = full.withColumns({c: F.coalesce(near[c], F.col(f"_far_{c}")) for c in columns})
     return filled.drop(_PIECE, _BOUNDS, *[f"_far_{c}" for c in columns])
 
@@ -280,6 +354,6 @@ def spread_join(
     return joined.drop(_SALT)
 
 
-def _window(by: list[str], order: list[str], pieces: DataFrame | None):
-    keys = list(by) if pieces is None else [*by, _PIECE]
+def _window(by: list[str], order: list[str], cut: Pieces | None):
+    keys = list(by) if cut is None else [*by, _PIECE]
     return Window.partitionBy(*keys).orderBy(*sort_columns(order))

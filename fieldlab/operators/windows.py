@@ -9,9 +9,12 @@ from fieldlab.functions.times import plus_minutes
 from fieldlab.operators.skew import carried, numbered, spread_join
 
 
-def renumber_within(df: DataFrame, day: str, order: list[str], into: str, budget: int | None = None):
+def renumber_within(
+    df: DataFrame, day: str, order: list[str], into: str, budget: int | None = None,
+    sizes: DataFrame | None = None,
+) -> DataFrame:
     """Number surveys 1..n inside each date, in source order."""
-    return numbered(df, [day], order, into, budget)
+    return numbered(df, [day], order, into, budget, sizes)
 
 
 def run_ids(df: DataFrame, day: str, into: str, budget: int | None = None) -> DataFrame:
@@ -28,10 +31,10 @@ def run_ids(df: DataFrame, day: str, into: str, budget: int | None = None) -> Da
 
 def spread_collisions(
     df: DataFrame, moment: str, order: list[str], minutes: int = 5, into: str | None = None,
-    budget: int | None = None,
+    budget: int | None = None, sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Shift the k-th row with one timestamp by ``(k - 1) * minutes``; a single pass."""
-    spread = numbered(df, [moment], order, "_k", budget)
+    spread = numbered(df, [moment], order, "_k", budget, sizes)
     moved = plus_minutes(moment, (F.col("_k") - 1) * minutes)
     return spread.withColumn(into or moment, moved).drop("_k")
 

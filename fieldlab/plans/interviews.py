@@ -37,14 +37,16 @@ def clean_main(
     keys = ["survey_number", "date", "time"]
     one = first_known(dated, keys, order)
     one = one.withColumn("_number", to_number("survey_number"))
+    moment = at_clock("date", serial_seconds("time"))
+    # Collapsing only removes rows, so group sizes can be taken from the sheet before it.
+    sizes = dated.select("date", moment.alias("time"))
     numbered = renumber_within(
-        one, "date", ["_number", "survey_number", "time"], "_survey", budget
+        one, "date", ["_number", "survey_number", "time"], "_survey", budget, sizes
     )
-    moment = at_clock("date", serial_seconds("time"))
     timed = numbered.withColumns(
         {"survey_number": F.col("_survey"), "time": moment, "wind": undo_auto_date("wind")}
     ).drop("_survey", "_number")
-    spread = spread_collisions(timed, "time", ["date", "survey_number"], budget=budget)
+    spread = spread_collisions(timed, "time", ["date", "survey_number"], budget=budget, sizes=sizes)
     shift = shift_parts("shift")
     return spread.withColumns(
         {

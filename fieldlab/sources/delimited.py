@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import csv
 from collections import defaultdict
-from urllib.parse import unquote
+from collections.abc import Iterator
+from urllib.parse import quote
 
+import pandas as pd
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,27 +20,37 @@ from fieldlab.operators.shape import fix_headers
 SOURCE_COLUMNS = ["_file", "_block", "_line"]
 
 
-def _is_lock(path: str) -> bool:
-    return path.rsplit("/", 1)[-1].startswith("~$")
+def _first_line(path: str, most: int = 1 << 20) -> str:
+    """First line of a text file, read without fetching the rest."""
+    where = path if "://" in path else "file://" + path.removeprefix("file:")
+    system, name = FileSystem.from_uri(quote(where, safe="/:@%"))
+    with system.open_input_stream(name) as stream:
+        head = b""
+        while b"\n" not in head and len(head) < most and (more := stream.read(1 << 14)):
+            head += more
+    return head.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
 
 
 def file_headers(spark: SparkSession, root: str, glob: str = "*.csv") -> list[tuple[str, str]]:
-    """(file, header line) of every matching file under ``root``, editor lock files left out."""
-    lines = (
-        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(root)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("line"),
-        )
-        .filter("start = 0")
+    """(file, header line) of every matching file under ``root``, editor lock files left out.
+
+    Files are listed without their content; tasks then open each file and read its head only.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", glob)
+        .load(root)
+        .select("path")
+        .filter(~F.col("path").rlike(r"/~\$[^/]*$"))
     )
-    # Within a split ids rise with the line, so the smallest id of the first split is the header.
-    first = lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
-    # The metadata column gives an encoded URI; readers take the plain path.
-    found = [(unquote(r.file), r.header) for r in first.collect()]
-    return [(path, header) for path, header in found if not _is_lock(path)]
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(header=[_first_line(path) for path in batch["path"]])
+
+    found = files.mapInPandas(read, "path string, header string")
+    return [(r.path, r.header) for r in found.collect()]
 
 
 def scan_delimited(

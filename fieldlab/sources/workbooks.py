@@ -93,9 +93,15 @@ def promote_header(cells: DataFrame, header_row: int = 1, names: list[str] | Non
     )
     if names is None:
         names = sorted(r[0] for r in header.select("_name").distinct().collect())
-    body = cells.filter(F.col("row") > header_row).join(header, ["file", "sheet", "col"])
-    wide = body.groupBy("file", "sheet", "row").pivot("_name", names).agg(F.min_by("text", "col"))
-    return wide.toDF("file", "sheet", "row", *fix_headers(names))
+    place = [F.min(F.when(F.col("_name") == n, F.col("col"))).alias(f"_c{i}") for i, n in enumerate(names)]
+    places = header.groupBy("file", "sheet").agg(*place)
+    # One map per sheet row, so the join with the sheet's header sees rows, not cells.
+    line = F.map_from_entries(F.collect_list(F.struct("col", "text"))).alias("_line")
+    rows = cells.filter(F.col("row") > header_row).groupBy("file", "sheet", "row").agg(line)
+    fixed = fix_headers(names)
+    values = [F.col("_line")[F.col(f"_c{i}")].alias(n) for i, n in enumerate(fixed)]
+    wide = rows.join(places, ["file", "sheet"]).select("file", "sheet", "row", *values)
+    return wide.dropna("all", subset=fixed)
 
 
 def with_title(table: DataFrame, cells: DataFrame, row: int, col: int, into: str) -> DataFrame:
