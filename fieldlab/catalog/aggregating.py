@@ -368,14 +368,15 @@ def sexed_share(t):
 _UTM = """
 WITH pts AS ({points}),
 k AS (SELECT *, 2 * sqrt(n) / (1 + n) AS e, 0.9996 * 6378137.0::DOUBLE / (1 + n) * (1 + n*n/4 + n*n*n*n/64) AS ka,
-  n/2 - 2*n*n/3 + 5*n*n*n/16 AS a1, 13*n*n/48 - 3*n*n*n/5 AS a2, 61*n*n*n/240 AS a3 FROM
+  n/2 - 2*n*n/3 + 5*n*n*n/16 + 41*n*n*n*n/180 AS a1, 13*n*n/48 - 3*n*n*n/5 + 557*n*n*n*n/1440 AS a2,
+  61*n*n*n/240 - 103*n*n*n*n/140 AS a3, 49561*n*n*n*n/161280 AS a4 FROM
   (SELECT (1/298.257223563::DOUBLE) / (2 - 1/298.257223563::DOUBLE) AS n)),
 p AS (SELECT id, sin(radians(lat)) AS sp, radians(lon + 123.0) AS lam FROM pts),
 q AS (SELECT id, lam, sinh(atanh(sp) - e * atanh(e * sp)) AS tt FROM p, k),
 u AS (SELECT id, atan2(tt, cos(lam)) AS xi, atanh(sin(lam) / sqrt(1 + tt * tt)) AS eta FROM q),
 utm AS (SELECT id,
-  500000.0 + ka * (eta + a1*cos(2*xi)*sinh(2*eta) + a2*cos(4*xi)*sinh(4*eta) + a3*cos(6*xi)*sinh(6*eta)) AS easting,
-  ka * (xi + a1*sin(2*xi)*cosh(2*eta) + a2*sin(4*xi)*cosh(4*eta) + a3*sin(6*xi)*cosh(6*eta)) AS northing FROM u, k)
+  500000.0 + ka * (eta + a1*cos(2*xi)*sinh(2*eta) + a2*cos(4*xi)*sinh(4*eta) + a3*cos(6*xi)*sinh(6*eta) + a4*cos(8*xi)*sinh(8*eta)) AS easting,
+  ka * (xi + a1*sin(2*xi)*cosh(2*eta) + a2*sin(4*xi)*cosh(4*eta) + a3*sin(6*xi)*cosh(6*eta) + a4*sin(8*xi)*cosh(8*eta)) AS northing FROM u, k)
 """
 
 

@@ -48,9 +48,13 @@ def surrogate_keys(
 
 
 def next_keys(df: DataFrame, target: DataFrame, key: str, order: list[str], budget: int | None = None):
-    """Ids for a batch that continue from the largest id already stored, compared as a number."""
+    """Ids for a batch that continue from the largest id already stored, compared as a number.
+
+    The ids have the type of the stored column.
+    """
     largest = target.agg(F.max(F.col(key).cast("long"))).first()[0] or 0
-    return surrogate_keys(df, order, key, largest, budget)
+    keyed = surrogate_keys(df, order, key, largest, budget)
+    return keyed.withColumn(key, F.col(key).cast(target.schema[key].dataType))
 
 
 def fill_down(df: DataFrame, columns: list[str], order: list[str], by: list[str] = (), budget=None):
