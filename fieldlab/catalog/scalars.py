@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from fieldlab.catalog.aggregating import POINTS, points, utm_sql
 from fieldlab.catalog.registry import BLANKS, query
 from fieldlab.functions import geo, numbers, text, times
+from fieldlab.operators.aggregates import counts
+from fieldlab.plans.detections import WESTERN_BOUND, repair_coordinates
 
 _S = lambda c: F.col(c).cast("string")
 
@@ -350,3 +352,21 @@ def split_pair(t):
     two = F.lpad(_S("c_nationkey"), 2, "0")
     lat, lon = geo.split_pair(F.concat(F.lit("49."), two, F.lit("N 121."), two, F.lit("W")))
     return t.customer.select("c_custkey", lat.alias("lat"), lon.alias("lon"))
+
+
+@query("xg7_range_repair", """
+SELECT CASE WHEN longitude IS NULL OR longitude < -123 THEN CASE WHEN s_suppkey IS NULL THEN 'kept' ELSE 'repaired' END ELSE 'in range' END AS outcome,
+  count(*) AS n FROM (SELECT user_id, CASE event_type WHEN 'error' THEN -130.5 WHEN 'view' THEN NULL ELSE -value END AS longitude FROM events)
+LEFT JOIN supplier ON s_suppkey = user_id GROUP BY 1""")
+def range_repair(t):
+    kind = F.col("event_type")
+    seen = t.events.select(
+        F.concat(F.lit("VR2W-"), _S("user_id")).alias("receiver"), F.lit(None).cast("double").alias("latitude"),
+        F.when(kind == "error", -130.5).when(kind != "view", -F.col("value")).alias("longitude"),
+    ).withColumn("before", F.col("longitude"))
+    stations = t.supplier.select(
+        _S("s_suppkey").alias("station_label"), F.lit("49 03.5 N").alias("station_lat"), F.lit("121 58.8 W").alias("station_lon")
+    )
+    bad = F.col("before").isNull() | (F.col("before") < WESTERN_BOUND)
+    outcome = F.when(~bad, "in range").when(F.col("latitude").isNotNull(), "repaired").otherwise("kept")
+    return counts(repair_coordinates(seen, stations), outcome.alias("outcome"))
