@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,7 +10,7 @@ from pyspark.sql import types as T
 
 from fieldlab.catalog.registry import query
 from fieldlab.functions.numbers import to_number
-from fieldlab.session import scratch_dir
+from fieldlab.session import fresh_path
 from fieldlab.sources.delimited import SOURCE_COLUMNS, scan_delimited, scan_forms
 from fieldlab.sources.sinks import append_table, csv_export, csv_report, snapshot
 from fieldlab.sources.tables import key_sightings, profile_tables, tables_like
@@ -22,10 +21,6 @@ TABLES = (
 ).split()
 
 
-def _fresh(t) -> str:
-    return f"{scratch_dir(t.spark)}/fieldlab/{uuid.uuid4().hex}"
-
-
 @query("s1_scan_forms", """
 SELECT CASE WHEN o_orderstatus = 'F' THEN 'year one' ELSE 'year two' END AS form,
   CAST(o_orderkey AS VARCHAR) AS survey_no, CAST(o_custkey AS VARCHAR) AS no_smb_c,
@@ -33,7 +28,7 @@ SELECT CASE WHEN o_orderstatus = 'F' THEN 'year one' ELSE 'year two' END AS form
   CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS wind
 FROM orders""")
 def scan_landed_forms(t):
-    root = _fresh(t)
+    root = fresh_path(t.spark)
     one = t.orders.select(
         F.col("o_orderkey").alias("Survey #"),
         F.col("o_custkey").alias("# SMB c"),
@@ -54,7 +49,7 @@ SELECT event_id, CASE WHEN event_type IN ('click', 'view') THEN user_id END AS t
   CASE WHEN event_type IN ('click', 'view') THEN NULL ELSE value END AS sensor_value
 FROM events""")
 def scan_drifting_files(t):
-    root = _fresh(t)
+    root = fresh_path(t.spark)
     early = F.col("event_type").isin("click", "view")
     csv_report(
         t.events.filter(early).select("event_id", F.col("user_id").alias("Transmitter"),
@@ -143,7 +138,7 @@ SELECT CAST(year(o_orderdate) AS BIGINT) AS year, count(*) * 2 AS n,
   round(2 * sum(o_totalprice), 2) AS total
 FROM orders GROUP BY 1""")
 def append_twice(t):
-    path = _fresh(t)
+    path = fresh_path(t.spark)
     schema = T.StructType([
         T.StructField("survey", T.LongType()),
         T.StructField("date", T.DateType()),
@@ -167,7 +162,7 @@ def append_twice(t):
 @query("s10_csv_report", """
 SELECT o_orderpriority AS site, count(*) AS n FROM orders GROUP BY 1""")
 def report_roundtrip(t):
-    path = _fresh(t)
+    path = fresh_path(t.spark)
     report = t.orders.groupBy(F.col("o_orderpriority").alias("site")).agg(F.count("*").alias("n"))
     csv_report(report, path)
     return t.spark.read.schema("site string, n long").option("header", "true").csv(path)
@@ -175,7 +170,7 @@ def report_roundtrip(t):
 
 @query("s11_snapshot", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders")
 def snapshot_roundtrip(t):
-    path = _fresh(t)
+    path = fresh_path(t.spark)
     snapshot(t.orders.select("o_orderkey", "o_orderdate", "o_totalprice"), path)
     return t.spark.read.parquet(path)
 
@@ -184,7 +179,7 @@ def snapshot_roundtrip(t):
 SELECT 'lineitem' AS table_name, count(*) AS n FROM lineitem
 UNION ALL SELECT 'orders', count(*) FROM orders""")
 def export_tables(t):
-    root = _fresh(t)
+    root = fresh_path(t.spark)
     names = csv_export(
         {
             "orders": t.orders.withColumnRenamed("o_orderkey", "survey"),

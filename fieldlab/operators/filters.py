@@ -17,13 +17,14 @@ def between_dates(
 ) -> DataFrame:
     """Keep rows from ``first`` to ``last``, both included; an open bound keeps everything.
 
-    The bounds compare with the stored column, so they reach the Parquet scan.
+    The bounds are literals of the column's own type, so they reach the Parquet scan.
     """
+    kind = df.schema[column].dataType
     if first is not None:
-        df = df.filter(F.col(column) >= F.to_timestamp_ntz(F.lit(str(first))))
+        df = df.filter(F.col(column) >= F.lit(str(first)).cast(kind))
     if last is not None:
         day_after = dt.date.fromisoformat(str(last)) + dt.timedelta(days=1)
-        df = df.filter(F.col(column) < F.to_timestamp_ntz(F.lit(str(day_after))))
+        df = df.filter(F.col(column) < F.lit(str(day_after)).cast(kind))
     return df
 
 

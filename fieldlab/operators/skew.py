@@ -14,7 +14,8 @@ Fewer than ``4 * shuffle partitions`` groups can be hot, since each holds more t
 fraction of all rows; every other group is at most a quarter of an average task's load.
 
 The check runs on the frame itself. Where that is costly to compute, ``sizes`` names a cheaper
-frame with the same group columns and at least as many rows in every group.
+frame with the same group columns and at least as many rows in every group; if it shows a hot
+group, the costly frame is written once before the passes that cut it.
 
 An order is a list of column names; a leading ``-`` means descending. Nulls sort last.
 """
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldlab.session import rows_per_task
+from fieldlab.session import rows_per_task, written
 
 _PIECE = "_piece"
 _BOUNDS = "_bounds"
@@ -136,6 +137,8 @@ def with_pieces(
     if not hot:
         return None
     spark = df.sparkSession
+    if sizes is not None:
+        df = written(df)
     total = sum(r["_n"] for r in hot)
     piece_rows = max(budget, total // hot_limit(df))
     fields = [df.schema[name.lstrip("-")] for name in order]
@@ -229,7 +232,7 @@ def _numbered_copies(
     The copies of one row are written in chunks, so no task writes more than its budget.
     """
     chunk = budget or rows_per_task(df.sparkSession)
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    copies = written(df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")))
     last = running_sum(copies, by, order, "_n", "_upto", budget)
     chunks = last.withColumn("_from", F.explode(F.sequence(F.lit(0), F.col("_n") - 1, F.lit(chunk))))
     spread = chunks.repartition(*df.columns, "_from")
@@ -268,37 +271,45 @@ def carried(
     by: list[str],
     order: list[str],
     columns: list[str],
-    direction: str = "down",
+    directions: tuple[str, ...] = ("down",),
     budget: int | None = None,
 ) -> DataFrame:
-    """Fill nulls from the nearest earlier (``down``) or later (``up``) row of the group.
+    """Fill nulls from the nearest known row of the group, trying the directions in turn.
 
-    The order must be ascending over columns without nulls.
+    ``down`` looks at earlier rows, ``up`` at later ones. All directions share one shuffle. The
+    order must be ascending over columns without nulls.
     """
     if any(name.startswith("-") for name in order):
         raise ValueError("carried needs an ascending order")
     cut = with_pieces(df, by, order, budget)
     window = _window(by, order, cut)
-    if direction == "down":
-        window = window.rowsBetween(Window.unboundedPreceding, 0)
-        near = {c: F.last(c, ignorenulls=True).over(window) for c in columns}
-    else:
-        window = window.rowsBetween(0, Window.unboundedFollowing)
-        near = {c: F.first(c, ignorenulls=True).over(window) for c in columns}
+    earlier = window.rowsBetween(Window.unboundedPreceding, 0)
+    later = window.rowsBetween(0, Window.unboundedFollowing)
+    near = {
+        "down": lambda c: F.last(c, ignorenulls=True).over(earlier),
+        "up": lambda c: F.first(c, ignorenulls=True).over(later),
+    }
     if cut is None:
-        return df.withColumns(near)
+        return df.withColumns({c: F.coalesce(*[near[d](c) for d in directions]) for c in columns})
     place = F.struct(*order)
-    pick = F.max_by if direction == "down" else F.min_by
-    edge = [pick(c, F.when(F.col(c).isNotNull(), place)).alias(f"_edge_{c}") for c in columns]
+    pick = {"down": F.max_by, "up": F.min_by}
+    edges = [
+        pick[d](c, F.when(F.col(c).isNotNull(), place)).alias(f"_{d}_{c}")
+        for d in directions
+        for c in columns
+    ]
 
     def over_pieces(before, after):
-        if direction == "down":
-            return [F.last(f"_edge_{c}", True).over(before).alias(f"_far_{c}") for c in columns]
-        return [F.first(f"_edge_{c}", True).over(after).alias(f"_far_{c}") for c in columns]
+        far = {
+            "down": lambda x: F.last(x, ignorenulls=True).over(before),
+            "up": lambda x: F.first(x, ignorenulls=True).over(after),
+        }
+        return [far[d](f"_{d}_{c}").alias(f"_far_{d}_{c}") for d in directions for c in columns]
 
-    full = _with_offsets(cut.frame, by, edge, over_pieces)
-    filled = full.withColumns({c: F.coalesce(near[c], F.col(f"_far_{c}")) for c in columns})
-    return filled.drop(_PIECE, _BOUNDS, *[f"_far_{c}" for c in columns])
+    full = _with_offsets(cut.frame, by, edges, over_pieces)
+    sources = lambda c: [x for d in directions for x in (near[d](c), F.col(f"_far_{d}_{c}"))]
+    filled = full.withColumns({c: F.coalesce(*sources(c)) for c in columns})
+    return filled.select(df.columns)
 
 
 def ranked(
@@ -314,14 +325,15 @@ def ranked(
         return df.withColumn(into, F.rank().over(_window(by, [order], None)).cast("long"))
     column = order.lstrip("-")
     keys = [*by, column]
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counts = written(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
     sums = running_sum(counts, by, [order], "_n", "_upto", budget)
     ranks = sums.select(*keys, (F.col("_upto") - F.col("_n") + 1).cast("long").alias(into))
     return spread_join(df, ranks, keys, "left", budget)
 
 
 def spread_join(
-    left: DataFrame, right: DataFrame, on: list[str], how: str = "left", budget: int | None = None
+    left: DataFrame, right: DataFrame, on: list[str], how: str = "left", budget: int | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Null-safe inner or left join whose hot left keys are salted over several tasks.
 
@@ -331,7 +343,7 @@ def spread_join(
     if how not in ("inner", "left"):
         raise ValueError("only the left side of an inner or left join can be spread")
     budget = budget or rows_per_task(left.sparkSession)
-    hot = hot_groups(left, on, budget)
+    hot = hot_groups(left if sizes is None else sizes, on, budget)
     if not hot:
         return null_safe_join(left, right, on, how)
     piece_rows = max(budget, sum(r["_n"] for r in hot) // hot_limit(left))

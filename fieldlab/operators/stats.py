@@ -10,8 +10,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlab.operators.skew import hot_groups, running_sum, spread_join
-from fieldlab.session import rows_per_task
+from fieldlab.operators.skew import hot_groups, null_safe_join, running_sum, spread_join
+from fieldlab.session import rows_per_task, written
 
 
 def quantiles(
@@ -29,11 +29,11 @@ def quantiles(
         marks = F.percentile("_v", list(probs.values()))
         table = present.groupBy(*by).agg(marks.alias("_q"))
         return table.select(*by, *[F.col("_q")[i].alias(name) for i, name in enumerate(probs)])
-    n = present.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    n = written(present.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n")))
     upto = running_sum(n, by, ["_v"], "_n", "_upto", budget)
     size = n.groupBy(*by).agg(F.sum("_n").alias("_size"))
     if by:
-        sized = spread_join(upto, size, by, "left", budget)
+        sized = spread_join(upto, size, by, "left", budget, sizes=n)
     else:
         sized = upto.withColumn("_size", n.agg(F.sum("_n")).scalar())
     picks = []
@@ -158,7 +158,7 @@ def density(
     )
     narrow = F.least(F.col("_sd"), (F.col("q3") - F.col("q1")) / 1.34)
     scale = F.when(narrow > 0, narrow).when(F.col("_sd") > 0, F.col("_sd")).otherwise(F.lit(1.0))
-    width = spread_join(spread, iqr, by, "inner", budget).select(
+    width = null_safe_join(spread, iqr, by, "inner").select(
         *by, "_n", (scale * 0.9 * F.pow("_n", F.lit(-0.2))).alias("_bw")
     )
     at = (F.col("_x") - low) / step
@@ -176,7 +176,7 @@ def density(
         .agg(F.array_sort(F.collect_list(F.struct("i", "w"))).alias("_points"))
     )
     # At most ``grid`` points per group from here on.
-    curve = spread_join(weights, width, by, "inner", budget).withColumn("_step", step)
+    curve = null_safe_join(weights, width, by, "inner").withColumn("_step", step)
     j = F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point")
     z = lambda p: (F.col("point") - p["i"]) * F.col("_step") / F.col("_bw")
     mass = F.aggregate(

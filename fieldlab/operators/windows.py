@@ -59,10 +59,9 @@ def next_keys(df: DataFrame, target: DataFrame, key: str, order: list[str], budg
 
 def fill_down(df: DataFrame, columns: list[str], order: list[str], by: list[str] = (), budget=None):
     """Carry the last known value forward."""
-    return carried(df, list(by), order, columns, "down", budget)
+    return carried(df, list(by), order, columns, ("down",), budget)
 
 
 def fill_down_up(df: DataFrame, columns: list[str], order: list[str], by: list[str] = (), budget=None):
     """Carry forward, then fill what is still missing from later rows of the same key."""
-    down = carried(df, list(by), order, columns, "down", budget)
-    return carried(down, list(by), order, columns, "up", budget)
+    return carried(df, list(by), order, columns, ("down", "up"), budget)

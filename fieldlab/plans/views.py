@@ -23,7 +23,11 @@ def table_view(
     ``wide`` holds ``to_wide`` arguments for views that show results as columns.
     """
     marked = {r["name"] for r in chosen_tables(matrix, display_name).collect()}
-    joined = natural_join_all([df for name, df in tables.items() if name in marked])
+    shown = [df for name, df in tables.items() if name in marked]
+    if dict(shown[0].dtypes).get(date, "string") != "string":
+        # Rows of the first table survive every left join, so its typed dates can be cut in the scan.
+        shown[0] = between_dates(shown[0], date, first, last)
+    joined = natural_join_all(shown)
     if date in joined.columns:
         joined = in_front(joined.withColumn(date, F.to_date(F.col(date).try_cast("timestamp_ntz"))), date)
         joined = between_dates(joined, date, first, last)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Most rows of one group that a single task should sort or buffer. Larger groups are split.
 DEFAULT_ROWS_PER_TASK = 2_000_000
@@ -62,3 +63,19 @@ def scratch_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="fieldlab-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def fresh_path(spark: SparkSession) -> str:
+    """A new path below the shared folder."""
+    return f"{scratch_dir(spark)}/fieldlab/{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The frame written once to the shared folder and read back.
+
+    For results that several passes need and that are costly to compute. The files outlive lost
+    executors; clearing the folder is up to whoever owns it.
+    """
+    path = fresh_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
