@@ -10,8 +10,6 @@ from fieldlab.functions.numbers import tolerant_sum
 from fieldlab.functions.text import STOP_WORDS
 from fieldlab.operators import aggregates, reshape, shape, stats, validate
 
-_N = F.count(F.lit(1)).alias("n")
-
 
 def _rounded(df, digits=6):
     return df.select(*[
@@ -362,7 +360,7 @@ SELECT l_linestatus, count(*) AS n, count(*) FILTER (l_returnflag IN ('A', 'R'))
 FROM lineitem GROUP BY 1""")
 def sexed_share(t):
     known = F.col("l_returnflag").isin("A", "R")
-    return t.lineitem.groupBy("l_linestatus").agg(_N, (F.count_if(known) / F.count(F.lit(1))).alias("sexed"))
+    return t.lineitem.groupBy("l_linestatus").agg(F.count("*").alias("n"), (F.count_if(known) / F.count(F.lit(1))).alias("sexed"))
 
 
 _UTM = """
