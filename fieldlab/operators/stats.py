@@ -5,45 +5,50 @@ Quantiles are exact and interpolate between neighbours: position ``(n - 1) * p``
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldlab.operators.reshape import to_long
 from fieldlab.operators.skew import hot_groups, null_safe_join, running_sum, spread_join
 from fieldlab.session import rows_per_task, written
 
 
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
+
 def quantiles(
     df: DataFrame, by: list[str], value: str, probs: dict[str, float], budget: int | None = None
 ) -> DataFrame:
     """Exact quantiles per group, one column per named probability.
 
-    Small groups use the built-in aggregate, which holds a group's distinct values in memory.
-    If a group is over the row budget, equal values are counted, counts get a running sum that
-    is split for hot groups, and the rows at the wanted positions are picked.
+    Equal values are counted, the counts are summed up in value order, and the rows at the wanted
+    positions are picked; sorting spills to disk where the built-in aggregate would hold every
+    distinct value of a group in memory. For hot groups the running sum is split.
     """
     budget = budget or rows_per_task(df.sparkSession)
     present = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
+    n = present.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
     if not hot_groups(present, by, budget):
-        marks = F.percentile("_v", list(probs.values()))
-        table = present.groupBy(*by).agg(marks.alias("_q"))
-        return table.select(*by, *[F.col("_q")[i].alias(name) for i, name in enumerate(probs)])
-    n = written(present.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n")))
-    upto = running_sum(n, by, ["_v"], "_n", "_upto", budget)
-    size = n.groupBy(*by).agg(F.sum("_n").alias("_size"))
-    if by:
-        sized = spread_join(upto, size, by, "left", budget, sizes=n)
+        group = Window.partitionBy(*by)
+        ordered = group.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+        sized = n.withColumns({"_upto": F.sum("_n").over(ordered), "_size": F.sum("_n").over(group)})
     else:
-        sized = upto.withColumn("_size", n.agg(F.sum("_n")).scalar())
-    picks = []
+        n = written(n)
+        upto = running_sum(n, by, ["_v"], "_n", "_upto", budget)
+        if by:
+            size = n.groupBy(*by).agg(F.sum("_n").alias("_size"))
+            sized = spread_join(upto, size, by, "left", budget, sizes=n)
+        else:
+            sized = upto.withColumn("_size", n.agg(F.sum("_n")).scalar())
+    picks, wanted = [], F.lit(False)
     for name, p in probs.items():
         h = (F.col("_size") - 1) * F.lit(float(p))
         for side, at in (("lo", F.floor(h)), ("hi", F.ceil(h))):
             here = (F.col("_upto") - F.col("_n") <= at) & (at < F.col("_upto"))
+            wanted = wanted | here
             picks.append(F.max(F.when(here, F.col("_v"))).alias(f"_{side}_{name}"))
         picks.append(F.max(h - F.floor(h)).alias(f"_w_{name}"))
-    table = sized.groupBy(*by).agg(*picks)
+    table = sized.filter(wanted).groupBy(*by).agg(*picks)
     blend = [
         (F.col(f"_lo_{q}") + (F.col(f"_hi_{q}") - F.col(f"_lo_{q}")) * F.col(f"_w_{q}")).alias(q)
         for q in probs
@@ -51,12 +56,8 @@ def quantiles(
     return table.select(*by, *blend)
 
 
-QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-
-
 def summary(df: DataFrame, columns: list[str], budget: int | None = None) -> DataFrame:
     """Per column: count, missing, minimum, quartiles, mean and maximum, as one row each."""
-    budget = budget or rows_per_task(df.sparkSession)
 
     def one(c):
         x = F.col(c).cast("double")
@@ -67,23 +68,14 @@ def summary(df: DataFrame, columns: list[str], budget: int | None = None) -> Dat
             F.min(x).alias("min"),
             F.avg(x).alias("mean"),
             F.max(x).alias("max"),
-            *quartiles(x),
         )
 
-    def quartiles(x):
-        if split:
-            return []
-        marks = F.percentile(x, list(QUARTILES.values()))
-        return [marks[i].alias(name) for i, name in enumerate(QUARTILES)]
-
-    split = bool(hot_groups(df, [], budget))
     rows = df.agg(F.array(*[one(c) for c in columns]).alias("_rows")).select(F.inline("_rows"))
-    if split:
-        each = [
-            quantiles(df, [], c, QUARTILES, budget).withColumn("variable", F.lit(c)) for c in columns
-        ]
-        rows = rows.join(reduce(DataFrame.unionByName, each), "variable", "left")
-    return rows.select("variable", "n", "missing", "min", "q1", "median", "mean", "q3", "max")
+    long = to_long(df, [], columns, kind="double")
+    middle = quantiles(long, ["variable"], "value", QUARTILES, budget)
+    return rows.join(middle, "variable", "left").select(
+        "variable", "n", "missing", "min", "q1", "median", "mean", "q3", "max"
+    )
 
 
 def box_stats(df: DataFrame, by: list[str], value: str, budget: int | None = None) -> DataFrame:
