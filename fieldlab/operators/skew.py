@@ -2,7 +2,7 @@
 
 A Spark window sends every row of one partition key to one task. That is the best plan while
 groups are small and fails when one key holds a third of the table. The functions here first
-look for hot groups (see ``hot_groups``: a count, and a sketch of the key columns if the table
+look for hot groups (see ``hot_groups``: a count, and a sample of the key columns if the table
 is large):
 
 * none: the plain Spark window is returned unchanged;
@@ -37,6 +37,7 @@ _BOUNDS = "_bounds"
 _SALT = "_salt"
 _WAYS = "_ways"
 _SAMPLE_PER_PIECE = 40
+_SAMPLE_PER_GROUP = 200
 
 
 def sort_columns(order: list[str]) -> list[Column]:
@@ -71,45 +72,44 @@ def hot_groups(df: DataFrame, by: list[str], budget: int) -> list:
     """Groups too large for one task, as rows ``(*by, _n)``.
 
     A group is hot if it has more rows than ``budget`` and more than ``1 / hot_limit`` of all
-    rows. Candidates come from a frequent-items sketch over key hashes, whose error (below a
-    quarter of that share for the tracked size) cannot hide such a group; they are then counted
-    exactly. Keys are never shuffled for this, and a table within the budget is only counted.
+    rows. Candidates come from a sample in which such a group has 200 rows or more on average and
+    needs half of its expectation, so missing one is out of the question in practice (and would
+    cost time, not rows). The few candidates are then counted exactly. A table within the budget
+    is only counted.
     """
     n = df.count()
     if n <= budget:
         return []
     if not by:
         return [T.Row(_n=n)]
-    k = hot_limit(df)
-    keyed = df.select(*by, F.xxhash64(*by).alias("_hash"))
-    sketch = F.expr(f"approx_top_k(_hash, {2 * k}, {min(16 * k, 1_000_000)})")
-    candidates = [r["item"] for r in keyed.agg(sketch).first()[0]]
+    least = max(budget, n // hot_limit(df))
+    share = min(1.0, _SAMPLE_PER_GROUP / least)
+    size = F.count(F.lit(1)).alias("_n")
+    drawn = df.select(*by) if share == 1.0 else df.select(*by).sample(share, 7)
+    likely = drawn.groupBy(*by).agg(size).filter(F.col("_n") >= least * share / 2)
+    candidates = likely.drop("_n").collect()
     if not candidates:
         return []
-    return (
-        keyed.filter(F.col("_hash").isin(candidates))
-        .groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > max(budget, n // k))
-        .collect()
-    )
+    # Fewer than 2 * hot_limit candidates can reach half of the expectation.
+    keys = df.sparkSession.createDataFrame(candidates, df.select(*by).schema)
+    inside = null_safe_join(df.select(*by), F.broadcast(keys), by, "left_semi")
+    return inside.groupBy(*by).agg(size).filter(F.col("_n") > least).collect()
 
 
 def _compared(order: list[str], a: Column, b: Column) -> Column:
     """-1, 0 or 1 as struct ``a`` sorts before, with or after struct ``b`` in the given order."""
-    result = F.lit(0)
-    for name in reversed(order):
+    decided = []
+    for name in order:
         column, way = name.lstrip("-"), -1 if name.startswith("-") else 1
         x, y = a[column], b[column]
-        result = (
-            F.when(x.isNull() & y.isNull(), result)
-            .when(x.isNull(), 1)
-            .when(y.isNull(), -1)
-            .when(x < y, -way)
+        # Null, hence undecided, if both are equal or both are missing.
+        decided.append(
+            F.when(x < y, -way)
             .when(x > y, way)
-            .otherwise(result)
+            .when(x.isNull() & y.isNotNull(), 1)
+            .when(x.isNotNull() & y.isNull(), -1)
         )
-    return result
+    return F.coalesce(*decided, F.lit(0))
 
 
 @dataclass(frozen=True)
@@ -167,28 +167,16 @@ def with_pieces(
         placed = null_safe_join(df, F.broadcast(table), by, "left")
     else:
         placed = df.withColumn(_BOUNDS, table.scalar())
-    most = max((len(r[-1]) for r in bounds), default=0)
-    piece = F.when(F.col(_BOUNDS).isNull(), F.lit(0)).otherwise(_bounds_below(order, most))
-    return Pieces(placed.withColumn(_PIECE, piece), heavy)
-
-
-def _bounds_below(order: list[str], most: int) -> Column:
-    """Number of bounds that sort before the row, by halving the sorted bounds."""
+    # Count the bounds before a row by halving: one small projection per power of two, which
+    # Spark compiles. A place past the last bound reads as null and is never before a row.
     here = F.struct(*[name.lstrip("-") for name in order])
-
-    def halve(span, _):
-        middle = F.floor((span["lo"] + span["hi"]) / 2).cast("int")
-        bound = F.get(F.col(_BOUNDS), middle)
+    most = max((len(r[-1]) for r in bounds), default=0)
+    placed = placed.withColumn(_PIECE, F.lit(0))
+    for power in reversed(range(most.bit_length())):
+        bound = F.get(F.col(_BOUNDS), F.col(_PIECE) + F.lit(2**power - 1))
         under = _compared(order, bound, here) < 0
-        open_span = span["lo"] < span["hi"]
-        return F.struct(
-            F.when(open_span & under, middle + 1).otherwise(span["lo"]).alias("lo"),
-            F.when(open_span & ~under, middle).otherwise(span["hi"]).alias("hi"),
-        )
-
-    start = F.struct(F.lit(0).alias("lo"), F.size(_BOUNDS).alias("hi"))
-    steps = F.sequence(F.lit(1), F.lit(most.bit_length() + 1))
-    return F.aggregate(steps, start, halve, lambda span: span["lo"])
+        placed = placed.withColumn(_PIECE, F.col(_PIECE) + F.when(under, 2**power).otherwise(0))
+    return Pieces(placed, heavy)
 
 
 def _with_offsets(pieces: DataFrame, by: list[str], totals: list[Column], carried) -> DataFrame:

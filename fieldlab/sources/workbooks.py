@@ -9,6 +9,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from itertools import batched
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -77,7 +78,8 @@ def workbook_cells(spark: SparkSession, root: str, glob: str = "*.xlsx") -> Data
         names = ["file", "sheet", "row", "col", "text"]
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                yield pd.DataFrame(list(_read_workbook(path, content)), columns=names)
+                for part in batched(_read_workbook(path, content), 50_000):
+                    yield pd.DataFrame(part, columns=names)
 
     return files.mapInPandas(read, CELLS)
 
