@@ -167,16 +167,18 @@ def with_pieces(
         placed = null_safe_join(df, F.broadcast(table), by, "left")
     else:
         placed = df.withColumn(_BOUNDS, table.scalar())
-    # Count the bounds before a row by halving: one small projection per power of two, which
-    # Spark compiles. A place past the last bound reads as null and is never before a row.
+    # Count the bounds before a row by halving. A place past the last bound reads as null and is
+    # never before a row. One expression, so that the optimizer has no chain of steps to expand.
     here = F.struct(*[name.lstrip("-") for name in order])
     most = max((len(r[-1]) for r in bounds), default=0)
-    placed = placed.withColumn(_PIECE, F.lit(0))
-    for power in reversed(range(most.bit_length())):
-        bound = F.get(F.col(_BOUNDS), F.col(_PIECE) + F.lit(2**power - 1))
-        under = _compared(order, bound, here) < 0
-        placed = placed.withColumn(_PIECE, F.col(_PIECE) + F.when(under, 2**power).otherwise(0))
-    return Pieces(placed, heavy)
+    powers = [2**i for i in reversed(range(max(most.bit_length(), 1)))]
+
+    def advance(place, power):
+        bound = F.get(F.col(_BOUNDS), place + power - 1)
+        return place + F.when(_compared(order, bound, here) < 0, power).otherwise(0)
+
+    steps = F.array(*[F.lit(p) for p in powers])
+    return Pieces(placed.withColumn(_PIECE, F.aggregate(steps, F.lit(0), advance)), heavy)
 
 
 def _with_offsets(pieces: DataFrame, by: list[str], totals: list[Column], carried) -> DataFrame:
