@@ -49,20 +49,24 @@ def rows_per_task(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.fieldlab.rowsPerTask", str(DEFAULT_ROWS_PER_TASK)))
 
 
+_FOLDERS: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local master may go without that setting: a temporary folder is then made. On a
-    cluster a machine-local folder would be lost with its executor, so that is refused.
+    Only a ``local[..]`` master, whose tasks run in the driver's process, may go without that setting: it gets one temporary
+    folder per application. On a cluster a machine-local folder would be lost with its executor, so that is refused.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return shared
-    if not spark.sparkContext.master.startswith("local"):
+        return shared.rstrip("/")
+    context = spark.sparkContext
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a shared folder")
-    folder = tempfile.mkdtemp(prefix="fieldlab-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _FOLDERS:
+        _FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="fieldlab-")
+    return _FOLDERS[context.applicationId]
 
 
 def fresh_path(spark: SparkSession) -> str:
