@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlab.llm import bpe, chat, language, quality
+from fieldlab.llm import bpe, chat, decontam, html, language, licenses, neardup, passages, quality, suffixes
 from fieldlab.llm.frames import table
 from fieldlab.session import written
 
@@ -116,3 +116,43 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.col("source").alias("host"), F.round("host_rate", 6).alias("host_rate"),
     )
+
+
+@query("op1_html")
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extracted(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query("op3_licenses")
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
+@query("op8_suffixes")
+def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = suffixes.deduplicated(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["stop"] - s["start"])
+    return made.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+@query("op9_neardup")
+def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = neardup.grouped(table(spark, sf_dir, "documents"))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return made.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
+@query("op4_decontam")
+def op4_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaks: one row per document and benchmark item found in it."""
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n")
+
+
+@query("op6_passages")
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated passages: one row per passage of a document and an earlier document that has it."""
+    return passages.repeated(table(spark, sf_dir, "documents")).drop("n", "source_n")
