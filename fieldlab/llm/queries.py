@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldlab.llm import bpe, chat, decontam, html, language, licenses, neardup, passages, quality, suffixes
@@ -97,13 +97,16 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def held_out() -> Column:
+    """Documents that nothing is learned from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+
+
 @query("op7_language")
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    remainder = F.crc32(F.col("doc_id").cast("string")) % 3
-    held_out = F.coalesce(remainder == 1, F.lit(False))
-    dictionaries = language.learned(docs.where(~held_out))
-    texts = docs.select("doc_id", "text", held_out.alias("held_out"))
+    dictionaries = language.learned(docs.where(~held_out()))
+    texts = docs.select("doc_id", "text", held_out().alias("held_out"))
     return language.identified(texts, dictionaries).select("doc_id", "held_out", "lang_pred", "score")
 
 
