@@ -110,11 +110,11 @@ _COLUMNS = {
 
 @query("s7_profile_tables", "\nUNION ALL ".join(
     f"SELECT '{name}' AS table_name, '{c}' AS column_name, count(*) AS n_rows, "
-    f"count(*) - count({c}) AS nulls FROM {name}"
+    f"count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS distinct_values FROM {name}"
     for name, columns in _COLUMNS.items() for c in columns.split()
 ))
 def profile_all_tables(t):
-    return profile_tables({name: t.table(name) for name in TABLES})
+    return profile_tables({name: t.table(name) for name in TABLES}, "exact")
 
 
 @query("s8_key_sightings", """
@@ -133,6 +133,18 @@ def sightings_of_orders(t):
     )
 
 
+@query("s3_text_comes_back", """
+SELECT 'documents' AS kind, CAST(doc_id AS VARCHAR) AS id, text FROM documents
+UNION ALL SELECT 'conversations', CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR), text FROM conversations""")
+def text_comes_back(t):
+    """Texts with line breaks, quotes and commas through a CSV report and a scan."""
+    root = fresh_path(t.spark)
+    csv_report(t.documents.select(F.lit("documents").alias("kind"), F.col("doc_id").alias("id"), "text"), f"{root}/documents")
+    turn = F.concat_ws("/", "conv_id", "turn").alias("id")
+    csv_report(t.conversations.select(F.lit("conversations").alias("kind"), turn, "text"), f"{root}/conversations")
+    return scan_delimited(t.spark, root).drop(*SOURCE_COLUMNS)
+
+
 @query("s9_typed_append", """
 SELECT CAST(year(o_orderdate) AS BIGINT) AS year, count(*) * 2 AS n,
   round(2 * sum(o_totalprice), 2) AS total
@@ -150,7 +162,7 @@ def append_twice(t):
         F.to_date("o_orderdate").alias("date"),
         F.col("o_totalprice").cast("string").alias("total"),
         F.year("o_orderdate").alias("year"),
-    ).repartition("year")
+    )
     append_table(text, path, schema, ["year"])
     append_table(text, path, schema, ["year"])
     stored = t.spark.read.schema(schema).parquet(path)

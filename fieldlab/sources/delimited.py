@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import csv
+import io
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 from urllib.parse import quote
@@ -15,24 +17,29 @@ from pyspark.sql import types as T
 
 from fieldlab.operators.sets import stacked
 from fieldlab.operators.shape import fix_headers
+from fieldlab.sources.sinks import QUOTING
 
 #: Every scan adds these: source file, byte offset of the split, and row order inside the split.
 SOURCE_COLUMNS = ["_file", "_block", "_line"]
 
 
-def _first_line(path: str, most: int = 1 << 20) -> str:
-    """First line of a text file, read without fetching the rest."""
+def _first_record(path: str) -> str:
+    """First record of a CSV file, line breaks inside quotes included, read without fetching the rest."""
     where = path if "://" in path else "file://" + path.removeprefix("file:")
     system, name = FileSystem.from_uri(quote(where, safe="/:@%"))
-    with system.open_input_stream(name) as stream:
-        head = b""
-        while b"\n" not in head and len(head) < most and (more := stream.read(1 << 14)):
-            head += more
-    return head.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
+    lines = []
+    with system.open_input_stream(name) as stream, io.BufferedReader(stream) as reader:
+        quotes = 0
+        for line in reader:
+            lines.append(line)
+            quotes += line.count(b'"')
+            if quotes % 2 == 0:
+                break
+    return b"".join(lines).decode("utf-8-sig").rstrip("\r\n")
 
 
 def file_headers(spark: SparkSession, root: str, glob: str = "*.csv") -> list[tuple[str, str]]:
-    """(file, header line) of every matching file under ``root``, editor lock files left out.
+    """(file, header record) of every matching file under ``root``, editor lock files left out.
 
     Files are listed without their content; tasks then open each file and read its head only.
     """
@@ -47,7 +54,7 @@ def file_headers(spark: SparkSession, root: str, glob: str = "*.csv") -> list[tu
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.assign(header=[_first_line(path) for path in batch["path"]])
+            yield batch.assign(header=[_first_record(path) for path in batch["path"]])
 
     found = files.mapInPandas(read, "path string, header string")
     return [(r.path, r.header) for r in found.collect()]
@@ -59,8 +66,8 @@ def scan_delimited(
 ) -> DataFrame:
     """All files as text columns, stacked by fixed header name; missing columns are null.
 
-    Files that share a header line form one scan, so the number of scans is the number of
-    header versions, not of files.
+    Files that share a header form one scan, so the number of scans is the number of header versions, not of
+    files. Quoted cells may hold line breaks; a file is therefore read by one task, and large data come as many files.
     """
     groups: dict[str, list[str]] = defaultdict(list)
     for path, header in headers if headers is not None else file_headers(spark, root, glob):
@@ -69,9 +76,11 @@ def scan_delimited(
         raise FileNotFoundError(f"no {glob} under {root}")
     parts = []
     for header, files in sorted(groups.items()):
-        names = fix_headers(next(csv.reader([header])), repeats)
+        names = fix_headers(next(csv.reader(io.StringIO(header, newline=""))), repeats)
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        df = spark.read.schema(schema).option("header", "true").option("enforceSchema", "true").csv(files)
+        reader = spark.read.schema(schema).options(header="true", enforceSchema="true", **QUOTING, multiLine="true")
+        # Names of files are no patterns.
+        df = reader.csv([re.sub(r"([\\*?\[\]{}])", r"\\\1", file) for file in files])
         parts.append(
             df.select(
                 *names,
@@ -93,7 +102,8 @@ def scan_forms(
     by_sheet: dict[str, list[tuple[str, str]]] = defaultdict(list)
     for path, header in file_headers(spark, root, glob):
         by_sheet[path.split("/")[-2]].append((path, header))
-    form = F.url_decode(F.element_at(F.split("_file", "/"), -3))
+    # A path has spaces and such as %xx; a plus is a plus.
+    form = F.url_decode(F.replace(F.element_at(F.split("_file", "/"), -3), F.lit("+"), F.lit("%2B")))
     return {
         sheet: scan_delimited(spark, root, glob, repeats, files).withColumn("_form", form)
         for sheet, files in sorted(by_sheet.items())

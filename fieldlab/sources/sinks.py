@@ -11,6 +11,10 @@ from fieldlab.operators.shape import typed
 from fieldlab.sources.tables import tables_holding
 
 
+#: CSV options by which any text comes back as it was: a quote is doubled, white space stays.
+QUOTING = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def append_table(
     df: DataFrame, path: str, schema: T.StructType, partition_by: list[str] = (), mode: str = "append"
 ) -> None:
@@ -25,7 +29,7 @@ def snapshot(df: DataFrame, path: str) -> None:
 
 def csv_report(df: DataFrame, path: str) -> None:
     """A report folder of CSV parts with headers; rows stay distributed."""
-    df.write.mode("overwrite").option("header", "true").csv(path)
+    df.write.mode("overwrite").options(header="true", **QUOTING).csv(path)
 
 
 def csv_export(tables: Mapping[str, DataFrame], column: str, root: str) -> list[str]:

@@ -36,6 +36,19 @@ def test_source_order_is_kept(spark, tmp_path):
     assert numbered.filter(F.col("k") != F.col("n").cast("int") + 1).count() == 0
 
 
+def test_line_breaks_long_headers_and_odd_names(spark, frame, tmp_path):
+    names = [f"column number {i:06d}" for i in range(60_000)]
+    write(tmp_path / "long" / "a.csv", ",".join(names) + "\n" + "," * 59_999 + "\n")
+    header = delimited.file_headers(spark, str(tmp_path / "long"))
+    assert len(header[0][1]) > 1 << 20 and header[0][1].endswith(names[-1])
+    write(tmp_path / "odd" / "A+B 100" / "Main" / "x[1].csv", '"a\nb",c\n"one\ntwo ""x"", ",2\n')
+    sheet = delimited.scan_forms(spark, str(tmp_path / "odd"))["Main"]
+    assert values(sheet.select("_form", "a_b", "c")) == [("A+B 100", 'one\ntwo "x", ', "2")]
+    texts = frame("id string, t string", ("1", " lead\r\nand \"quote\", comma\\ "), ("2", None), ("3", "\n"))
+    sinks.csv_report(texts, str(tmp_path / "report"))
+    assert values(delimited.scan_delimited(spark, str(tmp_path / "report")).select("id", "t")) == values(texts)
+
+
 def test_scan_forms_stacks_all_sheet_names(spark, tmp_path):
     write(tmp_path / "June 1" / "Main Data" / "p.csv", "Survey #,# SMB c,# SMB c\n1,2,0\n")
     write(tmp_path / "June 2" / "Main Data" / "p.csv", "Survey #,Wind\n1,5-10\n")
