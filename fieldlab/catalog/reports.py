@@ -13,6 +13,7 @@ from fieldlab.functions import text
 from fieldlab.functions.geo import LAKE_LAT, LAKE_LON
 from fieldlab.operators import aggregates, shape
 from fieldlab.operators.sets import tagged
+from fieldlab.session import written
 from fieldlab.plans import anglers, checks, detections, interviews, nests, species, views
 
 
@@ -38,32 +39,43 @@ def table_view(t):
 
 
 @query("q2_interview_view", """
-WITH s AS (SELECT o_orderkey AS survey, CAST(o_orderdate AS DATE) AS date, o_orderpriority AS site FROM orders),
-c AS (SELECT o_orderkey AS survey, CAST(o_orderdate AS DATE) AS date, sum(l_quantity) AS caught
+WITH s AS (SELECT o_orderkey AS survey, CAST(o_orderdate AS DATE) AS date, o_orderpriority AS site, o_orderstatus AS time FROM orders),
+f AS (SELECT o_orderkey AS survey, CAST(o_orderdate AS DATE) AS date,
+  arg_min(l_partkey, (l_linenumber, l_partkey, l_suppkey, l_extendedprice)) AS species,
+  arg_min(l_quantity, (l_linenumber, l_partkey, l_suppkey, l_extendedprice)) AS time,
+  arg_min(l_suppkey, (-l_linenumber, l_partkey, l_suppkey, l_extendedprice)) AS person,
+  arg_min(l_tax, (-l_linenumber, l_partkey, l_suppkey, l_extendedprice)) AS person_time, sum(l_quantity) AS caught
   FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2),
 a AS (SELECT o_orderkey AS survey, CAST(o_orderdate AS DATE) AS date,
   arg_min(l_returnflag, (l_linenumber, l_partkey, l_suppkey, l_extendedprice)) FILTER (l_linenumber <= 2) AS "Why this location",
   arg_min(l_returnflag, (l_linenumber, l_partkey, l_suppkey, l_extendedprice)) FILTER (l_linenumber > 2) AS "Clean, drain, dry"
   FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2)
-SELECT survey, date, site, caught, "Why this location", "Clean, drain, dry" FROM s LEFT JOIN c USING (survey, date) LEFT JOIN a USING (survey, date)""")
+SELECT survey, date, site, s.time AS time_x, species, f.time AS time_y, person, person_time AS time_x_x, caught AS caught, 'n' || caught AS time_y_y,
+  "Why this location", "Clean, drain, dry" FROM s LEFT JOIN f USING (survey, date) LEFT JOIN a USING (survey, date)""")
 def interview_view(t):
     on = ["survey", "date"]
     surveys = t.orders.select(
-        F.col("o_orderkey").alias("survey"), F.to_date("o_orderdate").alias("date"), F.col("o_orderpriority").alias("site")
+        F.col("o_orderkey").alias("survey"), F.to_date("o_orderdate").alias("date"), F.col("o_orderpriority").alias("site"),
+        F.col("o_orderstatus").alias("time"),
     )
-    fish = t.lineitem.withColumnRenamed("l_orderkey", "survey").join(surveys.select(*on), "survey")
-    caught = fish.groupBy(*on).agg(F.sum("l_quantity").alias("caught"))
-    answers = fish.select(
-        *on, F.when(F.col("l_linenumber") <= 2, 1).otherwise(2).alias("question_id"),
-        F.col("l_returnflag").alias("answer"),
-        F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("_seq"),
+    # Several fish, persons and answers per survey; all sheets have a time. Orders and line items are joined once.
+    lines = written(t.lineitem.withColumnRenamed("l_orderkey", "survey").join(surveys.select(*on), "survey"))
+    place = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("_seq")
+    back = F.struct(-F.col("l_linenumber"), "l_partkey", "l_suppkey", "l_extendedprice").alias("_seq")
+    fish = lines.select(*on, F.col("l_partkey").alias("species"), F.col("l_quantity").alias("time"), place)
+    people = lines.select(*on, F.col("l_suppkey").alias("person"), F.col("l_tax").alias("time"), back)
+    caught = lines.groupBy(*on).agg(F.sum("l_quantity").alias("caught")).withColumn(
+        "time", F.concat(F.lit("n"), F.col("caught").cast("string"))
+    )
+    answers = lines.select(
+        *on, F.when(F.col("l_linenumber") <= 2, 1).otherwise(2).alias("question_id"), F.col("l_returnflag").alias("answer"), place
     )
     names = ["Why this location", "Clean, drain, dry"]
     questions = t.region.filter("r_regionkey IN (1, 2)").select(
         F.col("r_regionkey").alias("question_id"),
         F.when(F.col("r_regionkey") == 1, names[0]).otherwise(names[1]).alias("question"),
     )
-    return views.interview_view([surveys, caught, t.supplier], on, questions, answers, names=names)
+    return views.interview_view([surveys, fish, people, caught, t.supplier], on, questions, answers, names=names)
 
 
 # Raw main sheet built from orders: serial dates, fractional times, several rows per survey.
@@ -123,30 +135,50 @@ def catch_reconciliation(t):
 _REPORT_PART = """SELECT '{0}' AS sheet, variable, count(*) AS n, count(value) AS present, count(try_cast(value AS DOUBLE)) AS converted
 FROM ({1}) GROUP BY 2"""
 _SHEETS = {
-    "main": "SELECT unnest(['o_custkey', 'o_orderstatus']) AS variable, unnest([CAST(o_custkey AS VARCHAR), o_orderstatus]) AS value FROM orders",
-    "demography": "SELECT unnest(['c_mktsegment', 'c_nationkey']) AS variable, unnest([c_mktsegment, CAST(c_nationkey AS VARCHAR)]) AS value FROM customer",
-    "fish": "SELECT unnest(['l_quantity', 'l_discount', 'l_tax']) AS variable, unnest([l_quantity, l_discount, l_tax]) AS value FROM " + _TEXT_LINES,
-    "counts": "SELECT unnest(['event_type', 'user_id']) AS variable, unnest([event_type, CAST(user_id AS VARCHAR)]) AS value FROM events",
+    sheet: f"SELECT date, unnest({columns}) AS variable, unnest([{', '.join(f'CAST({c} AS VARCHAR)' for c in columns)}]) AS value FROM {source}"
+    for sheet, columns, source in (
+        ("main", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"], "(SELECT *, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date FROM orders)"),
+        ("demography", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"], "(SELECT *, NULL::VARCHAR AS date FROM customer)"),
+        ("fish", ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax"], f"(SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM {_TEXT_LINES})"),
+        ("counts", ["event_id", "user_id", "event_type", "props"], "(SELECT *, CAST(CAST(ts AS DATE) AS VARCHAR) AS date FROM events)"),
+    )
 }
 
 
 def _sheets(t):
+    """The four sheets as text, with all their columns of whole numbers and text."""
     return {
-        "main": (shape.as_text(t.orders.withColumn("date", F.to_date("o_orderdate"))), ["o_custkey", "o_orderstatus"]),
-        "demography": (shape.as_text(t.customer.withColumn("date", F.lit(None).cast("date"))), ["c_mktsegment", "c_nationkey"]),
-        "fish": (shape.as_text(text_lines(t)), ["l_quantity", "l_discount", "l_tax"]),
-        "counts": (shape.as_text(t.events.withColumn("date", F.to_date("ts"))), ["event_type", "user_id"]),
+        "main": (shape.as_text(t.orders.withColumn("date", F.to_date("o_orderdate"))), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]),
+        "demography": (shape.as_text(t.customer.withColumn("date", F.lit(None).cast("date"))), ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]),
+        "fish": (shape.as_text(text_lines(t)), ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax"]),
+        "counts": (shape.as_text(t.events.withColumn("date", F.to_date("ts"))), ["event_id", "user_id", "event_type", "props"]),
     }
 
 
+def _reports(t, part):
+    return tagged({name: checks.column_report(df, columns, "date")[part] for name, (df, columns) in _sheets(t).items()}, "sheet")
+
+
 @query("q6_column_reports", f"""
 SELECT sheet, variable, n, present, converted, present - converted AS failed, converted > 0.5 * n AS numeric,
   converted > 0 AND converted >= 0.8 * present AS plottable
 FROM ({' UNION ALL '.join(_REPORT_PART.format(k, v) for k, v in _SHEETS.items())})""")
 def column_reports(t):
-    return tagged(
-        {name: checks.column_report(df, columns, "date")["profile"] for name, (df, columns) in _sheets(t).items()}, "sheet"
-    )
+    return _reports(t, "profile")
+
+
+@query("q6_all_failed_values", f"""
+SELECT * FROM ({' UNION ALL '.join(f"SELECT '{k}' AS sheet, date, variable, value FROM ({v})" for k, v in _SHEETS.items())})
+WHERE value IS NOT NULL AND try_cast(value AS DOUBLE) IS NULL""")
+def all_failed_values(t):
+    return _reports(t, "failed")
+
+
+@query("q6_values_by_day", f"""
+SELECT sheet, variable, date, value, count(*) AS n FROM (
+  {' UNION ALL '.join(f"SELECT '{k}' AS sheet, * FROM ({v})" for k, v in _SHEETS.items())}) GROUP BY ALL""")
+def all_values_by_day(t):
+    return _reports(t, "by_day")
 
 
 @query("q6_failed_values_first_50", f"""
@@ -267,11 +299,12 @@ def angler_origin(t):
 
 
 @query("q13_detection_activity", """
-SELECT 'station' AS report, event_type AS value, count(*) AS n FROM events GROUP BY 2
-UNION ALL SELECT 'day', CAST(CAST(ts AS DATE) AS VARCHAR), count(*) FROM events GROUP BY 2
-UNION ALL SELECT 'hour', CAST(hour(ts) AS VARCHAR), count(*) FROM events GROUP BY 2
-UNION ALL SELECT 'transmitter', CAST(user_id AS VARCHAR), count(*) FROM events GROUP BY 2
-UNION ALL SELECT 'station_transmitter', event_type || '|' || user_id, count(*) FROM events GROUP BY 2""")
+SELECT *, rank() OVER (PARTITION BY report ORDER BY n DESC) AS rank FROM (
+  SELECT 'station' AS report, event_type AS value, NULL::VARCHAR AS transmitter, count(*) AS n FROM events GROUP BY 2
+  UNION ALL SELECT 'day', CAST(CAST(ts AS DATE) AS VARCHAR), NULL, count(*) FROM events GROUP BY 2
+  UNION ALL SELECT 'hour', CAST(hour(ts) AS VARCHAR), NULL, count(*) FROM events GROUP BY 2
+  UNION ALL SELECT 'transmitter', CAST(user_id AS VARCHAR), NULL, count(*) FROM events GROUP BY 2
+  UNION ALL SELECT 'station_transmitter', event_type, CAST(user_id AS VARCHAR), count(*) FROM events GROUP BY 2, 3)""")
 def detection_activity(t):
     return detections.activity(t.events, "ts", "event_type", "user_id")
 
@@ -311,6 +344,42 @@ def nest_depths(t):
     return _rounded(nests.outcome_report(labelled, "status", "substrate", "depth")["depth"])
 
 
+@query("q14_nest_substrates", """
+SELECT l_linestatus AS substrate, CASE l_returnflag WHEN 'A' THEN 'Destroyed' ELSE 'Not Destroyed' END AS status, count(*) AS n
+FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1, 2""")
+def nest_substrates(t):
+    rows = t.lineitem.select(
+        F.when(F.col("l_returnflag") == "A", "Nest destroyed.").when(F.col("l_returnflag") == "N", "Nest not destroyed.").alias("activity"),
+        F.col("l_linestatus").alias("substrate"), (F.col("l_tax") + F.col("l_discount")).alias("depth"),
+    )
+    return nests.outcome_report(nests.outcome_status(rows, "activity"), "status", "substrate", "depth")["substrate"]
+
+
+def _fish(t):
+    return t.lineitem.select(F.col("l_linenumber").alias("age"), "l_extendedprice", "l_returnflag")
+
+
+@query("q15_sexes", "SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1")
+def sexes(t):
+    return anglers.age_structure(_fish(t), "age", "l_extendedprice", "l_returnflag", 64)["sexes"]
+
+
+@query("q15_length_density", """
+WITH r AS (SELECT min(l_extendedprice) AS lo, (max(l_extendedprice) - min(l_extendedprice)) / 63 AS step FROM lineitem),
+s AS (SELECT l_returnflag, count(*) AS n, stddev_samp(l_extendedprice) AS sd,
+  quantile_cont(l_extendedprice, 0.75) - quantile_cont(l_extendedprice, 0.25) AS iqr FROM lineitem GROUP BY 1),
+b AS (SELECT l_returnflag, n, 0.9 * least(sd, iqr / 1.34) * pow(n, -0.2) AS bw FROM s),
+p AS (SELECT l_returnflag, least(floor((l_extendedprice - lo) / step), 62) AS i,
+  (l_extendedprice - lo) / step - least(floor((l_extendedprice - lo) / step), 62) AS w FROM lineitem, r),
+g AS (SELECT l_returnflag, i, sum(w) AS w FROM (SELECT l_returnflag, i, 1 - w AS w FROM p UNION ALL SELECT l_returnflag, i + 1, w FROM p) GROUP BY 1, 2)
+SELECT l_returnflag, CAST(j AS INTEGER) AS point, round(lo + j * step, 6) AS x,
+  round(sum(w * exp(-0.5 * ((j - i) * step / bw) * ((j - i) * step / bw))) / (n * bw * sqrt(2 * pi())), 9) AS density
+FROM g JOIN b USING (l_returnflag), r, range(64) grid(j) GROUP BY l_returnflag, j, n, bw, lo, step""")
+def length_density(t):
+    curve = anglers.age_structure(_fish(t), "age", "l_extendedprice", "l_returnflag", 64)["density"]
+    return curve.withColumns({"x": F.round("x", 6), "density": F.round("density", 9)})
+
+
 @query("q15_age_shares", """
 SELECT l_linenumber AS age, count(*) AS n, count(*) * 1.0::DOUBLE / (SELECT count(*) FROM lineitem) AS share FROM lineitem GROUP BY 1""")
 def age_shares(t):

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from fieldlab.catalog.registry import query
 from fieldlab.operators import reshape, sets, shape
-from fieldlab.plans.interviews import answer_table
+from fieldlab.plans.interviews import answer_table, answers_by_run, older_main_splits
 from fieldlab.sources import workbooks
 
 
@@ -197,14 +197,16 @@ def constant(t):
 
 
 @query("p18_older_splits", """
-SELECT 'shifts' AS split, o_orderkey AS survey, o_orderpriority AS attribute FROM orders
-UNION ALL SELECT 'catch', o_orderkey, o_orderstatus FROM orders""")
+SELECT o_orderkey AS survey, unnest(['shifts', 'catch', 'weather', 'fishing_details']) AS split,
+  unnest([o_orderpriority, o_orderstatus, CAST(o_custkey % 7 AS VARCHAR), CAST(o_custkey AS VARCHAR)]) AS attribute FROM orders""")
 def older_splits(t):
-    main = t.orders.withColumnsRenamed({"o_orderkey": "survey"})
-    main.select("survey", F.col("o_orderpriority").alias("attribute")).createOrReplaceTempView("creel_shifts")
-    main.select("survey", F.col("o_orderstatus").alias("attribute")).createOrReplaceTempView("creel_catch")
-    spark = t.spark
-    return sets.tagged({"shifts": spark.table("creel_shifts"), "catch": spark.table("creel_catch")}, "split")
+    main = t.orders.select(
+        F.col("o_orderkey").alias("survey"), F.col("o_orderpriority").alias("shift"), F.col("o_orderstatus").alias("number_smb_c"),
+        (F.col("o_custkey") % 7).cast("string").alias("wind"), F.col("o_custkey").cast("string").alias("vessel"),
+    )
+    parts = older_main_splits(main, "survey")
+    named = {name: df.withColumnRenamed(next(c for c in df.columns if c != "survey"), "attribute") for name, df in parts.items()}
+    return sets.tagged(named, "split")
 
 
 @query("p19_name_pattern", "SELECT l_orderkey, l_partkey, l_suppkey FROM lineitem")
@@ -258,8 +260,7 @@ def lookup_matrix(t):
         F.lit("X").alias("nation"),
         F.lit("").alias("customer"),
     )
-    names = [c for c in matrix.columns if c != "TableName"]
-    return reshape.to_long(matrix, ["TableName"], names, "name", "mark").filter("mark = 'X'").drop("mark")
+    return reshape.chosen_tables(matrix)
 
 
 @query("r5_split_columns", """
@@ -319,6 +320,15 @@ def tagged_stack(t):
     )
 
 
+@query("q4_answers_with_runs", """
+WITH d AS (SELECT *, dense_rank() OVER (ORDER BY CAST(l_shipdate AS DATE)) - 1 AS run FROM lineitem)
+SELECT l_orderkey AS survey, l_linenumber AS fish, CAST(l_shipdate AS DATE) AS date, run, unnest([1, 2, 3])::BIGINT AS question_id,
+  unnest(['l_returnflag', 'l_linestatus', 'l_partkey']) AS question, unnest([l_returnflag, l_linestatus, CAST(l_partkey AS VARCHAR)]) AS answer FROM d""")
+def answers_with_runs(t):
+    main = t.lineitem.withColumnsRenamed({"l_orderkey": "survey", "l_linenumber": "fish"}).withColumn("date", F.to_date("l_shipdate"))
+    return answers_by_run(main, ["survey", "fish"], "date", ["l_returnflag", "l_linestatus", "l_partkey"])
+
+
 @query("q4_question_answers", """
 SELECT l_orderkey AS survey, l_linenumber AS fish, unnest([1, 2, 3])::BIGINT AS question_id,
   unnest([l_returnflag, l_linestatus, CAST(l_partkey AS VARCHAR)]) AS answer FROM lineitem""")

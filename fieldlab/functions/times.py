@@ -25,24 +25,41 @@ FORMATS = {
 }
 
 
+#: Day numbers of 0001-01-01 and 9999-12-31; cells beyond are no dates.
+FIRST_SERIAL, LAST_SERIAL = -693593, 2958465
+
+
+def _serial(c: Column | str) -> Column:
+    """A spreadsheet day number, null if it is no number or out of range."""
+    x = to_number(c)
+    return F.when((x >= FIRST_SERIAL) & (x < LAST_SERIAL + 1), x)
+
+
 def serial_date(c: Column | str) -> Column:
-    """Spreadsheet day number (text or numeric) to date; day 0 is 1899-12-30."""
-    return F.date_add(F.lit("1899-12-30").cast("date"), F.floor(to_number(c)).cast("int"))
+    """Spreadsheet day number (text or numeric) to date; day 0 is 1899-12-30. Out of range: null."""
+    return F.date_add(F.lit("1899-12-30").cast("date"), F.floor(_serial(c)).cast("int"))
 
 
 def serial_seconds(c: Column | str) -> Column:
-    """Fraction of a spreadsheet day number as seconds of the day."""
-    x = to_number(c)
+    """Fraction of a spreadsheet day number as seconds of the day. Out of range: null."""
+    x = _serial(c)
     return F.round((x - F.floor(x)) * SECONDS_PER_DAY).cast("int")
 
 
 def parse_date(c: Column | str, order: str) -> Column:
-    """Date from text in one of the FORMATS orders; text that does not fit gives null."""
+    """Date from text in one of the FORMATS orders; text that does not fit gives null.
+
+    Years of two digits are 1969 to 2068.
+    """
     text = F.trim(as_column(c))
     if order in ("mdy", "dmy"):
         text = F.regexp_replace(text, r"[-. ]", "/")
+        text = F.regexp_replace(text, r"^([0-9]{1,2}/[0-9]{1,2})/([0-5][0-9]|6[0-8])$", "$1/20$2")
+        text = F.regexp_replace(text, r"^([0-9]{1,2}/[0-9]{1,2})/([0-9]{2})$", "$1/19$2")
     elif order == "ymd":
         text = F.regexp_replace(text, r"[/. ]", "-")
+        text = F.regexp_replace(text, r"^([0-5][0-9]|6[0-8])-([0-9]{1,2}-[0-9]{1,2})$", "20$1-$2")
+        text = F.regexp_replace(text, r"^([0-9]{2})-([0-9]{1,2}-[0-9]{1,2})$", "19$1-$2")
     return F.to_date(F.try_to_timestamp(text, F.lit(FORMATS[order])))
 
 
@@ -52,7 +69,7 @@ def parse_moment(c: Column | str) -> Column:
 
 
 def clock_seconds(c: Column | str) -> Column:
-    """Seconds of the day from ``h:m`` or ``h:m:s`` text; anything else gives null."""
+    """Seconds of the day from ``h:m`` or ``h:m:s`` text, 24:00 at most; anything else gives null."""
     text = F.trim(as_column(c))
     part = F.split(text, ":")
     seconds = (
@@ -60,7 +77,7 @@ def clock_seconds(c: Column | str) -> Column:
         + F.get(part, F.lit(1)).try_cast("int") * 60
         + F.coalesce(F.get(part, F.lit(2)).try_cast("int"), F.lit(0))
     )
-    return F.when(text.rlike(r"^[0-9]{1,2}:[0-9]{2}(:[0-9]{2})?$"), seconds)
+    return F.when(text.rlike(r"^(([01]?[0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9])?|24:00(:00)?)$"), seconds)
 
 
 def clock_text(c: Column | str, with_seconds: bool = True) -> Column:

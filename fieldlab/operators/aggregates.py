@@ -97,18 +97,15 @@ def top_categories(df: DataFrame, by: str, k: int = 6) -> DataFrame:
     return ranked_counts(df, by).limit(k)
 
 
-def complete_counts(df: DataFrame, a: str, b: str, most_levels: int = 10_000) -> DataFrame:
+def complete_counts(df: DataFrame, a: str, b: str) -> DataFrame:
     """Counts for every combination of the values of two columns, 0 where none occurs.
 
-    The values of ``b`` are read once and must be few (category levels); each value of ``a``
-    then brings its own list of combinations.
+    The levels of ``b`` are one array, made by an aggregate over its distinct values; each value of
+    ``a`` brings its own list of combinations.
     """
     n = counts(df.dropna(subset=[a, b]), a, b)
-    levels = [r[0] for r in df.select(b).dropna().distinct().orderBy(b).limit(most_levels + 1).collect()]
-    if len(levels) > most_levels:
-        raise ValueError(f"{b} has more than {most_levels} values")
-    array = F.array(*[F.lit(v) for v in levels]).cast(f"array<{df.schema[b].dataType.simpleString()}>")
-    grid = df.select(a).dropna().distinct().select(a, F.explode(array).alias(b))
+    levels = df.select(b).dropna().distinct().agg(F.collect_list(b)).scalar()
+    grid = df.select(a).dropna().distinct().select(a, F.explode(levels).alias(b))
     return grid.join(n, [a, b], "left").fillna(0, ["n"])
 
 

@@ -37,10 +37,21 @@ def join_on(
     how: str = "left",
     suffixes: tuple[str, str] = ("_x", "_y"),
 ) -> DataFrame:
-    """Null-safe join keeping one copy of the keys; other equal names get suffixes."""
+    """Null-safe join keeping one copy of the keys; other equal names get suffixes, repeated until they are free."""
     clash = [c for c in shared_columns(left, right) if c not in on]
-    left = left.withColumnsRenamed({c: c + suffixes[0] for c in clash})
-    right = right.withColumnsRenamed({c: c + suffixes[1] for c in clash})
+    taken = {*left.columns, *right.columns}
+
+    def renamed(df: DataFrame, suffix: str) -> DataFrame:
+        names = {}
+        for c in clash:
+            made = c + suffix
+            while made in taken:
+                made += suffix
+            taken.add(made)
+            names[c] = made
+        return df.withColumnsRenamed(names)
+
+    left, right = renamed(left, suffixes[0]), renamed(right, suffixes[1])
     return in_front(null_safe_join(left, right, on, how), *on)
 
 

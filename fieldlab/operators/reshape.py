@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -32,37 +33,37 @@ def to_long_split(
 
 def to_wide(
     df: DataFrame, keys: list[str], name: str, value: str, order: str,
-    names: list[str] | None = None, most: int = 200,
+    names: list[str] | None = None,
 ) -> DataFrame:
     """Long to wide; where a cell has several values the first known one by ``order`` wins.
 
-    Without ``names`` the distinct values of ``name`` are read once and must be few.
+    Without ``names`` the distinct values of ``name`` are read once: they are the result's columns.
     """
     if names is None:
-        found = df.select(name).dropna().distinct().orderBy(name).limit(most + 1).collect()
-        if len(found) > most:
-            raise ValueError(f"{name} has more than {most} values")
-        names = [r[0] for r in found]
+        names = [r[0] for r in df.select(name).dropna().distinct().orderBy(name).collect()]
     return df.groupBy(*keys).pivot(name, names).agg(
         F.min_by(value, F.when(F.col(value).isNotNull(), F.col(order)))
     )
 
 
-def chosen_tables(matrix: DataFrame, display_name: str, id_column: str = "TableName") -> DataFrame:
-    """Physical tables marked ``X`` for one display name in a look-up matrix."""
+def chosen_tables(matrix: DataFrame, display_name: str | None = None, id_column: str = "TableName") -> DataFrame:
+    """Physical tables marked ``X`` in a look-up matrix, for one display name or for all."""
     names = [c for c in matrix.columns if c != id_column]
-    long = to_long(matrix.filter(F.col(id_column) == display_name), [id_column], names, "name", "mark")
+    if display_name is not None:
+        matrix = matrix.filter(F.col(id_column) == display_name)
+    long = to_long(matrix, [id_column], names, "name", "mark")
     return long.filter(F.col("mark") == "X").select(id_column, "name")
 
 
 def split_rows(df: DataFrame, column: str, separator: str = ",") -> DataFrame:
-    """One row per non-blank, trimmed part of a delimited cell."""
-    parts = F.explode(F.split(F.col(column), separator))
+    """One row per non-blank, trimmed part of a delimited cell; the separator is plain text."""
+    parts = F.explode(F.split(F.col(column), re.escape(separator)))
     return df.withColumn(column, parts).withColumn(column, strip(column)).filter(F.col(column) != "")
 
 
 def split_columns(df: DataFrame, column: str, separator: str, into: Sequence[str]) -> DataFrame:
-    parts = F.split(F.col(column), separator)
+    """Columns from the parts of a delimited cell; the separator is plain text."""
+    parts = F.split(F.col(column), re.escape(separator))
     return df.withColumns({name: F.get(parts, F.lit(i)) for i, name in enumerate(into)})
 
 

@@ -20,20 +20,25 @@ def fix_header(name: str) -> str:
 def fix_headers(names: list[str], repeats: tuple[str, ...] = ()) -> list[str]:
     """Headers of one sheet as unique names.
 
-    Where a sheet prints one header twice, the n-th copy takes the n-th ending of ``repeats``
-    in place of the last part (caught ``_c`` comes before retained ``_r``); beyond that a
-    number is added.
+    Where a sheet prints a header twice that ends in the first of ``repeats``, the n-th copy takes
+    the n-th ending (caught ``_c`` comes before retained ``_r``). Other copies get the next free
+    number; names that stand in the sheet as they are keep their place.
     """
-    seen: dict[str, int] = {}
+    wanted = [fix_header(name) for name in names]
+    taken, seen = set(), {}
     fixed = []
-    for name in map(fix_header, names):
+    for name in wanted:
         k = seen.get(name, 0)
         seen[name] = k + 1
-        if k and k < len(repeats):
-            name = re.sub(r"_[^_]*$", "", name) + "_" + repeats[k]
-        elif k:
-            name = f"{name}_{k + 1}"
-        fixed.append(name)
+        made = name
+        if 0 < k < len(repeats) and name.endswith(f"_{repeats[0]}"):
+            made = name.removesuffix(repeats[0]) + repeats[k]
+        number = k + 1
+        while made in taken or (made != name and made in wanted):
+            made = f"{name}_{max(2, number)}"
+            number += 1
+        taken.add(made)
+        fixed.append(made)
     return fixed
 
 
@@ -55,10 +60,14 @@ def move_before(df: DataFrame, names: list[str], anchor: str) -> DataFrame:
 
 
 def coalesce_synonyms(df: DataFrame, synonyms: dict[str, list[str]]) -> DataFrame:
-    """Fill each target from drifted spellings of its header, then drop the spellings."""
+    """Fill each target from drifted spellings of its header, then drop the spellings.
+
+    A target of which no spelling is there becomes null text.
+    """
     for target, names in synonyms.items():
         present = [c for c in dict.fromkeys([target, *names]) if c in df.columns]
-        df = df.withColumn(target, F.coalesce(*present)).drop(*[c for c in present if c != target])
+        value = F.coalesce(*present) if present else F.lit(None).cast("string")
+        df = df.withColumn(target, value).drop(*[c for c in present if c != target])
     return df
 
 

@@ -79,19 +79,22 @@ def summary(df: DataFrame, columns: list[str], budget: int | None = None) -> Dat
 
 
 def box_stats(df: DataFrame, by: list[str], value: str, budget: int | None = None) -> DataFrame:
-    """Quartiles, whiskers (last values within 1.5 interquartile ranges) and outlier count."""
+    """Quartiles, whiskers (last values within 1.5 interquartile ranges) and outlier count.
+
+    Whiskers and outliers come from the counts of distinct values, not from the rows again.
+    """
     quartile = quantiles(df, by, value, QUARTILES, budget)
-    present = df.filter(F.col(value).isNotNull()).select(*by, value)
-    full = spread_join(present, quartile, by, "inner", budget)
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    full = spread_join(counted, quartile, by, "inner", budget)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     x = F.col(value)
     inside = (x >= F.col("q1") - reach) & (x <= F.col("q3") + reach)
     return full.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.sum("_n").alias("n"),
         *[F.max(q).alias(q) for q in QUARTILES],
         F.min(F.when(inside, x)).alias("whisker_low"),
         F.max(F.when(inside, x)).alias("whisker_high"),
-        F.sum((~inside).cast("long")).alias("outliers"),
+        F.sum(F.when(~inside, F.col("_n")).otherwise(0)).alias("outliers"),
     )
 
 
@@ -139,17 +142,18 @@ def density(
 
     Each value shares its weight between its two neighbouring grid points, so the data shrink to
     at most ``grid`` weights per group before the kernel is applied. The bandwidth is
-    ``0.9 * min(sd, iqr / 1.34) * n ** -0.2``.
+    ``0.9 * min(sd, iqr / 1.34) * n ** -0.2``; without spread the size of the group's smallest value takes the place of
+    the spread, or 1 for zero. If all values are equal, the grid has the width of one.
     """
     present = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_x"))
     low, high = present.agg(F.min("_x")).scalar(), present.agg(F.max("_x")).scalar()
-    step = (high - low) / (grid - 1)
+    step = F.when(high > low, high - low).otherwise(F.lit(1.0)) / (grid - 1)
     iqr = quantiles(present, by, "_x", QUARTILES, budget)
     spread = present.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"), F.stddev_samp("_x").alias("_sd")
+        F.count(F.lit(1)).alias("_n"), F.stddev_samp("_x").alias("_sd"), F.abs(F.min("_x")).alias("_size")
     )
     narrow = F.least(F.col("_sd"), (F.col("q3") - F.col("q1")) / 1.34)
-    scale = F.when(narrow > 0, narrow).when(F.col("_sd") > 0, F.col("_sd")).otherwise(F.lit(1.0))
+    scale = F.when(narrow > 0, narrow).when(F.col("_sd") > 0, F.col("_sd")).when(F.col("_size") > 0, F.col("_size")).otherwise(F.lit(1.0))
     width = null_safe_join(spread, iqr, by, "inner").select(
         *by, "_n", (scale * 0.9 * F.pow("_n", F.lit(-0.2))).alias("_bw")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,16 +32,34 @@ def origin_bins(interviews: DataFrame, keys: list[str], order: list[str], postco
     return distance_bins(origin_distances(interviews, keys, order, postcodes), "distance_km")
 
 
+class Reports(Mapping):
+    """Named reports that are built on look-up, so that unused ones start no jobs."""
+
+    def __init__(self, builders: dict):
+        self._builders = builders
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._builders[name]()
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 def age_structure(
     df: DataFrame, age: str, length: str, sex: str, grid: int = 512, budget: int | None = None
-) -> dict[str, DataFrame]:
-    """Counts and shares by age, length-at-age box figures, length density by sex."""
-    return {
-        "ages": shares(df, age, scale=1.0, name="share"),
-        "length_at_age": box_stats(df, [age], length, budget),
-        "density": density(df, [sex], length, grid, budget),
-        "sexes": counts(df, sex),
-    }
+) -> Mapping[str, DataFrame]:
+    """Counts and shares by age, length-at-age box figures, length density by sex, counts by sex; each is made when it is asked for."""
+    return Reports(
+        {
+            "ages": lambda: shares(df, age, scale=1.0, name="share"),
+            "length_at_age": lambda: box_stats(df, [age], length, budget),
+            "density": lambda: density(df, [sex], length, grid, budget),
+            "sexes": lambda: counts(df, sex),
+        }
+    )
 
 
 def answer_shares(df: DataFrame, question: str, question_id, answer: str, digits: int | None = 1):

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldlab.functions.geo import ddm_to_degrees, west_negative
 from fieldlab.functions.text import after_dash
 from fieldlab.functions.times import serial_date
-from fieldlab.operators.aggregates import counts, keep_first, ranked_counts
+from fieldlab.operators.aggregates import keep_first, ranked_counts
 from fieldlab.operators.joins import mapped_once, merge_inner
 from fieldlab.operators.shape import fix_headers
 from fieldlab.sources.workbooks import labelled_value, promote_header
@@ -20,11 +20,12 @@ WESTERN_BOUND = -123.0
 def repair_coordinates(detections: DataFrame, stations: DataFrame) -> DataFrame:
     """Replace coordinates of out-of-bounds or missing longitudes from the station registry.
 
-    ``stations`` has one row per ``station_label`` with ``station_lat`` and ``station_lon`` as
-    degrees and decimal minutes. Rows on the bound and rows without longitude are kept. All
-    longitudes end up negative.
+    ``stations`` has ``station_label``, ``station_lat`` and ``station_lon`` as degrees and decimal minutes. Of a label
+    that is listed more than once, the first row by latitude, then longitude (as text, nulls last) counts, so that
+    detections are never multiplied. Rows on the bound and rows without longitude are kept. All longitudes end up negative.
     """
-    known = stations.select(
+    once = keep_first(stations.dropna(subset=["station_label"]), ["station_label"], ["station_lat", "station_lon"])
+    known = once.select(
         F.col("station_label").alias("receiver_name"),
         ddm_to_degrees("station_lat").alias("_lat"),
         ddm_to_degrees("station_lon").alias("_lon"),
@@ -65,7 +66,7 @@ def times_seen(matched: DataFrame, key: str) -> DataFrame:
 
 
 def activity(detections: DataFrame, moment: str, station: str, transmitter: str) -> DataFrame:
-    """Detection counts by station, day, hour, transmitter and station by transmitter.
+    """Detection counts by station, day, hour, transmitter and station by transmitter, with ranks.
 
     One grouping by station, transmitter, day and hour reads the detections; the five reports
     are sums over it.
@@ -76,19 +77,20 @@ def activity(detections: DataFrame, moment: str, station: str, transmitter: str)
         F.to_date(moment).cast("string").alias("_d"),
         F.hour(moment).cast("string").alias("_h"),
     ).agg(F.count(F.lit(1)).alias("n"))
+    none = F.lit(None).cast("string")
     reports = {
-        "station": F.col("_s"),
-        "day": F.col("_d"),
-        "hour": F.col("_h"),
-        "transmitter": F.col("_t"),
-        "station_transmitter": F.concat_ws("|", "_s", "_t"),
+        "station": (F.col("_s"), none),
+        "day": (F.col("_d"), none),
+        "hour": (F.col("_h"), none),
+        "transmitter": (F.col("_t"), none),
+        "station_transmitter": (F.col("_s"), F.col("_t")),
     }
     parts = [
-        F.struct(F.lit(name).alias("report"), value.alias("value")) for name, value in reports.items()
+        F.struct(F.lit(name).alias("report"), value.alias("value"), other.alias("transmitter"))
+        for name, (value, other) in reports.items()
     ]
     long = base.select(F.inline(F.array(*parts)), "n")
-    return long.groupBy("report", "value").agg(F.sum("n").alias("n"))
-
-
-def station_transmitter_matrix(detections: DataFrame, station: str, transmitter: str) -> DataFrame:
-    return counts(detections, station, transmitter)
+    counted = long.groupBy("report", "value", "transmitter").agg(F.sum("n").alias("n"))
+    # Reports are ranked by size; one row per distinct value is left by now.
+    place = F.rank().over(Window.partitionBy("report").orderBy(F.desc("n")))
+    return counted.withColumn("rank", place.cast("long"))

@@ -17,8 +17,8 @@ from fieldlab.functions.times import (
 from fieldlab.operators.aggregates import first_known, reconcile
 from fieldlab.operators.reshape import to_long
 from fieldlab.operators.sets import tagged
-from fieldlab.operators.shape import coalesce_synonyms
-from fieldlab.operators.windows import renumber_within, spread_collisions
+from fieldlab.operators.shape import coalesce_synonyms, matching
+from fieldlab.operators.windows import renumber_within, run_ids, spread_collisions
 
 
 def clean_main(
@@ -70,6 +70,28 @@ def answer_table(df: DataFrame, ids: list[str], columns: list[str]) -> DataFrame
     return long.select(*ids, place.alias("question_id"), "answer")
 
 
+def answers_by_run(df: DataFrame, ids: list[str], day: str, columns: list[str]) -> DataFrame:
+    """Answers with their question and the run of their date; runs follow the dates."""
+    long = answer_table(df, [*ids, day], columns)
+    questions = question_table(df, columns)
+    return run_ids(long.join(questions, "question_id"), day, "run").select(*ids, day, "run", "question_id", "question", "answer")
+
+
+# Which columns of the main sheet the older layout kept in which table.
+OLDER_SPLITS = {
+    "shifts": r"^(surveyor|shift|site)",
+    "weather": r"^(air_temp|cloud|wind|precip)",
+    "fishing_details": r"^(vessel|number_(anglers|rods)|total_person_hr|preferred)",
+    "catch": r"^(number_.*_[cr]$|total_fish|total_retained|release_reason)",
+}
+
+
+def older_main_splits(df: DataFrame, key: str) -> dict[str, DataFrame]:
+    """The main sheet as the older layout's tables: the key and the columns that belong to each; tables without columns are left out."""
+    chosen = {name: [c for c in matching(df, pattern) if c != key] for name, pattern in OLDER_SPLITS.items()}
+    return {name: df.select(key, *columns) for name, columns in chosen.items() if columns}
+
+
 def catch_reconciliation(
     df: DataFrame, caught: tuple[list[str], str], retained: tuple[list[str], str], by: list[str]
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldlab.functions.geo import coordinate_kind, lonlat_to_utm, ordered_utm
 from fieldlab.functions.numbers import to_number
-from fieldlab.functions.text import categorise, fragments, nest_activity
+from fieldlab.functions.text import fragments, nest_activity
 from fieldlab.operators.aggregates import counts
 from fieldlab.operators.stats import bins_histogram
 
@@ -61,7 +61,3 @@ def outcome_report(df: DataFrame, status: str, substrate: str, depth: str) -> di
         "substrate": counts(df, substrate, status),
         "depth": bins_histogram(df, depth, 30, [status]),
     }
-
-
-def reason_of_answer(df: DataFrame, answer: str, rules: list[tuple[str, str]]) -> DataFrame:
-    return df.withColumn("reason", categorise(answer, rules))

@@ -7,8 +7,9 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldlab.operators.aggregates import first_known
 from fieldlab.operators.filters import between_dates, facet_filter
-from fieldlab.operators.joins import full_join_all, join_on, natural_join_all
+from fieldlab.operators.joins import full_join_all, natural_join_all
 from fieldlab.operators.reshape import chosen_tables, to_wide
 from fieldlab.operators.shape import in_front
 
@@ -47,14 +48,22 @@ def interview_view(
     parts: list[DataFrame], on: list[str], questions: DataFrame | None = None,
     answers: DataFrame | None = None, order: str = "_seq", names: list[str] | None = None,
 ) -> DataFrame | None:
-    """Survey parts fully joined on their keys, with one column per question.
+    """One row per survey: the parts' first known values fully joined on their keys, with one column per question.
 
-    Only parts that hold all keys take part. Answers are turned wide before the join, so they
-    cannot multiply the other rows. None if nothing qualifies.
+    Only parts that hold all keys take part. Each is brought to one row per key first, so parts cannot multiply each other;
+    ``order`` tells which row comes first, or all columns of a part without it. Answers without questions are a part like
+    others; questions alone are shown as they are if nothing else is. None if nothing qualifies.
     """
-    usable = [p for p in parts if set(on) <= set(p.columns)]
-    joined = full_join_all(usable, on) if usable else None
-    if questions is None or answers is None:
-        return joined
-    wide = answers_wide(questions, answers, on, order, names)
-    return wide if joined is None else join_on(joined, wide, on, "full")
+    both = questions is not None and answers is not None
+    parts = [*parts, *([answers] if answers is not None and not both else [])]
+    usable = [_first_of_keys(p, on, order) for p in parts if set(on) <= set(p.columns)]
+    if both:
+        usable.append(answers_wide(questions, answers, on, order, names))
+    return full_join_all(usable, on) if usable else questions
+
+
+def _first_of_keys(part: DataFrame, on: list[str], order: str) -> DataFrame:
+    columns = [c for c in part.columns if c not in (*on, order)]
+    if order not in part.columns:
+        part = part.withColumn(order, F.struct(*columns) if columns else F.lit(0))
+    return first_known(part, on, order, columns) if columns else part.select(*on).distinct()

@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from fieldlab import catalog
 from compare import differences, duck
 from conftest import SMALL
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.load().QUERIES, catalog.load().ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -112,3 +112,13 @@ def test_utm_control_points(frame):
     assert rows[1] == pytest.approx((500000, 0.9996 * 4984944.378), abs=0.01)
     back = frame("e double, n double", *[tuple(r) for r in rows]).select(*geo.utm_to_lonlat("e", "n"))
     assert [c for r in back.collect() for c in r] == pytest.approx([-123, 0, -123, 45, -121.978, 49.0679], abs=1e-9)
+
+
+def test_dates_out_of_range_and_short_years(frame):
+    df = frame("s string", ("99999999999",), ("1e300",), ("-1e9",), ("45292.5",))
+    assert values(df.select(times.serial_date("s"), times.serial_seconds("s"))) == sorted(
+        [(None, None)] * 3 + [(dt.date(2024, 1, 1), 43200)], key=str)
+    clocks = frame("s string", ("25:75",), ("24:00",), ("23:59:59",), ("24:01",), ("7:05",))
+    assert values(clocks.select(times.clock_seconds("s"))) == sorted([(None,), (86400,), (86399,), (None,), (25500,)], key=str)
+    short = frame("s string", ("5/1/24",), ("5/1/69",), ("05-01-2024",))
+    assert values(short.select(times.parse_date("s", "mdy"))) == [(dt.date(1969, 5, 1),), (dt.date(2024, 5, 1),), (dt.date(2024, 5, 1),)]

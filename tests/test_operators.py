@@ -101,8 +101,11 @@ def test_shares_sum_to_one(store):
 def test_complete_counts_zero_fill(frame):
     df = frame("a string, b string", ("x", "p"), ("x", "p"), ("y", "q"), (None, "p"))
     assert values(aggregates.complete_counts(df, "a", "b")) == [("x", "p", 2), ("x", "q", 0), ("y", "p", 0), ("y", "q", 1)]
-    with pytest.raises(ValueError):
-        aggregates.complete_counts(df, "a", "b", most_levels=1)
+
+
+def test_complete_counts_of_many_levels(spark):
+    df = spark.range(10_001).selectExpr("id % 2 AS a", "CAST(id AS STRING) AS b")
+    assert values(aggregates.complete_counts(df, "a", "b").groupBy("n").count()) == [(0, 10_001), (1, 10_001)]
 
 
 def test_facets_limits(frame):
@@ -209,3 +212,31 @@ def test_audits(frame):
     parent = frame("id int", (1,), (2,))
     assert values(validate.orphan_report([("f", df, ["f"], parent, ["id"])])) == [("f", 1, 2)]
     assert values(maintain.load_check(df.dropna(), parent.withColumnRenamed("id", "k"), ["k"])) == [(2, 2, 0)]
+
+
+def test_density_of_one_value(frame):
+    curve = stats.density(frame("g string, v double", ("a", 4.0), ("a", 4.0), ("b", 4.0)), ["g"], "v", 8)
+    assert curve.count() == 16 and curve.filter("density IS NULL OR x < 4 OR x > 5").count() == 0
+
+
+def test_join_names_stay_unique(frame):
+    parts = [frame("k int, n int", (1, i)) for i in range(5)]
+    got = joins.full_join_all(parts, ["k"])
+    assert len(set(got.columns)) == 6 and sorted(got.first()[1:]) == [0, 1, 2, 3, 4]
+
+
+def test_many_pivoted_names(spark):
+    long = spark.range(201).selectExpr("1 AS k", "concat('n', id) AS name", "id AS value")
+    assert len(reshape.to_wide(long, ["k"], "name", "value", "value").columns) == 202
+
+
+def test_separators_are_plain_text(frame):
+    df = frame("t string", ("a.b",))
+    assert values(reshape.split_rows(df, "t", ".")) == [("a",), ("b",)]
+    assert values(reshape.split_columns(df, "t", ".", ["x", "y"]).select("x", "y")) == [("a", "b")]
+
+
+def test_headers_and_synonyms(frame):
+    assert shape.fix_headers(["Air Temp", "Air Temp", "# SMB c", "# SMB c", "a", "a", "a_2"], ("c", "r")) == [
+        "air_temp", "air_temp_2", "no_smb_c", "no_smb_r", "a", "a_3", "a_2"]
+    assert shape.coalesce_synonyms(frame("x int", (1,)), {"y": ["z"]}).first().asDict() == {"x": 1, "y": None}

@@ -81,6 +81,34 @@ def test_coordinate_repair_keeps_every_row(frame):
     assert got == {1: (49.5, -121.5), 2: (49.0, -130.0), 3: (49.0, -123.0), 4: (49.5, -121.5), 5: (49.0, -121.9)}
 
 
+def test_repeated_stations_do_not_multiply(frame):
+    seen = frame("id int, receiver string, latitude double, longitude double", (1, "VR2W-7", 49.0, -130.0), (2, "VR2W-7", 49.0, -122.0))
+    stations = frame("station_label string, station_lat string, station_lon string", ("7", "49 30.0 N", "121 30.0 W"), ("7", "49 40.0 N", "121 0.0 W"))
+    got = detections.repair_coordinates(seen, stations)
+    assert values(got.select("id", "latitude")) == [(1, 49.5), (2, 49.0)]
+
+
+def test_pairs_with_missing_parts_stay_apart(frame):
+    seen = frame("at timestamp_ntz, s string, t string", (None, None, "7"), (None, "7", None))
+    pairs = detections.activity(seen, "at", "s", "t").filter("report = 'station_transmitter'")
+    assert values(pairs.select("value", "transmitter", "n")) == [("7", None, 1), (None, "7", 1)]
+
+
+def test_interview_parts_do_not_multiply(frame):
+    fish = frame("survey int, date int, species string", (1, 1, "a"), (1, 1, "b"), (1, 1, "c"))
+    people = frame("survey int, date int, sex string, _seq int", (1, 1, "m", 2), (1, 1, "f", 1))
+    assert values(views.interview_view([fish, people], ["date", "survey"])) == [(1, 1, "a", "f")]
+    answers = frame("survey int, date int, question_id int, answer string, _seq int", (1, 1, 1, "x", 1))
+    assert views.interview_view([], ["date", "survey"], answers=answers).count() == 1
+    assert views.interview_view([], ["date", "survey"], questions=frame("question_id int", (1,))).count() == 1
+
+
+def test_older_splits(frame):
+    main = frame("survey int, shift string, wind string, vessel string, number_smb_c string, comments string", (1, "a", "b", "c", "d", "e"))
+    got = interviews.older_main_splits(main, "survey")
+    assert {k: v.columns[1:] for k, v in got.items()} == {"shifts": ["shift"], "weather": ["wind"], "fishing_details": ["vessel"], "catch": ["number_smb_c"]}
+
+
 def test_recaptures(frame):
     marks = frame("pit string, day int", ("a", 2), ("a", 1), (None, 1), ("b", 1))
     seen = frame("pit string, day int", ("a", 5), ("a", 6), (None, 7), ("c", 8))
