@@ -29,6 +29,8 @@ WINDOW = 5
 HOST_SYMBOLS, HOST_LINES = 50, 50
 #: A host's documents go if the shrunk rate of failures at the host is above this.
 MOST_FAILING = 0.5
+#: Documents that the prior counts for at least, however far hosts lie apart; a host's only document never decides alone.
+LEAST_STRENGTH = 2.0
 #: Hot hosts are spread over this many parts when verdicts are joined back.
 PARTS = 32
 
@@ -137,7 +139,7 @@ def host_verdicts(measured: DataFrame, host: str = "source", most: float = MOST_
         ).alias("between"),
     ).select(
         "m",
-        F.when(F.col("between") > 0, F.greatest(F.col("m") * (1 - F.col("m")) / F.col("between") - 1, F.lit(0.0))).alias("strength"),
+        F.when(F.col("between") > 0, F.greatest(F.col("m") * (1 - F.col("m")) / F.col("between") - 1, F.lit(LEAST_STRENGTH))).alias("strength"),
     )
     # One row beside every host: the prior.
     rate = F.when(F.col("strength").isNull(), F.col("m")).otherwise(
