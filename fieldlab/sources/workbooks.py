@@ -13,7 +13,7 @@ from itertools import batched
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldlab.operators.shape import fix_headers
@@ -84,46 +84,58 @@ def workbook_cells(spark: SparkSession, root: str, glob: str = "*.xlsx") -> Data
     return files.mapInPandas(read, CELLS)
 
 
+def sheet_lines(cells: DataFrame) -> DataFrame:
+    """One row per (file, sheet, row) with its cells as a map from column to text.
+
+    Everything below is made from these rows. Where a plan uses them more than once, Spark reuses their exchange, so the cells
+    are evaluated once.
+    """
+    line = F.map_from_entries(F.collect_list(F.struct("col", "text"))).alias("_line")
+    return cells.groupBy("file", "sheet", "row").agg(line)
+
+
+def _first_column(reads) -> Column:
+    """The leftmost column of a line whose text fits."""
+    return F.array_min(F.map_keys(F.map_filter("_line", lambda col, text: reads(text))))
+
+
 def promote_header(cells: DataFrame, header_row: int = 1, names: list[str] | None = None) -> DataFrame:
     """Rows below a header row as a wide text table, one row per (file, sheet, row).
 
-    ``names`` are the headers to keep as written in the sheet; without it the distinct headers
-    are read once. The columns get fixed header names.
+    ``names`` are the headers to keep as written in the sheet; without it the distinct headers are read once: they are the
+    result's columns. The columns get fixed header names.
     """
-    header = cells.filter(F.col("row") == header_row).select(
-        "file", "sheet", "col", F.trim("text").alias("_name")
-    )
+    lines = sheet_lines(cells)
     if names is None:
-        names = sorted(r[0] for r in header.select("_name").distinct().collect())
-    place = [F.min(F.when(F.col("_name") == n, F.col("col"))).alias(f"_c{i}") for i, n in enumerate(names)]
-    places = header.groupBy("file", "sheet").agg(*place)
-    # One map per sheet row, so the join with the sheet's header sees rows, not cells.
-    line = F.map_from_entries(F.collect_list(F.struct("col", "text"))).alias("_line")
-    rows = cells.filter(F.col("row") > header_row).groupBy("file", "sheet", "row").agg(line)
+        header = cells.filter(F.col("row") == header_row).select(F.trim("text").alias("_name"))
+        names = [r[0] for r in header.dropna().distinct().orderBy("_name").collect()]
+    is_header = F.when(F.col("row") == header_row, F.lit(1))
+    def column_of(name: str) -> Column:
+        return F.max(F.when(is_header == 1, _first_column(lambda text: F.trim(text) == name)))
+
+    place = [column_of(n).alias(f"_c{i}") for i, n in enumerate(names)]
+    places = lines.groupBy("file", "sheet").agg(F.max(is_header).alias("_header"), *place).dropna(subset=["_header"])
     fixed = fix_headers(names)
-    values = [F.col("_line")[F.col(f"_c{i}")].alias(n) for i, n in enumerate(fixed)]
-    wide = rows.join(places, ["file", "sheet"]).select("file", "sheet", "row", *values)
+    values = [F.try_element_at("_line", F.col(f"_c{i}")).alias(n) for i, n in enumerate(fixed)]
+    wide = lines.join(places, ["file", "sheet"]).where(F.col("row") > header_row).select("file", "sheet", "row", *values)
     return wide.dropna("all", subset=fixed)
 
 
 def with_title(table: DataFrame, cells: DataFrame, row: int, col: int, into: str) -> DataFrame:
     """Attach the text of one fixed cell of each sheet to all rows of that sheet."""
-    title = cells.filter((F.col("row") == row) & (F.col("col") == col)).select(
-        "file", "sheet", F.col("text").alias(into)
-    )
+    text = F.max(F.when(F.col("row") == row, F.try_element_at("_line", F.lit(col)))).alias(into)
+    title = sheet_lines(cells).groupBy("file", "sheet").agg(text)
     return table.join(title, ["file", "sheet"], "left")
 
 
 def labelled_value(cells: DataFrame, label: str, across: int, into: str) -> DataFrame:
-    """Per sheet, the text ``across`` columns right of the first cell that reads ``label``."""
-    marks = (
-        cells.filter(F.col("text") == label)
-        .groupBy("file", "sheet")
-        .agg(F.min(F.struct("row", "col")).alias("_at"))
-        .select("file", "sheet", F.col("_at.row").alias("row"), (F.col("_at.col") + across).alias("col"))
-    )
-    found = marks.join(cells, ["file", "sheet", "row", "col"], "left")
-    return found.select("file", "sheet", F.col("text").alias(into))
+    """Per sheet with the label, the text ``across`` columns right of the first cell that reads ``label``."""
+    at = _first_column(lambda text: text == label)
+    marked = sheet_lines(cells).withColumn("_at", at)
+    value = F.try_element_at("_line", F.col("_at") + across)
+    first = F.min(F.when(F.col("_at").isNotNull(), F.struct("row", value.alias("value")))).alias("_first")
+    found = marked.groupBy("file", "sheet").agg(first)
+    return found.where(F.col("_first").isNotNull()).select("file", "sheet", F.col("_first.value").alias(into))
 
 
 def _reads(name: str):
