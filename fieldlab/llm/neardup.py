@@ -12,8 +12,9 @@ over 0.9999 at 0.85.
 
 *Links.* Sub-keys that one class alone has are left out first; tables are formed from the others. In each table bucket every
 class meets the smallest one (a star, so that pairs grow with documents). Verified links give components. Then, in buckets whose
-members are not all in the component of the smallest, the strays are compared with every member of another component by their
-signatures, large buckets in shards, and plausible pairs are verified. No bucket is capped.
+members are not all in the component of the smallest, the strays are compared with every member of another component by
+sketches, large buckets in shards, and plausible pairs are verified. No bucket is capped. A sketch keeps the smallest hash of a
+set in each of ``BINS`` ranges, one byte each; it costs no minhash, and for short texts it is nearly the set itself.
 
 *Components* by alternating large and small stars, each round written to the shared folder.
 
@@ -42,7 +43,9 @@ SHARE = 85
 #: Minhashes of a sub-key, and sub-keys of each of the two collections.
 ROWS, SUBKEYS = 3, 12
 HASHES = 2 * ROWS * SUBKEYS
-#: Standard errors below the threshold at which a pair's signatures still count as plausible.
+#: Ranges of a sketch.
+BINS = 256
+#: Standard errors below the threshold at which a pair's sketches still count as plausible.
 ERRORS = 4.5
 #: Members of a bucket that one task compares its strays with.
 SHARD = 20_000
@@ -88,7 +91,18 @@ def signatures_of(values: np.ndarray, start: np.ndarray) -> np.ndarray:
     return made
 
 
-SIGNED = "doc_id long, n_shingles long, digest binary, signature binary"
+def sketches_of(values: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """A row of BINS bytes per text: one for the smallest hash in each range, 0 for an empty range."""
+    made = np.zeros((len(start) - 1, BINS), np.uint8)
+    owner = np.repeat(np.arange(len(start) - 1), np.diff(start))
+    place = (values >> np.uint64(56)).astype(np.int64)
+    first = np.ones(len(values), bool)
+    first[1:] = (owner[1:] != owner[:-1]) | (place[1:] != place[:-1])
+    made[owner[first], place[first]] = (values[first] % np.uint64(255)).astype(np.uint8) + np.uint8(1)
+    return made
+
+
+SIGNED = "doc_id long, n_shingles long, digest binary, signature binary, sketch binary"
 
 
 def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -105,8 +119,9 @@ def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
                 [
                     batch.column("doc_id").slice(a, b - a), pa.array(np.diff(start)), pa.array(digests, pa.binary()),
                     pa.array([m.tobytes() for m in made], pa.binary()),
+                    pa.array([m.tobytes() for m in sketches_of(values, start)], pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "digest", "signature"],
+                names=["doc_id", "n_shingles", "digest", "signature", "sketch"],
             )
 
     return arrow_map(narrow, run, SIGNED)
@@ -125,6 +140,11 @@ def _subkeys(signature: np.ndarray) -> np.ndarray:
     return K.mixed(total)
 
 
+def _table_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A table's key from its two sub-keys; ``table_keys`` says the same in Spark's functions."""
+    return a ^ ((b << np.uint64(31)) | (b >> np.uint64(33)))
+
+
 def table_keys(classes: DataFrame) -> DataFrame:
     """key, rep: the table buckets of classes, without buckets that can only hold one."""
 
@@ -146,7 +166,7 @@ def table_keys(classes: DataFrame) -> DataFrame:
         met.select("rep", in_a.alias("a"), in_b.alias("b"))
         .select("rep", F.explode("a").alias("a"), "b")
         .select("rep", "a", F.explode("b").alias("b"))
-        .select("rep", F.xxhash64("a.sub", "b.sub").alias("key"))
+        .select("rep", F.col("a.sub").bitwiseXOR(F.shiftleft("b.sub", 31).bitwiseOR(F.shiftrightunsigned("b.sub", 33))).alias("key"))
     )
 
 
@@ -196,16 +216,23 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _plausible(size_l: np.ndarray, size_r: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether sizes and sketches allow the threshold. A sketch samples ranges out of the union, without putting back."""
     share = SHARE / 100
-    least = (share - ERRORS * (share * (1 - share) / HASHES) ** 0.5) * HASHES
     small, large = np.minimum(size_l, size_r), np.maximum(size_l, size_r)
-    fits = 100 * small >= SHARE * large
-    fits[fits] = (left[fits] == right[fits]).sum(axis=1) >= least
-    return fits
+    fits = np.flatnonzero(100 * small >= SHARE * large)
+    a, b = left[fits], right[fits]
+    seen = ((a | b) != 0).sum(axis=1)
+    same = ((a == b) & (a != 0)).sum(axis=1)
+    union = (size_l[fits] + size_r[fits]) / (1 + share)
+    left_out = np.clip(1 - seen / union, 0.02, 1.0)
+    error = np.sqrt(share * (1 - share) / np.maximum(seen, 1) * left_out)
+    made = np.zeros(len(size_l), bool)
+    made[fits] = same >= (share - ERRORS * error) * seen
+    return made
 
 
 def stray_pairs(buckets: DataFrame, classes: DataFrame, components: DataFrame) -> DataFrame:
-    """Pairs (l, r) of different components that share a bucket and have plausible signatures."""
+    """Pairs (l, r) of different components that share a bucket and have plausible sketches; each is told by one bucket."""
     placed = buckets.join(components, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     # A bucket's main component is that of its smallest class; strays are all others.
     mixed = (
@@ -223,28 +250,28 @@ def stray_pairs(buckets: DataFrame, classes: DataFrame, components: DataFrame) -
             "key", "rep", "component", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), F.lit(True).alias("stray")
         )
     )
-    rows = rows.select(*columns).join(classes.select("rep", "signature", "n_shingles"), "rep")
+    rows = rows.select(*columns).join(classes.select("rep", "signature", "sketch", "n_shingles"), "rep")
     dealt = rows.repartition("key", "shard").sortWithinPartitions("key", "shard")
 
-    def compared(group: pa.Table) -> Iterator[pa.RecordBatch]:
+    def compared(group: pa.Table, key: int) -> Iterator[tuple]:
         rep, component = group["rep"].to_numpy(), group["component"].to_numpy()
         size, is_stray = group["n_shingles"].to_numpy(), group["stray"].to_numpy(zero_copy_only=False)
         signature = _matrix(group["signature"].combine_chunks())
         subs = _subkeys(signature)
+        sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(-1, BINS)
+        here = np.array([key], np.int64).view(np.uint64)[0]
         own = np.flatnonzero(~is_stray)
+        also_stray = np.isin(rep[own], rep[is_stray])
         for s in np.flatnonzero(is_stray):
-            # Two strays meet twice; the smaller one asks. Others are asked by the stray.
-            ask = own[component[own] != component[s]]
-            if not len(ask):
-                continue
-            ok = _plausible(np.full(len(ask), size[s]), size[ask], np.broadcast_to(signature[s], (len(ask), HASHES)), signature[ask])
-            ask = ask[ok]
-            if not len(ask):
-                continue
+            # Of two strays the smaller one asks; others are asked by the stray.
+            ask = own[(component[own] != component[s]) & (~also_stray | (rep[own] > rep[s]))]
             # A pair is told by the first bucket that it shares.
             same = subs[ask] == subs[s]
             first_a, first_b = same[:, :SUBKEYS].argmax(axis=1), same[:, SUBKEYS:].argmax(axis=1)
-            yield s, rep[s], rep[ask], subs[s][first_a], subs[s][SUBKEYS + first_b]
+            ask = ask[_table_key(subs[s][first_a], subs[s][SUBKEYS + first_b]) == here]
+            ask = ask[_plausible(np.full(len(ask), size[s]), size[ask], np.broadcast_to(sketch[s], (len(ask), BINS)), sketch[ask])]
+            if len(ask):
+                yield rep[s], rep[ask]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -255,13 +282,9 @@ def stray_pairs(buckets: DataFrame, classes: DataFrame, components: DataFrame) -
             for a, b in zip(new, [*new[1:], len(key)]):
                 if b - a < 2:
                     continue
-                for _, own, others, sub_a, sub_b in compared(rows.slice(a, b - a)):
+                for own, others in compared(rows.slice(a, b - a), key[a]):
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(others), key[a])), pa.array(np.minimum(own, others)), pa.array(np.maximum(own, others)),
-                            pa.array(sub_a.view(np.int64)), pa.array(sub_b.view(np.int64)),
-                        ],
-                        names=["key", "l", "r", "sub_a", "sub_b"],
+                        [pa.array(np.minimum(own, others)), pa.array(np.maximum(own, others))], names=["l", "r"]
                     )
 
         for batch in batches:
@@ -278,8 +301,7 @@ def stray_pairs(buckets: DataFrame, classes: DataFrame, components: DataFrame) -
         if held:
             yield from flush(pa.Table.from_batches(held))
 
-    told = dealt.mapInArrow(run, "key long, l long, r long, sub_a long, sub_b long")
-    return told.where(F.col("key") == F.xxhash64("sub_a", "sub_b")).select("l", "r").distinct()
+    return dealt.mapInArrow(run, "l long, r long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -315,7 +337,7 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     rows = written(signed(docs, doc_id, text))
     full = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = written(
-        full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"))
+        full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n_shingles"))
     )
     buckets = written(table_keys(classes))
     smallest = buckets.groupBy("key").agg(F.min("rep").alias("r"))
