@@ -14,6 +14,23 @@ def append_unique(t):
     return maintain.append_unique(rows.filter(~done), rows.filter(done), ["o_orderkey"])
 
 
+@query("d2_load", """
+SELECT 'stored' AS what, CAST(o_orderkey AS VARCHAR) AS survey, o_totalprice AS total, NULL::BIGINT AS n FROM orders
+UNION ALL SELECT 'staged', NULL, NULL, count(*) FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT 'missing', NULL, NULL, 0""")
+def load(t):
+    done = F.col("o_orderstatus") == "F"
+    rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
+    text = rows.filter(done).select(F.concat(F.lit(" "), F.col("o_orderkey")).alias("o_orderkey"), F.col("o_totalprice").cast("string"), "o_orderstatus")
+    stored, check = maintain.load(rows.filter(~done).drop("o_orderstatus"), text, ["o_orderkey"])
+    found = stored.select(
+        F.lit("stored").alias("what"), F.col("o_orderkey").cast("string").alias("survey"), F.col("o_totalprice").alias("total"),
+        F.lit(None).cast("long").alias("n"),
+    )
+    told = check.select(F.inline(F.array(*[F.struct(F.lit(c).alias("what"), F.col(c).alias("n")) for c in ("staged", "missing")])))
+    return found.unionByName(told, allowMissingColumns=True)
+
+
 @query("d3_insert_or_ignore", """
 WITH target AS (SELECT user_id, event_type, min(event_id) AS event_id FROM events WHERE event_type <> 'view' GROUP BY 1, 2),
 batch AS (SELECT CASE WHEN value > 100 THEN NULL ELSE user_id END AS user_id, event_type, event_id FROM events WHERE value > 20)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldlab.operators.aggregates import counts, keep_first
+from fieldlab.operators.shape import typed
 from fieldlab.operators.windows import next_keys
 
 
@@ -81,3 +83,16 @@ def load_check(staged: DataFrame, stored: DataFrame, keys: list[str]) -> DataFra
         F.count("_found").alias("stored"),
         (F.count(F.lit(1)) - F.count("_found")).alias("missing"),
     )
+
+
+def load(
+    target: DataFrame, df: DataFrame, keys: list[str], schema: T.StructType | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """A loader for any table: the target with the batch, and the check that every staged key is stored.
+
+    Columns of the batch are brought to the target's (or the given) types; other columns are left out. The whole batch
+    is refused on any key conflict.
+    """
+    staged = typed(df, schema or target.schema)
+    stored = append_unique(target, staged, keys)
+    return stored, load_check(staged, stored, keys)

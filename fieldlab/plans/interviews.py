@@ -57,6 +57,23 @@ def clean_main(
     )
 
 
+def clean_sheet(
+    raw: DataFrame, order: str = "_seq", moment: str = "date_time", synonyms: dict[str, list[str]] | None = None,
+    budget: int | None = None,
+) -> DataFrame:
+    """A sheet beside the main one (demography, fish, counts): one serial of date and time per row.
+
+    It becomes ``date`` and ``time``; rows without a date are left out; surveys are numbered 1..n within each date in sheet order
+    into ``survey_number``; equal times of a date move apart by 5 minutes.
+    """
+    if synonyms:
+        raw = coalesce_synonyms(raw, synonyms)
+    day = serial_date(moment)
+    dated = raw.filter(day.isNotNull()).withColumns({"date": day, "time": at_clock(day, serial_seconds(moment))}).drop(moment)
+    numbered = renumber_within(dated.drop("survey_number"), "date", [order], "survey_number", budget)
+    return spread_collisions(numbered, "time", ["date", "survey_number"], budget=budget)
+
+
 def question_table(df: DataFrame, columns: list[str]) -> DataFrame:
     """Question columns with ids in sheet order."""
     rows = [(i, c) for i, c in enumerate(columns, start=1)]
