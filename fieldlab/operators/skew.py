@@ -38,6 +38,9 @@ _SALT = "_salt"
 _WAYS = "_ways"
 _SAMPLE_PER_PIECE = 40
 _SAMPLE_PER_GROUP = 200
+#: Characters of a text that place a row among the bounds, so that bounds stay small however long texts are. Texts that
+#: begin alike stay in one piece, where they are sorted in full.
+_PREFIX = 64
 
 
 def sort_columns(order: list[str]) -> list[Column]:
@@ -129,7 +132,7 @@ def with_pieces(
 ) -> Pieces | None:
     """Cut hot groups into consecutive pieces of the order, or None if no group is hot.
 
-    Bounds are order values at equal distances in a sample of the hot rows. The sample only
+    Bounds are order values (of texts, their beginnings) at equal distances in a sample of the hot rows. The sample only
     balances the pieces; every row is then placed by comparing it with the bounds.
     """
     budget = budget or rows_per_task(df.sparkSession)
@@ -147,7 +150,12 @@ def with_pieces(
     rows = [(*[r[c] for c in by], ceil(r["_n"] / piece_rows)) for r in hot]
     groups = spark.createDataFrame(rows, T.StructType([*keys, T.StructField("_p", T.LongType())]))
 
-    at = F.struct(*[name.lstrip("-") for name in order]).alias("_at")
+    def short(name: str) -> Column:
+        column = F.col(name)
+        return (F.substring(column, 1, _PREFIX) if isinstance(df.schema[name].dataType, T.StringType) else column).alias(name)
+
+    here = F.struct(*[short(name.lstrip("-")) for name in order])
+    at = here.alias("_at")
     share = min(1.0, _SAMPLE_PER_PIECE * sum(r[-1] for r in rows) / total)
     drawn = df.select(*by, at).sample(share, 7)
     if by:
@@ -169,7 +177,6 @@ def with_pieces(
         placed = df.withColumn(_BOUNDS, table.scalar())
     # Count the bounds before a row by halving. A place past the last bound reads as null and is
     # never before a row. One expression, so that the optimizer has no chain of steps to expand.
-    here = F.struct(*[name.lstrip("-") for name in order])
     most = max((len(r[-1]) for r in bounds), default=0)
     powers = [2**i for i in reversed(range(max(most.bit_length(), 1)))]
 

@@ -78,8 +78,34 @@ def written(df: DataFrame) -> DataFrame:
     """The frame written once to the shared folder and read back.
 
     For results that several passes need and that are costly to compute. The files outlive lost
-    executors; clearing the folder is up to whoever owns it.
+    executors; clearing the folder is up to whoever owns it, but for what a ``Workbench`` removes.
     """
-    path = fresh_path(df.sparkSession)
+    return _written(df, fresh_path(df.sparkSession))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Workbench:
+    """Written tables of one computation, removed at its end.
+
+    For steps whose result has been written itself, so that nothing reads the tables afterwards.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Workbench:
+        return self
+
+    def written(self, df: DataFrame) -> DataFrame:
+        self.paths.append(fresh_path(self.spark))
+        return _written(df, self.paths[-1])
+
+    def __exit__(self, *_) -> None:
+        jvm, conf = self.spark._jvm, self.spark._jsparkSession.sessionState().newHadoopConf()
+        for name in self.paths:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)

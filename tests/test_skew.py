@@ -3,6 +3,7 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import values
@@ -127,3 +128,11 @@ def test_numbers_are_complete(spark, rows):
         group = sorted((r["n"], r["v"], r["i"]) for r in got if r["k"] == key)
         assert [n for n, _, _ in group] == list(range(1, len(group) + 1))
         assert [x[1:] for x in group] == sorted(x[1:] for x in group)
+
+
+def test_long_texts_have_short_bounds(spark):
+    alike = "same beginning " * 20
+    df = spark.range(600).selectExpr(f"concat('{alike}', lpad(id * 7 % 600, 4, '0'), repeat('x', 500)) AS t", "id")
+    got = skew.numbered(df, [], ["-t"], "k", budget=50)
+    want = df.withColumn("k", F.row_number().over(Window.orderBy(F.desc("t"))).cast("long"))
+    assert values(got.select("id", "k")) == values(want.select("id", "k"))
