@@ -7,8 +7,12 @@ node has its characters C, tags T, link characters LC and link tags LT (with eve
 
 with Cb and LCb those of the body, and 1 in place of 0. The density sum of a node is the sum of its children's densities. The
 least density on the path from the node with the largest sum up to the body is the threshold: from the body downwards,
-every node that reaches it gives its descendant of the largest sum, and the chosen subtrees make up the text. A node chosen
-inside an ``article`` or ``main`` stands for that whole element, as a page says there what its article is.
+every node that reaches it gives its descendant of the largest sum, and the chosen subtrees make up the text. Where a page says
+by ``article`` or ``main`` elements what its article is, the outermost one of the largest sum is the subtree, unless it holds less
+than ``LEAST_SHARE`` of the page's characters. Without such an element, the title and what stands beside the path inside the
+body's branch stay if less than a third of it are links.
+
+What a class or id calls surroundings stays if it holds an ``article`` or ``main``, or if the page has no text besides.
 
 Blocks are cut at block-level tags. Character references are decoded, white space in a block (line-break tags too) becomes
 one space, blocks are trimmed and joined by one line break; empty blocks vanish.
@@ -60,24 +64,29 @@ NAMES = frozenset(
     "ad ads adbox adsense advert adverts advertisement advertising advertorial sponsor sponsored sponsors promo promos promotion banner "
     "banners nav navbar navigation menu menus submenu breadcrumb breadcrumbs header masthead topbar footer bottombar sidebar sidebars "
     "aside rail widget widgets related recommended recommendations cookie cookies consent gdpr notice notices alert alerts popup "
-    "modal overlay newsletter subscribe subscription signup login comment comments commentlist commentform respond replies reply "
-    "disqus share sharing social toolbar pagination pager skip".split()
+    "modal overlay search searchbox side sidenav copyright newsletter subscribe subscription signup login comment comments commentlist "
+    "commentform respond replies reply disqus share sharing social toolbar pagination pager skip".split()
 )
 
+#: Least share of the page's characters in an article element that stands for the article.
+LEAST_SHARE = 0.25
+
 _TOKEN = regex.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*+)(?:>|\Z)", regex.S
 )
 _ATTRIBUTE = regex.compile(r"([^\s=/\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+))")
 _NAME_WORD = regex.compile(r"[a-z]+")
+#: Class names that tell about a layout, not about the element's own part in it.
+_LAYOUT = regex.compile(r"(?:has|with|without|no|is|js)[-_].*|.*[-_](?:free|open|closed|on|off|enabled|disabled|wrapper|container|layout)")
 
 
 class Node:
     """An element: its children are nodes and texts."""
 
-    __slots__ = ("tag", "above", "children", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "above", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "suspect")
 
     def __init__(self, tag: str, above: Node | None):
-        self.tag, self.above, self.children = tag, above, []
+        self.tag, self.above, self.children, self.suspect = tag, above, [], False
 
 
 def surrounds(tag: str, attributes: str, inside: bool) -> bool:
@@ -92,13 +101,24 @@ def surrounds(tag: str, attributes: str, inside: bool) -> bool:
             return True
         if name == "style" and regex.search(r"display\s*:\s*none", value):
             return True
-        if name in ("class", "id") and any(
-            word in NAMES and not (inside and word == "header") for word in _NAME_WORD.findall(value)
-        ):
-            return True
     return bool(regex.search(r"(?:^|\s)hidden(?:\s|$)", attributes.lower())) and "=" not in attributes
 
 
+def named_surroundings(tag: str, attributes: str, inside: bool) -> bool:
+    """Whether a class or id calls an element surroundings of the article."""
+    if not attributes or tag in ("html", "body", "article", "main"):
+        return False
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        if name.lower() not in ("class", "id"):
+            continue
+        for own in "".join(values).lower().split():
+            if _LAYOUT.fullmatch(own):
+                continue
+            if any(word in NAMES and not (inside and word == "header") for word in _NAME_WORD.findall(own)):
+                return True
+    return False
+
+
 def parsed(page: str) -> Node:
     """The tree of a page without what surrounds the article. Dropped elements stay as empty nodes while they are open."""
     root = Node("body", None)
@@ -175,6 +195,7 @@ def parsed(page: str) -> Node:
             gone = 1
             continue
         if not gone:
+            node.suspect = named_surroundings(tag, attributes, inside)
             stack[-1].children.append(node)
         else:
             gone += 1
@@ -182,6 +203,26 @@ def parsed(page: str) -> Node:
     return root
 
 
+def without_suspects(root: Node) -> Node:
+    """Empty the nodes that are surroundings by name, if they hold no article and the page has text besides."""
+    nodes = in_page_order(root)
+    holds: set[int] = set()
+    for node in reversed(nodes):
+        if node.tag in ("article", "main") or id(node) in holds:
+            holds.add(id(node))
+            if node.above is not None:
+                holds.add(id(node.above))
+    gone = [n for n in nodes if n.suspect and id(n) not in holds]
+    if gone:
+        kept = [(n, n.children) for n in gone]
+        for n in gone:
+            n.children = []
+        if not any(isinstance(c, str) and c.strip() for n in in_page_order(root) for c in n.children):
+            for n, children in kept:
+                n.children = children
+    return root
+
+
 def in_page_order(root: Node) -> list[Node]:
     """All nodes, parents before their children."""
     nodes, todo = [], [root]
@@ -226,16 +267,14 @@ def best_below(node: Node) -> Node:
 def chosen(root: Node) -> list[Node]:
     """The subtrees that hold the article, in page order."""
     weighed(root)
+    named = [n for n in _outermost(root, ("article", "main")) if n.chars]
+    if named:
+        article = max(named, key=lambda n: (n.total, n.chars))
+        if article.chars >= LEAST_SHARE * root.chars:
+            return [article]
     best = best_below(root)
     if best.total <= 0:
         return [root]
-    step = best
-    while step.above is not None and step.tag not in ("article", "main"):
-        step = step.above
-    if step.above is not None:
-        while (above := next((a for a in _ancestors(step) if a.tag in ("article", "main")), None)) is not None:
-            step = above
-        return [step]
     path = [best, *_ancestors(best)]
     threshold = min(n.density for n in path)
     on_path = set(map(id, path))
@@ -244,6 +283,9 @@ def chosen(root: Node) -> list[Node]:
     while todo:
         node = todo.pop()
         if node.density < threshold and id(node) not in on_path:
+            beside = node.tag == "h1" or node.above is not root
+            if beside and 3 * node.link_chars < node.chars:
+                marked.append(node)
             continue
         if id(node) not in on_path or node is best:
             marked.append(node if node.total <= 0 or node is best else best_below(node))
@@ -256,6 +298,18 @@ def chosen(root: Node) -> list[Node]:
     return marked or [root]
 
 
+def _outermost(root: Node, tags: tuple[str, ...]) -> list[Node]:
+    """Elements of these kinds that are in no other, in page order."""
+    found, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        if node.tag in tags:
+            found.append(node)
+        else:
+            todo.extend(c for c in reversed(node.children) if isinstance(c, Node))
+    return found
+
+
 def _ancestors(node: Node) -> list[Node]:
     found = []
     while node.above is not None:
@@ -297,7 +351,7 @@ def main_text(page: str | None) -> str:
     """The article of a page."""
     if not page:
         return ""
-    return "\n".join(b for node in chosen(parsed(page)) for b in blocks(node))
+    return "\n".join(b for node in chosen(without_suspects(parsed(page))) for b in blocks(node))
 
 
 def extracted(pages: DataFrame, source: str = "html", text: str = "text") -> DataFrame:
