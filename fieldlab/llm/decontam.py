@@ -2,14 +2,16 @@
 
 1. *Passages* are consecutive windows of ``PASSAGE`` words of every whole document; words (lower-cased A-Z) are hashed to
    ``FEATURES`` columns.
-2. *Randomised SVD.* With T the passages' term counts, D the inverse document frequencies and R a random matrix of plus and
-   minus ones, one pass over all passages sums S = T'T R and the document frequencies. Y = D S is then a sketch of
-   A'A for A = T D, and the Nystroem form Y (R'S)^-1 Y' gives A's leading right singular vectors and values on the driver, whose
-   matrices have FEATURES x RANK numbers, whatever the corpus. Sums are of integers, so they do not depend on their order.
-3. *Candidates.* Passages, now overlapping by half, and benchmark items are projected to the latent space, each direction scaled
-   by its singular value; pairs of cosine ``COSINE`` or more are candidates. Items are worked on in blocks of ``ITEM_BLOCK``.
-4. *Checks.* A candidate is a leak if the longest common subsequence with the words around the passage holds ``OVERLAP`` of the
-   item's words within ``SPREAD`` times its length, and ``ANSWER_OVERLAP`` of the item's last ``ANSWER`` words, where its answer stands.
+2. *Randomised SVD.* With T the passages' term counts, D the inverse document frequencies and R a sparse random matrix of signs,
+   one pass over all passages sums S = T'T R and the document frequencies. Y = D S is then a sketch of A'A for A = T D, and the
+   Nystroem form Y (R'S)^-1 Y' gives A's leading right singular vectors and values on the driver, whose matrices have
+   FEATURES x RANK numbers, whatever the corpus. Sums are of integers, so they do not depend on their order.
+3. *Candidates.* Overlapping passages and benchmark items are projected to the latent space, each direction scaled by its
+   singular value; pairs of cosine ``COSINE`` or more are candidates. Passages move on by ``BLOCK`` words and come in lengths of
+   2, 4, 8, ... blocks; an item is compared with those about as long as itself. Items are worked on in groups of ``ITEM_BLOCK``.
+4. *Checks.* A candidate goes on if the words around the passage can hold enough of the item at all (by bit sets of words, then
+   by counts). It is a leak if the longest common subsequence holds ``OVERLAP`` of the item's words within ``SPREAD`` times its length,
+   and ``ANSWER_OVERLAP`` of the item's last ``ANSWER`` words, where its answer stands.
 
 Null texts and items are empty and match nothing; items without words neither. Repeated documents get equal results, repeated
 items give a row each. Of several places of one item in a document the one with the most common words is told, the first of equals.
@@ -32,17 +34,23 @@ PASSAGE = 48
 FEATURE_BITS = 14
 FEATURES = 1 << FEATURE_BITS
 RANK = 64
-COSINE = 0.45
+COSINE = 0.55
+#: Words by which passages move on; the shortest passage has two blocks.
+BLOCK = 8
 OVERLAP, SPREAD = 0.6, 1.5
 ANSWER, ANSWER_OVERLAP = 8, 0.5
 #: Benchmark items that are sent to the tasks at once.
 ITEM_BLOCK = 20_000
 #: Rows of S that are summed together.
 _STRIPE = 256
+#: Bits of a word set, in 64-bit numbers.
+_SET = 16
 
 
-def _signs() -> np.ndarray:
-    return np.random.default_rng(7).integers(0, 2, (FEATURES, RANK)).astype(np.float32) * 2 - 1
+def _signs() -> tuple[np.ndarray, np.ndarray]:
+    """R: every feature has one entry, its column and its sign."""
+    chance = np.random.default_rng(7)
+    return chance.integers(0, RANK, FEATURES), chance.integers(0, 2, FEATURES) * 2.0 - 1.0
 
 
 def _features(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -63,13 +71,13 @@ def gathered_counts(docs: DataFrame, text: str = "text") -> tuple[int, np.ndarra
     """Number of passages, document frequencies and S of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signs = _signs()
-        total = np.zeros((FEATURES, RANK), np.float64)
+        column, sign = _signs()
+        total = np.zeros((RANK, FEATURES))
         frequency = np.zeros(FEATURES, np.int64)
         passages = 0
         for batch in batches:
             data, at = bytes_of(batch.column(0))
-            for a, b in slices(at, 1 << 18):
+            for a, b in slices(at, 1 << 20):
                 _, columns, first = _features(data[at[a] : at[b]], at[a : b + 1] - at[a])
                 if not len(columns):
                     continue
@@ -77,16 +85,19 @@ def gathered_counts(docs: DataFrame, text: str = "text") -> tuple[int, np.ndarra
                 passages += len(begin)
                 sizes = np.diff(np.append(begin, len(columns)))
                 of = np.repeat(np.arange(len(begin)), sizes)
-                projected = np.add.reduceat(signs[columns], begin, axis=0)
-                order = np.lexsort((of, columns))
-                ranked = columns[order]
-                head = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-                total[ranked[head]] += np.add.reduceat(projected[of[order]], head, axis=0)
-                once = np.ones(len(order), bool)
-                once[1:] = (ranked[1:] != ranked[:-1]) | (of[order][1:] != of[order][:-1])
-                frequency += np.bincount(ranked[once], minlength=FEATURES)
+                cell = column[columns] * len(begin) + of
+                projected = np.bincount(cell, sign[columns], len(begin) * RANK).reshape(RANK, -1)
+                order = np.argsort(columns.astype(np.uint16), kind="stable")  # passages stay in order within a column
+                ranked, where = columns[order], of[order]
+                new = np.ones(len(order), bool)
+                new[1:] = ranked[1:] != ranked[:-1]
+                head = np.flatnonzero(new)
+                for row, into in zip(projected, total):  # one direction at a time stays in the processor's cache
+                    into[ranked[head]] += np.add.reduceat(row[where], head)
+                new[1:] |= where[1:] != where[:-1]
+                frequency += np.bincount(ranked[new], minlength=FEATURES)
         if passages:
-            rows = np.concatenate([frequency[:, None], total.astype(np.int64)], axis=1)
+            rows = np.concatenate([frequency[:, None], total.T.astype(np.int64)], axis=1)
             for i in range(0, FEATURES, _STRIPE):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([i // _STRIPE], pa.int32()), pa.array([passages if i == 0 else 0], pa.int64()), pa.array([rows[i : i + _STRIPE].tobytes()], pa.binary())],
@@ -116,16 +127,18 @@ def gathered_counts(docs: DataFrame, text: str = "text") -> tuple[int, np.ndarra
 
 
 def latent_space(passages: int, frequency: np.ndarray, sums: np.ndarray) -> np.ndarray:
-    """Weights that turn term counts into latent coordinates of unit scale: idf * right singular vectors / singular values."""
+    """Weights (a row per latent direction) that turn term counts into coordinates of unit scale: idf * right singular vectors / singular values."""
     idf = np.log1p(passages / (1.0 + frequency))
-    core = _signs().astype(np.float64).T @ sums
+    column, sign = _signs()
+    core = np.zeros((RANK, RANK))
+    np.add.at(core, column, sign[:, None] * sums)
     core = (core + core.T) / 2
     values, vectors = np.linalg.eigh(core)
     good = values > max(values.max(initial=0.0), 1e-12) * 1e-9
     half = (idf[:, None] * sums) @ (vectors[:, good] / np.sqrt(values[good]))
     left, size, _ = np.linalg.svd(half, full_matrices=False)
     good = size > size.max(initial=0.0) * 1e-6
-    return (idf[:, None] * left[:, good] / size[good]).astype(np.float32)
+    return np.ascontiguousarray((idf[:, None] * left[:, good] / size[good]).T.astype(np.float32))
 
 
 def common_words(item: list[int], words: list[int]) -> list[int]:
@@ -172,10 +185,16 @@ class Item:
         for i, w in enumerate(self.words):
             self.masks[w] = self.masks.get(w, 0) | 1 << i
         self.answer = self.words[-ANSWER:]
+        self.count = {w: m.bit_count() for w, m in self.masks.items()}
+        self.bits = _word_set(hashes, np.zeros(len(hashes), np.int64), 1)[0]
+        #: The passages that it is compared with have 2 << scale blocks.
+        self.scale = max(0, int(np.ceil(np.log2(len(self.words) / (3 * BLOCK)))) if self.words else 0)
 
     def checked(self, words: list[int]) -> tuple[int, int, float, float] | None:
         """Begin and end of the item in the words, shares of its words and of its answer's; none if it is not there."""
         size = len(self.words)
+        if sum(self.count[w] for w in self.count.keys() & set(words)) < OVERLAP * size:
+            return None
         if common_length(self.words, self.masks, words) < OVERLAP * size:
             return None
         places = common_words(self.words, words)
@@ -194,35 +213,80 @@ class Item:
         return (near[0], near[-1] + 1, len(near) / size, answer) if answer >= ANSWER_OVERLAP else None
 
 
-def _leaks_of(columns: np.ndarray, hashes: np.ndarray, first: np.ndarray, weights: np.ndarray, items: list[Item], targets: np.ndarray):
+def _word_set(hashes: np.ndarray, owner: np.ndarray, size: int) -> np.ndarray:
+    """Bit sets of the words of each owner, as rows of 64-bit numbers."""
+    flags = np.zeros((size, _SET * 64), np.uint8)
+    flags[owner, (hashes & np.uint64(_SET * 64 - 1)).astype(np.int64)] = 1
+    return np.packbits(flags, axis=1).view(np.uint64)
+
+
+def _around(sets: np.ndarray, before: int, size: int) -> np.ndarray:
+    """Union of ``size`` (a power of two) consecutive sets, from ``before`` ahead of each."""
+    rows = len(sets)
+    padded = np.concatenate([np.zeros((before, _SET), np.uint64), sets, np.zeros((size, _SET), np.uint64)])
+    span = 1
+    while span < size:
+        padded = padded[:-span] | padded[span:]
+        span *= 2
+    return padded[:rows]
+
+
+class Items:
+    """Items of one scale: their latent vectors of unit length and word sets."""
+
+    def __init__(self, items: list[Item], scale: int, weights: np.ndarray):
+        self.items, self.blocks = items, 2 << scale
+        vectors = np.stack([weights[:, i.columns].sum(axis=1) for i in items])
+        self.vectors = vectors / np.maximum(np.sqrt((vectors * vectors).sum(axis=1)), 1e-12)[:, None]
+        self.bits = np.stack([i.bits for i in items])
+        size = np.array([len(i.words) for i in items])
+        kept = np.bitwise_count(self.bits).sum(axis=1)
+        #: Bits that a place must share: equal words and equal bits of the item count once.
+        self.least = np.ceil(OVERLAP * size) - (size - kept)
+
+
+def _leaks_of(columns: np.ndarray, hashes: np.ndarray, first: np.ndarray, weights: np.ndarray, groups: list[Items]):
     """(text, item, begin, end, cosine, share, answer) of every leak in a buffer's texts."""
-    begin, owner = _cuts(first, PASSAGE // 2)
+    begin, owner = _cuts(first, BLOCK)
     if not len(begin):
         return
-    halves = np.add.reduceat(weights[columns], begin, axis=0)
-    joined = halves.copy()
-    goes_on = np.flatnonzero(owner[1:] == owner[:-1])
-    joined[goes_on] += halves[goes_on + 1]
-    norm = np.sqrt((joined * joined).sum(axis=1))
-    cosine = (joined / np.maximum(norm, 1e-12)[:, None]) @ targets.T
-    rows, which = np.nonzero(cosine >= COSINE)
-    found: dict[tuple[int, int], tuple] = {}
-    for r, k in zip(rows.tolist(), which.tolist()):
-        text, item = int(owner[r]), items[k]
-        lo = max(int(first[text]), int(begin[r]) - len(item.words))
-        hi = min(int(first[text + 1]), int(begin[r]) + PASSAGE + len(item.words))
-        near = hashes[lo:hi]
-        result = item.checked(near.tolist())
-        if result is None:
-            continue
-        a, b, share, answer = result
-        a, b = a + lo - int(first[text]), b + lo - int(first[text])
-        before = found.get((text, k))
-        told = float(cosine[r, k])
-        if before is None or share > before[3]:
-            found[text, k] = (a, b, told if before is None else max(told, before[2]), share, answer)
-    for (text, k), (a, b, told, share, answer) in found.items():
-        yield text, k, a, b, told, share, answer
+    sums = np.zeros((len(weights), len(begin) + 1))
+    for k, row in enumerate(weights):
+        np.cumsum(np.add.reduceat(row[columns], begin), out=sums[k, 1:])
+    last = np.searchsorted(owner, owner, "right")
+    number = np.arange(len(begin))
+    block = np.repeat(number, np.diff(np.append(begin, len(columns))))
+    sets = _word_set(hashes, block, len(begin))
+    for group in groups:
+        until = np.minimum(number + group.blocks, last)
+        passage = np.stack([(row[until] - row[:-1]).astype(np.float32) for row in sums])
+        passage /= np.maximum(np.sqrt((passage * passage).sum(axis=0)), 1e-12)
+        margin = group.blocks * 3 // 2  # an item is at most 3/2 of its passages long
+        near = _around(sets, margin, group.blocks * 4)
+        found: dict[tuple[int, int], tuple] = {}
+        for low in range(0, len(begin), 2048):
+            cosine = passage[:, low : low + 2048].T @ group.vectors.T
+            rows, which = np.nonzero(cosine >= COSINE)
+            shared = np.bitwise_count(near[low + rows] & group.bits[which]).sum(axis=1)
+            hold = np.flatnonzero(shared >= group.least[which])
+            for r, k in zip(rows[hold].tolist(), which[hold].tolist()):
+                text, item = int(owner[low + r]), group.items[k]
+                lo = max(int(first[text]), int(begin[low + r]) - margin * BLOCK)
+                hi = min(int(first[text + 1]), int(begin[low + r]) + (group.blocks + margin) * BLOCK)
+                told = float(cosine[r, k])
+                before = found.get((text, k))
+                if before is not None and before[3] == 1.0:  # nothing is better than a whole item
+                    found[text, k] = (*before[:2], max(told, before[2]), *before[3:])
+                    continue
+                result = item.checked(hashes[lo:hi].tolist())
+                if result is None:
+                    continue
+                a, b, share, answer = result
+                a, b = a + lo - int(first[text]), b + lo - int(first[text])
+                if before is None or share > before[3]:
+                    found[text, k] = (a, b, told if before is None else max(told, before[2]), share, answer)
+        for (text, k), (a, b, told, share, answer) in found.items():
+            yield text, group.items[k], a, b, told, share, answer
 
 
 LEAKS = "doc_id long, n int, item_id long, first_word int, end_word int, cosine double, overlap double, answer_overlap double"
@@ -260,16 +324,15 @@ def _searched(narrow: DataFrame, weights, block) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space = weights.value
         items = [i for i in (Item(*b) for b in block.value) if i.words]
-        if not items or not space.shape[1]:
+        if not items or not len(space):
             return
-        targets = np.stack([space[i.columns].sum(axis=0) for i in items])
-        targets /= np.maximum(np.sqrt((targets * targets).sum(axis=1)), 1e-12)[:, None]
+        groups = [Items([i for i in items if i.scale == k], k, space) for k in sorted({i.scale for i in items})]
         for batch in batches:
             data, at = bytes_of(batch.column("text"))
             rows = []
             for a, b in slices(at, 1 << 18):
                 hashes, columns, first = _features(data[at[a] : at[b]], at[a : b + 1] - at[a])
-                rows += [(a + t, items[k].id, *rest) for t, k, *rest in _leaks_of(columns, hashes, first, space, items, targets)]
+                rows += [(a + t, item.id, *rest) for t, item, *rest in _leaks_of(columns, hashes, first, space, groups)]
             if rows:
                 take = pa.array([r[0] for r in rows])
                 kinds = [pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.float64()]
