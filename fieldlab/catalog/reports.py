@@ -38,6 +38,21 @@ def table_view(t):
     )
 
 
+@query("q1_table_view_wide", """
+SELECT CAST(user_id AS VARCHAR) AS user_id, min(CAST(event_id AS VARCHAR)) FILTER (event_type = 'click') AS is_click,
+  min(CAST(event_id AS VARCHAR)) FILTER (event_type = 'error') AS is_error, min(CAST(event_id AS VARCHAR)) FILTER (event_type = 'purchase') AS is_purchase,
+  min(CAST(event_id AS VARCHAR)) FILTER (event_type = 'signup') AS is_signup, min(CAST(event_id AS VARCHAR)) FILTER (event_type = 'view') AS is_view
+FROM events GROUP BY 1""")
+def table_view_wide(t):
+    matrix = t.region.select(F.col("r_name").alias("TableName"), F.lit("X").alias("raw"), F.lit("X").alias("names"))
+    tables = {
+        "raw": t.events.select("user_id", "event_type", "event_id"),
+        "names": t.events.select("event_type", F.concat(F.lit("is_"), "event_type").alias("detailed")).distinct(),
+    }
+    wide = {"keys": ["user_id"], "name": "detailed", "value": "event_id", "order": "event_id"}
+    return views.table_view(tables, matrix, "ASIA", wide=wide)
+
+
 @query("q2_interview_view", """
 WITH s AS (SELECT o_orderkey AS survey, CAST(o_orderdate AS DATE) AS date, o_orderpriority AS site, o_orderstatus AS time FROM orders),
 f AS (SELECT o_orderkey AS survey, CAST(o_orderdate AS DATE) AS date,
@@ -273,6 +288,19 @@ def normalised_nests(t):
     return _rounded(nests.normalise_nests(nest_places(t)), 3)
 
 
+@query("q10_nests_appended", """
+SELECT p_partkey, CASE WHEN p_size < 25 THEN p_name ELSE p_name || ' ' || p_brand || CASE WHEN p_type = 'PROMO' THEN '' ELSE '. Substrate: ' || p_type END END AS comments,
+  CASE WHEN p_size >= 25 AND p_type <> 'PROMO' THEN p_type END AS substrate, CASE WHEN p_size >= 25 AND p_size % 2 = 0 THEN 'snail' END AS ais
+FROM part""")
+def nests_appended(t):
+    stored = t.part.filter("p_size < 25").select("p_partkey", F.col("p_name").alias("comments"))
+    batch = t.part.filter("p_size >= 25").select(
+        "p_partkey", F.col("p_name").alias("comments"), F.col("p_brand").alias("location"),
+        F.when(F.col("p_type") != "PROMO", F.col("p_type")).alias("substrate"), F.when(F.col("p_size") % 2 == 0, F.lit("snail")).alias("ais"),
+    )
+    return nests.append_nests(stored, nests.with_place_comments(batch, "location", "substrate"))
+
+
 @query("q11_recaptured_tags", """
 SELECT m.user_id, m.event_id AS event_id_x, r.event_id AS event_id_y FROM
   (SELECT user_id, min(event_id) AS event_id FROM events WHERE event_type = 'signup' GROUP BY 1) m

@@ -9,6 +9,7 @@ from fieldlab.functions.geo import coordinate_kind, lonlat_to_utm, ordered_utm
 from fieldlab.functions.numbers import to_number
 from fieldlab.functions.text import fragments, nest_activity
 from fieldlab.operators.aggregates import counts
+from fieldlab.operators.maintain import with_added_columns
 from fieldlab.operators.stats import bins_histogram
 
 # Reasons read from comments and activity, first match wins.
@@ -33,6 +34,18 @@ def describe_activity(df: DataFrame, destroyed: str, fry: str) -> DataFrame:
     return df.withColumn("activity", nest_activity(destroyed, fry))
 
 
+def with_place_comments(df: DataFrame, location: str, substrate: str, comments: str = "comments") -> DataFrame:
+    """Comments followed by where the nest is and on what; missing parts are left out."""
+    on = F.when(F.col(substrate).isNotNull(), F.concat(F.lit(". Substrate: "), F.col(substrate)))
+    text = F.concat(F.concat_ws(" ", comments, location), F.coalesce(on, F.lit("")))
+    return df.withColumn(comments, F.nullif(text, F.lit(""))).drop(location)
+
+
+def append_nests(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """Stored nests with a batch that may bring new columns, such as the substrate and invasive species; older rows have none."""
+    return with_added_columns(stored, batch)
+
+
 def outcome_status(df: DataFrame, activity: str) -> DataFrame:
     """Rows that tell whether a nest was destroyed, labelled."""
     status = F.when(F.col(activity).contains("Nest not destroyed"), "Not Destroyed").when(
