@@ -12,7 +12,6 @@ from fieldlab.functions.numbers import as_column
 
 # Spellings that anglers and crews wrote, and the species or answer they mean.
 SPECIES_SPELLINGS = {
-    "trout ": "trout",
     "troutor": "trout",
     "northern pikeminow": "northern pikeminnow",
     "pikeminow": "northern pikeminnow",
@@ -60,8 +59,6 @@ FRY_CAPTURED = {
     "N (attempted)": "Tried to catch fry, unsuccessful.",
 }
 
-# Life-stage repairs.
-LIFE_STAGES = {"alvein": "alevin", "egg": "eggs", "n/a": "N", "no": "N", "empty": "N"}
 
 # English function words left out of term counts. Contractions are not listed:
 # punctuation is removed before words are compared.
