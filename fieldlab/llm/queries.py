@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -110,8 +111,38 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(texts, dictionaries).select("doc_id", "held_out", "lang_pred", "score")
 
 
+_SPACE = r"[ \t\n\v\f\r]+"
+
+
 @query(
     "op10_quality",
+    rf"""
+    WITH d AS (
+      SELECT doc_id, source, coalesce(text, '') AS text,
+        list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACE}'), lambda w: w <> '') AS words,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_replace(x, '{_SPACE}', '', 'g') <> '') AS lines
+      FROM documents),
+    w AS (SELECT doc_id, unnest(range(1, len(words) - 3)) AS i, words FROM d WHERE len(words) >= 5),
+    c AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(words[i:i + 4], ' ')) AS k FROM w),
+    r AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM c, range(0, 5) t(o) WHERE k > 1 GROUP BY 1),
+    m AS (
+      SELECT d.doc_id, source, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+        length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) AS n_lines,
+        len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+      FROM d LEFT JOIN r ON r.doc_id = d.doc_id),
+    j AS (
+      SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MOST_REPEATED} * n_words AS base_failed,
+        n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MOST_REPEATED} * n_words
+          OR 100 * n_symbols > {quality.HOST_SYMBOLS} * n_words OR 100 * n_dup_lines > {quality.HOST_LINES} * n_lines AS failed FROM m),
+    h AS (SELECT source, count(*) AS n, count(*) FILTER (failed) AS f FROM j GROUP BY 1),
+    a AS (SELECT count(*) AS k, sum(n)::DOUBLE AS n, sum(f)::DOUBLE AS f, sum(f * f / n) AS squares, sum(n * n)::DOUBLE AS sizes FROM h),
+    b AS (SELECT f / n AS m, (squares - f * f / n - (k - 1) * (f / n) * (1 - f / n)) / nullif(n - sizes / n - (k - 1), 0) AS between_hosts FROM a),
+    p AS (SELECT m, CASE WHEN between_hosts > 0 THEN greatest(m * (1 - m) / between_hosts - 1, {quality.LEAST_STRENGTH}) END AS strength FROM b),
+    v AS (SELECT source, CASE WHEN strength IS NULL THEN m ELSE (f + strength * m) / (n + strength) END AS rate FROM h, p)
+    SELECT j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+      NOT base_failed AND NOT coalesce(rate > {quality.MOST_FAILING}, false) AS kept, j.source AS host, round(rate, 6) AS host_rate
+    FROM j JOIN v ON v.source IS NOT DISTINCT FROM j.source
+    """,
 )
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = written(quality.measures(table(spark, sf_dir, "documents")))
@@ -127,7 +158,54 @@ def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extracted(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
-@query("op3_licenses")
+_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _phrase_sql() -> str:
+    """Places of the base phrases in the words of ``d``."""
+    parts = []
+    for phrase, label in licenses.PHRASES.items():
+        own = phrase.split()
+        hit = " AND ".join(f"lower(words[i + {k}]) = '{w}'" for k, w in enumerate(own))
+        parts.append(f"SELECT doc_id, i - 1 AS pos, '{label}' AS label FROM d, unnest(range(1, len(words) + {2 - len(own)})) t(i) WHERE {hit}")
+    return " UNION ALL ".join(parts)
+
+
+def _template_sql() -> str:
+    """The templates' k-grams as rows."""
+    rows = []
+    for i, (label, text) in enumerate(licenses.TEMPLATES):
+        own = [w.lower() for w in re.findall("[0-9A-Za-z]+", text)]
+        rows += [f"({i}, '{label}', {len(own)}, {k}, '{' '.join(own[k : k + licenses.GRAM])}')" for k in range(len(own) - licenses.GRAM + 1)]
+    return "(VALUES " + ", ".join(rows) + ") t(template, label, size, place, gram)"
+
+
+@query(
+    "op3_licenses",
+    rf"""
+    WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{_WORDS}'), lambda w: w <> '') AS words FROM documents),
+    base AS (SELECT doc_id, count(*) AS n, min(pos) AS lo, max(pos) AS hi, list(DISTINCT label) AS labels FROM ({_phrase_sql()}) GROUP BY 1),
+    grams AS (SELECT doc_id, i - 1 AS pos, lower(array_to_string(words[i:i + {licenses.GRAM - 1}], ' ')) AS gram
+      FROM d, unnest(range(1, len(words) - {licenses.GRAM - 2})) t(i) WHERE len(words) >= {licenses.GRAM}),
+    hits AS (SELECT doc_id, template, label, size, pos, place, pos - place AS diagonal FROM grams JOIN {_template_sql()} USING (gram)),
+    votes AS (SELECT doc_id, template, label, size, diagonal, list(DISTINCT place) AS places, min(pos) AS lo, max(pos) AS hi
+      FROM hits GROUP BY ALL),
+    stepped AS (SELECT *, coalesce(diagonal - lag(diagonal) OVER w > {licenses.GAP}, true)::INT AS new FROM votes
+      WINDOW w AS (PARTITION BY doc_id, template ORDER BY diagonal)),
+    spanned AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM stepped),
+    merged AS (SELECT doc_id, template, label, size, span, min(lo) AS lo, max(hi) AS hi,
+        len(list_distinct(flatten(list(flatten(list_transform(places, lambda p: range(p, p + {licenses.GRAM}))))))) AS covered
+      FROM spanned GROUP BY ALL),
+    kept AS (SELECT doc_id, label, covered / size AS cover FROM merged
+      WHERE covered / size >= {licenses.COVER} AND hi - lo + {licenses.GRAM} <= {licenses.STRETCH} * size + {licenses.GAP}),
+    own AS (SELECT doc_id, list(DISTINCT label) AS labels, max(cover) AS cover FROM kept GROUP BY 1)
+    SELECT doc_id, len(words) AS n_words, coalesce(base.n, 0) AS n_base, base.lo AS first_word, base.hi AS last_word,
+      array_to_string(list_sort(coalesce(base.labels, [])), ',') AS base_labels,
+      array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(own.labels, [])))), ',') AS labels,
+      CASE WHEN base.n > 0 THEN 1.0::DOUBLE ELSE coalesce(own.cover, 0)::DOUBLE END AS score
+    FROM d LEFT JOIN base USING (doc_id) LEFT JOIN own USING (doc_id)
+    """,
+)
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(table(spark, sf_dir, "documents"))
 
@@ -142,7 +220,26 @@ def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op9_neardup")
+@query(
+    "op9_neardup",
+    rf"""
+    WITH RECURSIVE d AS (
+      SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_SPACE}'), lambda w: w <> '') AS words
+      FROM documents),
+    s AS (
+      SELECT DISTINCT doc_id, array_to_string(words[i:i + {neardup.SHINGLE - 1}], ' ') AS shingle
+      FROM d, unnest(range(1, greatest(len(words) - {neardup.SHINGLE - 1}, 1) + 1)) t(i) WHERE len(words) > 0),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+    p AS (SELECT a.doc_id AS l, b.doc_id AS r, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+    e AS (
+      SELECT l, r FROM p JOIN n x ON x.doc_id = l JOIN n y ON y.doc_id = r WHERE 100 * k >= {neardup.SHARE} * (x.n + y.n - k)),
+    both_ways AS (SELECT l, r FROM e UNION ALL SELECT r, l FROM e),
+    reached AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT reached.doc_id, r FROM reached JOIN both_ways ON other = l)
+    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(other) AS component_id, d.doc_id = min(other) AS kept
+    FROM d JOIN reached USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id, n.n
+    """,
+)
 def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = neardup.grouped(table(spark, sf_dir, "documents"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
