@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from fieldlab.llm import kernels as K
 from fieldlab.llm.frames import arrow_map, bytes_of, slices
-from fieldlab.session import written
+from fieldlab.session import Workbench, written
 
 SHINGLE = 5
 #: Links need 100 * shared >= SHARE * all.
@@ -305,7 +305,10 @@ def stray_pairs(buckets: DataFrame, classes: DataFrame, components: DataFrame) -
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """rep, component (its smallest member) of every node of the edges (l, r), by alternating large and small stars."""
+    """rep, component (its smallest member) of every node of the edges (l, r), by alternating large and small stars.
+
+    Each round is written to the shared folder; the last one stays there as the result.
+    """
 
     def stars(pairs: DataFrame, large: bool) -> DataFrame:
         # Every node's smallest neighbour (itself included) takes the larger ones, or those not larger.
@@ -320,46 +323,57 @@ def components(edges: DataFrame) -> DataFrame:
             )
         return moved.where("l <> r").select(F.greatest("l", "r").alias("l"), F.least("l", "r").alias("r")).distinct()
 
-    now = written(edges.where("l <> r").select(F.greatest("l", "r").alias("l"), F.least("l", "r").alias("r")).distinct())
-    told = None
-    while True:
-        now = written(stars(stars(now, True), False))
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("l", "r").cast("decimal(38,0)"))).first()
-        if state == told:
-            return now.select(F.col("l").alias("rep"), F.col("r").alias("component")).unionByName(
-                now.select(F.col("r").alias("rep"), F.col("r").alias("component")).distinct()
-            )
-        told = state
+    with Workbench(edges.sparkSession) as bench:
+        now = bench.written(edges.where("l <> r").select(F.greatest("l", "r").alias("l"), F.least("l", "r").alias("r")).distinct())
+        told = None
+        while True:
+            now = bench.written(stars(stars(now, True), False))
+            state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("l", "r").cast("decimal(38,0)"))).first()
+            if state == told:
+                break
+            told = state
+        roots = now.select(F.col("r").alias("rep"), F.col("r").alias("component")).distinct()
+        return written(now.select(F.col("l").alias("rep"), F.col("r").alias("component")).unionByName(roots))
 
 
 def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles and component_id, the smallest doc_id that links reach."""
-    rows = written(signed(docs, doc_id, text))
-    full = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = written(
-        full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n_shingles"))
-    )
-    buckets = written(table_keys(classes))
-    smallest = buckets.groupBy("key").agg(F.min("rep").alias("r"))
-    star = buckets.join(smallest, "key").where("rep <> r").select(F.col("rep").alias("l"), "r").distinct()
-    met = buckets.select(F.col("rep").alias("doc_id")).distinct()
-    sets = written(shingles_of(docs, met, doc_id, text).where(F.length("shingles") > 0).distinct())
-    links = verified(star, sets)
-    # Documents with several texts join their classes.
-    several = full.select("doc_id", "digest").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
-    own = (
-        full.join(several, "doc_id").join(classes.select("digest", "rep"), "digest")
-        .where("doc_id <> rep").select(F.col("doc_id").alias("l"), F.col("rep").alias("r"))
-    )
-    first = written(components(links.unionByName(own)))
-    strays = written(stray_pairs(buckets, classes, first))
-    more = verified(strays, sets)
-    placed = first.where("rep <> component").select(F.col("rep").alias("l"), F.col("component").alias("r"))
-    final = components(placed.unionByName(more))
-    member = classes.join(final, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    known = rows.where("doc_id IS NOT NULL").join(member, "digest", "left").select(
+    """Per row: doc_id, n_shingles and component_id, the smallest doc_id that links reach.
+
+    Signatures, buckets and sets are removed when the components are known; the result reads two narrow tables.
+    """
+    with Workbench(docs.sparkSession) as bench:
+        rows = bench.written(signed(docs, doc_id, text))
+        full = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
+        classes = bench.written(
+            full.groupBy("digest").agg(
+                F.min("doc_id").alias("rep"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch"),
+                F.first("n_shingles").alias("n_shingles"),
+            )
+        )
+        buckets = bench.written(table_keys(classes))
+        smallest = buckets.groupBy("key").agg(F.min("rep").alias("r"))
+        star = buckets.join(smallest, "key").where("rep <> r").select(F.col("rep").alias("l"), "r").distinct()
+        met = buckets.select(F.col("rep").alias("doc_id")).distinct()
+        sets = bench.written(shingles_of(docs, met, doc_id, text).where(F.length("shingles") > 0).distinct())
+        links = verified(star, sets)
+        # Documents with several texts join their classes.
+        several = full.select("doc_id", "digest").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
+        own = (
+            full.join(several, "doc_id").join(classes.select("digest", "rep"), "digest")
+            .where("doc_id <> rep").select(F.col("doc_id").alias("l"), F.col("rep").alias("r"))
+        )
+        first = components(links.unionByName(own))
+        strays = bench.written(stray_pairs(buckets, classes, first))
+        more = verified(strays, sets)
+        placed = first.where("rep <> component").select(F.col("rep").alias("l"), F.col("component").alias("r"))
+        final = components(placed.unionByName(more))
+        member = written(
+            classes.join(final, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
+        )
+        narrow = written(rows.select("doc_id", "n_shingles", "digest"))
+    known = narrow.where("doc_id IS NOT NULL").join(member, "digest", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component")).alias("component")
     )
     return known.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).unionByName(
-        rows.where("doc_id IS NULL").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"))
+        narrow.where("doc_id IS NULL").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"))
     )
