@@ -347,6 +347,6 @@ def _searched(narrow: DataFrame, weights, block) -> DataFrame:
 
 def without_leaks(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents in which nothing was found."""
-    named = found.select(F.col("doc_id").alias("_id"), F.col("n").alias("_n")).distinct()
-    on = F.col(doc_id).eqNullSafe(F.col("_id")) & (text_key(text) == F.col("_n"))
+    named = found.select(F.col("doc_id").alias("__leak_id"), F.col("n").alias("__leak_n")).distinct()
+    on = F.col(doc_id).eqNullSafe(F.col("__leak_id")) & (text_key(text) == F.col("__leak_n"))
     return docs.join(named, on, "left_anti")

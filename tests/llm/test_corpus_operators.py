@@ -370,9 +370,10 @@ def test_stages_one_by_one(spark, tmp_path):
 
 
 def test_pipeline_over_odd_rows(spark, tmp_path):
-    schema = "doc_id long, text string, lang string, source string, n_chars long, extra int"
-    given = spark.read.parquet(f"{SMALL}/documents.parquet").limit(40).withColumn("extra", F.lit(1))
-    odd = spark.createDataFrame([(None, None, None, None, None, None), (900, "", "en", None, 0, 1), (901, None, None, "s", None, 1)], schema)
+    clashing = ["_id", "_n", "n", "ids", "score", "digest", "component", "_text", "_spans", "hash"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} int" for c in clashing)
+    given = spark.read.parquet(f"{SMALL}/documents.parquet").limit(40).withColumns({c: F.lit(1) for c in clashing})
+    odd = spark.createDataFrame([r + (1,) * len(clashing) for r in ((None, None, None, None, None), (900, "", "en", None, 0), (901, None, None, "s", None))], schema)
     docs = given.unionByName(odd).unionByName(given.limit(5))
     for stage in (s for _, s in corpus_pipeline.STAGES):
         docs = stage(spark, docs, SMALL)
