@@ -12,6 +12,7 @@ from __future__ import annotations
 import heapq
 import json
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from fieldlab.llm.frames import arrow_map, texts_of
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Encoded words a worker remembers; when full, it starts anew.
-REMEMBERED = 200_000
+REMEMBERED = 600_000
 
 
 def byte_letters() -> list[str]:
@@ -36,28 +37,43 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in set(shown) else chr(next(hidden)) for b in range(256)]
 
 
-def merged(symbols: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Apply merges to the symbols of one word, the lowest rank first, the leftmost of equal ranks first."""
+#: Bits of an id, and of a place in a word, in the packed numbers below.
+_ID, _PLACE = 20, 40
+
+
+def merged(symbols: list[int], ranks: dict[int, int]) -> list[int]:
+    """Apply merges to the symbols of one word, the lowest rank first, the leftmost of equal ranks first.
+
+    ``ranks`` has, by ``left << 20 | right``, ``rank << 20 | merged id``; the queue holds that and the left symbol's place in one
+    number each.
+    """
     n = len(symbols)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    queue = [(ranks[pair][0], i, *pair) for i, pair in enumerate(zip(symbols, symbols[1:])) if pair in ranks]
+    find = ranks.get
+    queue = []
+    for i in range(n - 1):
+        merge = find(symbols[i] << _ID | symbols[i + 1])
+        if merge is not None:
+            queue.append(merge << _PLACE | i)
     heapq.heapify(queue)
     while queue:
-        _, i, left, right = heapq.heappop(queue)
-        j = after[i] if symbols[i] == left else n
-        if j >= n or symbols[j] != right:
+        top = heapq.heappop(queue)
+        merge, i = top >> _PLACE, top & ((1 << _PLACE) - 1)
+        j = after[i]
+        if symbols[i] < 0 or j >= n or find(symbols[i] << _ID | symbols[j]) != merge:
             continue  # stale: one of the two has been merged since
-        symbols[i], symbols[j] = ranks[left, right][1], -1
-        after[i] = after[j]
-        if after[i] < n:
-            before[after[i]] = i
-            pair = (symbols[i], symbols[after[i]])
-            if pair in ranks:
-                heapq.heappush(queue, (ranks[pair][0], i, *pair))
-        if before[i] >= 0:
-            pair = (symbols[before[i]], symbols[i])
-            if pair in ranks:
-                heapq.heappush(queue, (ranks[pair][0], before[i], *pair))
+        symbols[i], symbols[j] = merge & ((1 << _ID) - 1), -1
+        k = after[i] = after[j]
+        if k < n:
+            before[k] = i
+            made = find(symbols[i] << _ID | symbols[k])
+            if made is not None:
+                heapq.heappush(queue, made << _PLACE | i)
+        k = before[i]
+        if k >= 0:
+            made = find(symbols[k] << _ID | symbols[i])
+            if made is not None:
+                heapq.heappush(queue, made << _PLACE | k)
     return [s for s in symbols if s >= 0]
 
 
@@ -72,7 +88,7 @@ class Remembered(dict):
         if len(self) >= REMEMBERED:
             self.clear()
         ids = merged([self.tokenizer.of_byte[b] for b in word.encode()], self.tokenizer.ranks)
-        packed = np.array(ids, "<u4").tobytes()
+        packed = pack(f"<{len(ids)}I", *ids)
         if len(word) <= 64:
             self[word] = packed
         return packed
@@ -89,7 +105,9 @@ class Tokenizer:
         byte_of = {c: b for b, c in enumerate(letters)}
         self.of_byte = [vocabulary[c] for c in letters]
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in told["model"]["merges"]]
-        self.ranks = {(vocabulary[a], vocabulary[b]): (rank, vocabulary[a + b]) for rank, (a, b) in reversed([*enumerate(pairs)])}
+        self.ranks = {
+            vocabulary[a] << _ID | vocabulary[b]: rank << _ID | vocabulary[a + b] for rank, (a, b) in reversed([*enumerate(pairs)])
+        }
         self.specials = {t["content"]: t["id"] for t in told.get("added_tokens") or []}
         size = 1 + max([*vocabulary.values(), *self.specials.values()])
         self.strings = [b""] * size

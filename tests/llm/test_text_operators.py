@@ -43,6 +43,18 @@ def test_page_without_article_element():
     assert html.main_text(page).split("\n") == [f"{i} {text.strip()}" for i in range(4)]
 
 
+def test_title_and_layout_names():
+    text = "A long sentence with many words that make up the story of this page, told at some length."
+    page = (
+        "<body class='has-sidebar'><div class='page with-sidebar'><h1>The title</h1><div class='intro'><p>Short intro.</p></div>"
+        f"<div class='text'><p>{text}</p><p>{text}</p><p>{text}</p></div><div><a href=1>One</a> <a href=2>Two</a></div></div>"
+        "<div class='sidebar'><p>Other stories that are worth your while, surely.</p></div><div class='ad-box'>Buy now</div></body>"
+    )
+    assert html.main_text(page) == "\n".join(["The title", "Short intro.", text, text, text])
+    assert html.main_text("<div class='sidebar'><main><p>inside</p></main><p>x</p></div>") == "inside"
+    assert html.main_text("<div class='comment'><p>all there is</p></div>") == "all there is"
+
+
 @pytest.mark.parametrize(
     ("page", "text"),
     [
@@ -102,10 +114,13 @@ def test_ids_equal_the_library(library):
 
 
 def test_merges_skip_stale_entries():
+    def rules(*merges):  # in the order of their ranks: left, right, merged
+        return {a << 20 | b: rank << 20 | c for rank, (a, b, c) in enumerate(merges)}
+
     # a b c: (b, c) merges first, which makes the queued (a, b) stale.
-    assert bpe.merged([0, 1, 2], {(1, 2): (0, 12), (0, 1): (1, 10)}) == [0, 12]
-    assert bpe.merged([0, 0, 0], {(0, 0): (0, 1)}) == [1, 0]
-    assert bpe.merged([0, 0, 0, 0], {(0, 0): (0, 1), (1, 1): (1, 2)}) == [2]
+    assert bpe.merged([0, 1, 2], rules((1, 2, 12), (0, 1, 10))) == [0, 12]
+    assert bpe.merged([0, 0, 0], rules((0, 0, 1))) == [1, 0]
+    assert bpe.merged([0, 0, 0, 0], rules((0, 0, 1), (1, 1, 2))) == [2]
 
 
 def test_bpe_frame(frame, library):
@@ -231,3 +246,8 @@ def test_host_verdicts(frame):
     assert set(values(kept)) == {("fine", 200, 190), ("poor", 100, 0), ("tiny", 1, 0), (None, 2, 2)}
     none = measured.limit(0)
     assert quality.judged(none, quality.host_verdicts(none)).count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_equal_their_sql(spark, name):
+    assert differences(QUERIES[name](spark, SMALL), duck(SMALL), ORACLES[name]) is None
