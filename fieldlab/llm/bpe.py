@@ -150,18 +150,18 @@ def _replaced(df: DataFrame, **new: str) -> tuple[DataFrame, T.StructType]:
 
 def encode_decode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """Add the ids (array of int) of a whole text column and the text decoded from them, in one pass."""
-    kept, schema = _replaced(df.withColumn("_text", F.col(text)), **{ids: "array<int>", decoded: "string"})
-    schema = T.StructType([f for f in schema.fields if f.name != "_text"])
+    kept, schema = _replaced(df.withColumn("__bpe_text", F.col(text)), **{ids: "array<int>", decoded: "string"})
+    schema = T.StructType([f for f in schema.fields if f.name != "__bpe_text"])
 
     def run(batch: pa.RecordBatch):
         tok, step = tokenizer(path), 64
         for at in range(0, batch.num_rows, step):
             part = batch.slice(at, step)
-            found = [tok.encode(t) for t in texts_of(part.column("_text"))]
+            found = [tok.encode(t) for t in texts_of(part.column("__bpe_text"))]
             flat = np.concatenate(found).astype(np.int32)
             ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [part.column(n) for n in part.schema.names if n != "_text"]
+                [part.column(n) for n in part.schema.names if n != "__bpe_text"]
                 + [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array([tok.decode(f) for f in found], pa.string())],
                 names=schema.names,
             )
