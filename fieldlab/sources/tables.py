@@ -40,10 +40,13 @@ def tables_like(spark: SparkSession, pattern: str) -> dict[str, DataFrame]:
 def profile_tables(tables: Mapping[str, DataFrame], distinct: str | None = None) -> DataFrame:
     """Rows and nulls per table and column, one aggregate pass per table.
 
-    ``distinct`` adds the number of different values: ``approx`` in the same pass, ``exact``
-    with one shuffle of all different values.
+    ``distinct`` adds the number of different values: ``approx`` in the same pass, ``exact`` with a scan of each column of
+    its own, which reads and shuffles that column only.
     """
-    counter = {"approx": F.approx_count_distinct, "exact": F.countDistinct}
+    counter = {
+        "approx": lambda df, c: F.approx_count_distinct(F.col(c)),
+        "exact": lambda df, c: df.agg(F.countDistinct(c).alias("n")).scalar(),
+    }
 
     def one(name: str, df: DataFrame) -> DataFrame:
         rows = []
@@ -55,7 +58,7 @@ def profile_tables(tables: Mapping[str, DataFrame], distinct: str | None = None)
                 (F.count(F.lit(1)) - F.count(F.col(c))).alias("nulls"),
             ]
             if distinct:
-                fields.append(counter[distinct](F.col(c)).alias("distinct_values"))
+                fields.append(counter[distinct](df, c).alias("distinct_values"))
             rows.append(F.struct(*fields))
         return df.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))
 
