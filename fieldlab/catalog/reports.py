@@ -130,7 +130,7 @@ def clean_main(t):
 
 @query("q3_clean_fish_sheet", """
 WITH f AS (SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS date, l_linenumber % 4 AS q, l_returnflag AS species,
-    (l_orderkey * 10 + l_linenumber)::BIGINT AS seq FROM lineitem),
+    (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS seq FROM lineitem),
 n AS (SELECT *, row_number() OVER (PARTITION BY date ORDER BY seq) AS survey_number FROM f)
 SELECT l_orderkey, l_linenumber, date, species, survey_number,
   date + to_seconds(q * 21600) + to_minutes(5 * (row_number() OVER (PARTITION BY date, q ORDER BY survey_number) - 1)) AS time FROM n""")
@@ -139,7 +139,7 @@ def clean_fish_sheet(t):
     raw = t.lineitem.select(
         "l_orderkey", "l_linenumber", F.col("l_returnflag").alias("spp"),
         F.concat(serial, F.lit("."), ((F.col("l_linenumber") % 4) * 25).cast("string")).alias("date_time"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("_seq"),
+        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("_seq"),
     )
     return interviews.clean_sheet(raw, synonyms={"species": ["spp"]}).drop("_seq")
 
