@@ -299,6 +299,22 @@ def test_chains_prefer_order():
     assert [c.tolist() for c in passages.chains_of(pos, src)] == [[0, 1, 3, 4]]
 
 
+def test_whole_passage_between_its_parts(frame):
+    """Its parts are in documents that come first and just before; only document 10 has the whole passage."""
+    words = invented(1, 60).split()
+    parts = {1: words[:30], 15: words[:30], 2: words[30:], 16: words[30:], 10: words, 20: words}
+    texts = {i: " ".join([invented(100 + i, 70), *p, invented(200 + i, 70)]) for i, p in parts.items()}
+    found = passages.repeated(frame(DOCS, *((i, t, 1, "x") for i, t in texts.items()))).collect()
+    # Brute force: places of the later documents whose 50 words an earlier one has.
+    seen, expected = set(), {}
+    for i, t in sorted(texts.items()):
+        own = [tuple(w) for w in zip(*(t.split()[k:] for k in range(50)))]
+        expected[i] = {p + k for p, w in enumerate(own) if w in seen for k in range(50)}
+        seen.update(own)
+    got = {i: {w for r in found if r["doc_id"] == i for w in range(r["first_word"], r["end_word"])} for i in texts}
+    assert got == expected and len(expected[20]) == 60
+
+
 # --- Decontamination -------------------------------------------------------------------------------------------------
 
 
