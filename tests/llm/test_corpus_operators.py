@@ -315,6 +315,20 @@ def test_whole_passage_between_its_parts(frame):
     assert got == expected and len(expected[20]) == 60
 
 
+def test_every_copy_of_an_earlier_passage(frame, monkeypatch):
+    p, q = invented(1, 60), invented(2, 60).split()
+    texts = {
+        1: f"{invented(3, 40)} {p} {invented(4, 40)}", 2: f"{invented(5, 40)} {p} {invented(6, 40)} {p} {invented(7, 40)}",
+        # The source has the passage's words in pieces before it.
+        3: " ".join([*q[:30], invented(8, 40), *q[30:], invented(9, 40), *q]), 4: " ".join([invented(10, 40), *q, invented(11, 40)]),
+    }
+    docs = frame(DOCS, *((i, t, 1, "x") for i, t in texts.items()))
+    spans = {(2, 40, 100), (2, 140, 200), (4, 40, 100)}
+    assert {(r["doc_id"], r["first_word"], r["end_word"]) for r in passages.repeated(docs).collect()} == spans
+    monkeypatch.setattr(passages, "PLACES", 1)
+    assert spans == {(r["doc_id"], r["first_word"], r["end_word"]) for r in passages.repeated(docs).collect()}
+
+
 # --- Decontamination -------------------------------------------------------------------------------------------------
 
 
