@@ -329,6 +329,22 @@ def test_every_copy_of_an_earlier_passage(frame, monkeypatch):
     assert spans == {(r["doc_id"], r["first_word"], r["end_word"]) for r in passages.repeated(docs).collect()}
 
 
+@pytest.mark.parametrize(("size", "identity", "least"), [(50, 0.83, 0.9), (50, 0.9, 0.95), (60, 0.83, 0.95), (120, 0.83, 0.95)])
+def test_recall_of_fuzzy_passages(frame, size, identity, least):
+    """Evenly spread substitutions, first and last word equal."""
+    rows, trials = [], 100
+    for k in range(trials):
+        words = invented(1000 + k, size).split()
+        edits = round(size * (1 - identity))
+        other = list(words)
+        for e in range(edits):
+            other[int((e + 0.5) * size / edits)] = f"edit{k}n{e}"
+        rows += [(k, " ".join([invented(2000 + k, 60, 10**9), *words, invented(3000 + k, 60, 10**9)]), 1, "x")]
+        rows += [(500 + k, " ".join([invented(4000 + k, 60, 10**9), *other, invented(5000 + k, 60, 10**9)]), 1, "x")]
+    got = {r["doc_id"] for r in passages.repeated(frame(DOCS, *rows)).collect() if r["source_id"] == r["doc_id"] - 500}
+    assert len(got) >= least * trials
+
+
 # --- Decontamination -------------------------------------------------------------------------------------------------
 
 
