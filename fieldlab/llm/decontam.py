@@ -34,7 +34,7 @@ PASSAGE = 48
 FEATURE_BITS = 14
 FEATURES = 1 << FEATURE_BITS
 RANK = 64
-COSINE = 0.55
+COSINE = 0.4
 #: Words by which passages move on; the shortest passage has two blocks.
 BLOCK = 8
 OVERLAP, SPREAD = 0.6, 1.5

@@ -385,6 +385,39 @@ def test_given_items_are_found(spark):
     assert {(r["doc_id"], r["item_id"]) for r in QUERIES["op4_decontam"](spark, folder).collect()} == inside
 
 
+def paraphrases(spark, folder: str) -> tuple:
+    """(share of replaced words, item, text) of 40 items, 8 each: words before the last 8 replaced by any of the documents, in random context."""
+    chance = random.Random(5)
+    items = [decontam.Item(r["item_id"], r["text"]) for r in spark.read.parquet(f"{folder}/benchmark.parquet").orderBy("item_id").collect() if r["text"]]
+    texts = {r["item_id"]: lower(r["text"]).split() for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect() if r["text"]}
+    words = [w for r in spark.read.parquet(f"{folder}/documents.parquet").orderBy("doc_id").limit(300).collect() for w in lower(r["text"] or "").split()]
+    made = []
+    for item in [i for i in items if len(i.words) > decontam.ANSWER][:40]:
+        for share in (0.3, 0.35, 0.4):
+            for _ in range(8):
+                told = list(texts[item.id])
+                for p in chance.sample(range(len(told) - decontam.ANSWER), min(int(share * len(told)), len(told) - decontam.ANSWER)):
+                    told[p] = chance.choice(words)
+                a, b = chance.randrange(len(words) - 100), chance.randrange(len(words) - 100)
+                made.append((share, item, " ".join([*words[a : a + chance.randrange(20, 100)], *told, *words[b : b + chance.randrange(20, 100)]])))
+    return items, made
+
+
+def test_recall_of_paraphrases(spark):
+    folder = "/root/testdata/sf0.01"
+    items, made = paraphrases(spark, folder)
+    space = decontam.latent_space(*decontam.gathered_counts(spark.read.parquet(f"{folder}/documents.parquet")))
+    groups = [decontam.Items([i for i in items if i.scale == k], k, space) for k in sorted({i.scale for i in items})]
+    true, found = Counter(), Counter()
+    for share, item, text in made:
+        raw = np.frombuffer(text.encode(), np.uint8)
+        hashes, columns, first = decontam._features(raw, np.array([0, len(raw)]))
+        if item.checked(hashes.tolist()):  # brute force over the whole text
+            true[share] += 1
+            found[share] += any(r[1] is item for r in decontam._leaks_of(columns, hashes, first, space, groups))
+    assert all(true[s] > 100 and found[s] >= 0.9 * true[s] for s in (0.3, 0.35, 0.4))
+
+
 # --- Pipeline --------------------------------------------------------------------------------------------------------
 
 
