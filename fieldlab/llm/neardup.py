@@ -6,7 +6,7 @@ a text without words has none and is linked with nothing.
 *Signature.* Two collections, A and B, of ``SUBKEYS`` sub-keys with ``ROWS`` minhashes each. A table's key is a pair (A_i, B_j), so
 ``SUBKEYS ** 2`` tables of ``2 * ROWS`` rows come from ``2 * SUBKEYS * ROWS`` minhashes, about the square root of what separate tables
 need. With similarity s, p = s ** ROWS, two documents meet in a table with probability (1 - (1 - p) ** SUBKEYS) ** 2, which is
-over 0.9999 at 0.85.
+over 0.9999 at 0.85 and over 0.999 at 0.80.
 
 *Classes.* Documents with equal sets are one class; only its smallest doc_id goes on.
 
@@ -38,7 +38,7 @@ from fieldlab.llm.frames import arrow_map, bytes_of, slices
 from fieldlab.session import Workbench, written
 
 SHINGLE = 5
-#: Links need 100 * shared >= SHARE * all.
+#: Links need 100 * shared >= share * all; this is the share unless another is given.
 SHARE = 85
 #: Minhashes of a sub-key, and sub-keys of each of the two collections.
 ROWS, SUBKEYS = 3, 12
@@ -190,7 +190,7 @@ def shingles_of(docs: DataFrame, wanted: DataFrame, doc_id: str = "doc_id", text
     return arrow_map(chosen, run, "doc_id long, shingles binary")
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, share: int = SHARE) -> DataFrame:
     """The pairs (l, r) whose full sets are similar enough."""
     left = sets.select(F.col("doc_id").alias("l"), F.col("shingles").alias("of_l"))
     right = sets.select(F.col("doc_id").alias("r"), F.col("shingles").alias("of_r"))
@@ -200,7 +200,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         keep = []
         for x, y in zip(batch.column("of_l"), batch.column("of_r")):
             p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-            if 100 * min(len(p), len(q)) < SHARE * max(len(p), len(q)):
+            if 100 * min(len(p), len(q)) < share * max(len(p), len(q)):
                 keep.append(False)
                 continue
             if len(p) > len(q):
@@ -208,18 +208,18 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             found = np.searchsorted(q, p)
             found[found == len(q)] = 0
             shared = int((q[found] == p).sum()) if len(q) else 0
-            keep.append(100 * shared >= SHARE * (len(p) + len(q) - shared))
+            keep.append(100 * shared >= share * (len(p) + len(q) - shared))
         mask = pa.array(keep, pa.bool_())
         return batch.select(["l", "r"]).filter(mask)
 
     return arrow_map(both, run, "l long, r long").distinct()
 
 
-def _plausible(size_l: np.ndarray, size_r: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+def _plausible(size_l: np.ndarray, size_r: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int = SHARE) -> np.ndarray:
     """Whether sizes and sketches allow the threshold. A sketch samples ranges out of the union, without putting back."""
-    share = SHARE / 100
+    share = percent / 100
     small, large = np.minimum(size_l, size_r), np.maximum(size_l, size_r)
-    fits = np.flatnonzero(100 * small >= SHARE * large)
+    fits = np.flatnonzero(100 * small >= percent * large)
     a, b = left[fits], right[fits]
     seen = ((a | b) != 0).sum(axis=1)
     same = ((a == b) & (a != 0)).sum(axis=1)
@@ -231,7 +231,7 @@ def _plausible(size_l: np.ndarray, size_r: np.ndarray, left: np.ndarray, right:
     return made
 
 
-def stray_pairs(buckets: DataFrame, classes: DataFrame, components: DataFrame) -> DataFrame:
+def stray_pairs(buckets: DataFrame, classes: DataFrame, components: DataFrame, share: int = SHARE) -> DataFrame:
     """Pairs (l, r) of different components that share a bucket and have plausible sketches; each is told by one bucket."""
     placed = buckets.join(components, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     # A bucket's main component is that of its smallest class; strays are all others.
@@ -269,7 +269,7 @@ def stray_pairs(buckets: DataFrame, classes: DataFrame, components: DataFrame) -
             same = subs[ask] == subs[s]
             first_a, first_b = same[:, :SUBKEYS].argmax(axis=1), same[:, SUBKEYS:].argmax(axis=1)
             ask = ask[_table_key(subs[s][first_a], subs[s][SUBKEYS + first_b]) == here]
-            ask = ask[_plausible(np.full(len(ask), size[s]), size[ask], np.broadcast_to(sketch[s], (len(ask), BINS)), sketch[ask])]
+            ask = ask[_plausible(np.full(len(ask), size[s]), size[ask], np.broadcast_to(sketch[s], (len(ask), BINS)), sketch[ask], share)]
             if len(ask):
                 yield rep[s], rep[ask]
 
@@ -336,7 +336,7 @@ def components(edges: DataFrame) -> DataFrame:
         return written(now.select(F.col("l").alias("rep"), F.col("r").alias("component")).unionByName(roots))
 
 
-def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share: int = SHARE) -> DataFrame:
     """Per row: doc_id, n_shingles and component_id, the smallest doc_id that links reach.
 
     Signatures, buckets and sets are removed when the components are known; the result reads two narrow tables.
@@ -355,7 +355,7 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         star = buckets.join(smallest, "key").where("rep <> r").select(F.col("rep").alias("l"), "r").distinct()
         met = buckets.select(F.col("rep").alias("doc_id")).distinct()
         sets = bench.written(shingles_of(docs, met, doc_id, text).where(F.length("shingles") > 0).distinct())
-        links = verified(star, sets)
+        links = verified(star, sets, share)
         # Documents with several texts join their classes.
         several = full.select("doc_id", "digest").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
         own = (
@@ -363,8 +363,8 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
             .where("doc_id <> rep").select(F.col("doc_id").alias("l"), F.col("rep").alias("r"))
         )
         first = components(links.unionByName(own))
-        strays = bench.written(stray_pairs(buckets, classes, first))
-        more = verified(strays, sets)
+        strays = bench.written(stray_pairs(buckets, classes, first, share))
+        more = verified(strays, sets, share)
         placed = first.where("rep <> component").select(F.col("rep").alias("l"), F.col("component").alias("r"))
         final = components(placed.unionByName(more))
         member = written(

@@ -248,6 +248,15 @@ def test_components_of_long_lines(spark):
     assert got == {i: 0 if i <= 150 else 151 for i in range(301)}
 
 
+def test_stage_joins_near_copies_from_080(spark, frame):
+    text = invented(1, 104).split()  # 100 shingles
+    other = [*text[:50], "a", *text[51:70], "b", *text[71:]]  # 90 of them in 110: 0.818
+    docs = frame("doc_id long, text string, lang string, source string, n_chars long", (1, " ".join(text), "en", "s", 1), (2, " ".join(other), "en", "s", 1))
+    assert len(plain_set(" ".join(text)) & plain_set(" ".join(other))) == 90
+    assert [r["doc_id"] for r in corpus_pipeline.one_of_near_copies(spark, docs, SMALL).collect()] == [1]
+    assert {r["component_id"] for r in neardup.grouped(docs).collect()} == {1, 2}
+
+
 # --- Passages --------------------------------------------------------------------------------------------------------
 
 
