@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldlab.functions.numbers import as_column, row_sum, tolerant_sum, to_number
 from fieldlab.functions.text import STOP_WORDS, words
-from fieldlab.operators.skew import sort_columns
+from fieldlab.operators.skew import numbered, sort_columns
 
 
 def counts(df: DataFrame, *by: str | Column, name: str = "n") -> DataFrame:
@@ -97,15 +97,19 @@ def top_categories(df: DataFrame, by: str, k: int = 6) -> DataFrame:
     return ranked_counts(df, by).limit(k)
 
 
-def complete_counts(df: DataFrame, a: str, b: str) -> DataFrame:
+def complete_counts(df: DataFrame, a: str, b: str, block: int = 1000) -> DataFrame:
     """Counts for every combination of the values of two columns, 0 where none occurs.
 
-    The levels of ``b`` are one array, made by an aggregate over its distinct values; each value of
-    ``a`` brings its own list of combinations.
+    The levels of ``b`` are numbered and packed into blocks; every level of ``a`` meets each block by its number, then the
+    block is written out. A row holds ``block`` levels at most, whatever their number.
     """
     n = counts(df.dropna(subset=[a, b]), a, b)
-    levels = df.select(b).dropna().distinct().agg(F.collect_list(b)).scalar()
-    grid = df.select(a).dropna().distinct().select(a, F.explode(levels).alias(b))
+    levels = numbered(df.select(b).dropna().distinct().withColumn("_one", F.lit(1)), [], [b], "_k")
+    blocks = levels.groupBy(F.floor((F.col("_k") - 1) / block).alias("_block")).agg(F.collect_list(b).alias("_levels"))
+    last = F.floor((df.select(F.countDistinct(b)).scalar() - 1) / block)
+    each = F.when(last >= 0, F.sequence(F.lit(0).cast("long"), last))
+    firsts = df.select(a).dropna().distinct().select(a, F.explode(each).alias("_block"))
+    grid = firsts.join(blocks, "_block").select(a, F.explode("_levels").alias(b))
     return grid.join(n, [a, b], "left").fillna(0, ["n"])
 
 

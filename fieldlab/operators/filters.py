@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlab.operators.skew import null_safe_join, numbered
+from fieldlab.operators.skew import numbered
 
 
 def between_dates(
@@ -39,13 +39,6 @@ def any_present(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.dropna("all", subset=columns)
 
 
-def repeated_rows(
-    df: DataFrame, keys: list[str], order: list[str], budget: int | None = None
-) -> DataFrame:
-    """Second and later rows of every key, in source order. Null keys compare as equal.
-
-    Keys are counted first, so that only rows of repeated keys are sorted.
-    """
-    many = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    df = null_safe_join(df, many, keys, "left_semi")
-    return numbered(df, keys, order, "_copy", budget).filter("_copy > 1").drop("_copy")
+def repeated_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Second and later rows of every key, in source order. Null keys compare as equal."""
+    return numbered(df, keys, order, "_copy").filter("_copy > 1").drop("_copy")

@@ -65,12 +65,12 @@ def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
 
 
 def register_new(
-    registry: DataFrame, seen: DataFrame, text: str, key: str, budget: int | None = None
+    registry: DataFrame, seen: DataFrame, text: str, key: str
 ) -> DataFrame:
     """Registry plus texts not registered yet; their ids continue from the largest id."""
     fresh = seen.select(text).dropna().distinct().join(registry.select(text), text, "left_anti")
     return registry.select(key, text).unionByName(
-        next_keys(fresh, registry, key, [text], budget).select(key, text)
+        next_keys(fresh, registry, key, [text]).select(key, text)
     )
 
 

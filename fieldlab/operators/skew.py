@@ -1,46 +1,40 @@
-"""Windows, ranks and look-ups that survive hot groups.
+"""Ordered scans over groups of any size: numbers, running sums, fills, ranks. One lazy plan, whatever the size.
 
-A Spark window sends every row of one partition key to one task. That is the best plan while
-groups are small and fails when one key holds a third of the table. The functions here first
-look for hot groups (see ``hot_groups``: a count, and a sample of the key columns if the table
-is large):
+A Spark window sends all rows of a group to one task. Here the rows are first cut into consecutive *pieces* of their whole order
+(group, then order inside it), so a large group spans many pieces and a task gets pieces, not groups:
 
-* none: the plain Spark window is returned unchanged;
-* otherwise each hot group is cut into consecutive pieces of its order. A row's piece depends
-  only on literal bounds, so recomputed tasks always agree. Pieces are sorted in parallel and
-  an offset per piece (a few rows per hot group) is added back.
+1. *Bounds.* Of the distinct keys, those whose hash falls on a stride are kept, about ``_SAMPLE`` per piece; the stride comes from a
+   distinct count by sketch. The kept keys, sorted, are cut at equal distances. Bounds are a scalar sub-query and a pure function
+   of the rows: recomputed tasks and pruned branches of a plan place every row alike. They only balance, they decide no result.
+2. *Windows* run inside each piece and group.
+3. *Carried state.* Totals are summed up per piece and group with partial sums on the map side. A group that spans pieces is the
+   first or the last one of each of its pieces, so two rows per piece are left; a window over these gives what
+   each piece takes over from earlier (or later) pieces. That table is broadcast; its size is bounded by the number of pieces.
 
-Fewer than ``4 * shuffle partitions`` groups can be hot, since each holds more than that
-fraction of all rows; every other group is at most a quarter of an average task's load.
+No job starts while a plan is built. Nothing depends on row counts or budgets.
 
-The check runs on the frame itself. Where that is costly to compute, ``sizes`` names a cheaper
-frame with the same group columns and at least as many rows in every group; if it shows a hot
-group, the costly frame is written once before the passes that cut it.
-
-An order is a list of column names; a leading ``-`` means descending. Nulls sort last.
+An order is a list of column names; a leading ``-`` means descending. Nulls sort last. Rows with equal keys stay in one piece; where
+keys cover all columns, so that equal rows are copies, copies are counted first and written out in chunks.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 from functools import reduce
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldlab.session import rows_per_task, written
-
 _PIECE = "_piece"
-_BOUNDS = "_bounds"
-_SALT = "_salt"
-_WAYS = "_ways"
-_SAMPLE_PER_PIECE = 40
-_SAMPLE_PER_GROUP = 200
-#: Characters of a text that place a row among the bounds, so that bounds stay small however long texts are. Texts that
-#: begin alike stay in one piece, where they are sorted in full.
-_PREFIX = 64
+#: Pieces per shuffle partition, and sampled keys per piece.
+_PIECES, _SAMPLE = 2, 50
+#: Characters of a last text that a bound holds; texts that begin alike so far stay in one piece, where they are sorted in full.
+_PREFIX = 256
+#: 7-byte words by which descending texts are placed.
+_TEXT_WORDS = 4
+#: Copies of one row that a task writes out at once.
+_CHUNK = 1_000_000
 
 
 def sort_columns(order: list[str]) -> list[Column]:
@@ -66,234 +60,180 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str) -
     return joined.drop(*[f"_right_{c}" for c in on])
 
 
-def hot_limit(df: DataFrame) -> int:
-    """Most groups that can be hot at once; bounds every hot list that is broadcast."""
-    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def hot_groups(df: DataFrame, by: list[str], budget: int) -> list:
-    """Groups too large for one task, as rows ``(*by, _n)``.
-
-    A group is hot if it has more rows than ``budget`` and more than ``1 / hot_limit`` of all
-    rows. Candidates come from a sample in which such a group has 200 rows or more on average and
-    needs half of its expectation, so missing one is out of the question in practice (and would
-    cost time, not rows). The few candidates are then counted exactly. A table within the budget
-    is only counted.
-    """
-    n = df.count()
-    if n <= budget:
-        return []
-    if not by:
-        return [T.Row(_n=n)]
-    least = max(budget, n // hot_limit(df))
-    share = min(1.0, _SAMPLE_PER_GROUP / least)
-    size = F.count(F.lit(1)).alias("_n")
-    drawn = df.select(*by) if share == 1.0 else df.select(*by).sample(share, 7)
-    likely = drawn.groupBy(*by).agg(size).filter(F.col("_n") >= least * share / 2)
-    candidates = likely.drop("_n").collect()
-    if not candidates:
-        return []
-    # Fewer than 2 * hot_limit candidates can reach half of the expectation.
-    keys = df.sparkSession.createDataFrame(candidates, df.select(*by).schema)
-    inside = null_safe_join(df.select(*by), F.broadcast(keys), by, "left_semi")
-    return inside.groupBy(*by).agg(size).filter(F.col("_n") > least).collect()
-
-
-def _compared(order: list[str], a: Column, b: Column) -> Column:
-    """-1, 0 or 1 as struct ``a`` sorts before, with or after struct ``b`` in the given order."""
-    decided = []
-    for name in order:
-        column, way = name.lstrip("-"), -1 if name.startswith("-") else 1
-        x, y = a[column], b[column]
-        # Null, hence undecided, if both are equal or both are missing.
-        decided.append(
-            F.when(x < y, -way)
-            .when(x > y, way)
-            .when(x.isNull() & y.isNotNull(), 1)
-            .when(x.isNotNull() & y.isNull(), -1)
-        )
-    return F.coalesce(*decided, F.lit(0))
-
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-@dataclass(frozen=True)
-class Pieces:
-    """A frame with ``_piece`` and, for hot groups, ``_bounds``.
-
-    ``heavy_ties`` tells that rows with one and the same order values fill a whole piece.
-    """
 
-    frame: DataFrame
-    heavy_ties: bool
+def _descending(c: str, kind: T.DataType) -> list[str]:
+    """SQL of ascending values that fall as the column rises, or of coarser ones."""
+    if isinstance(kind, T.StringType):
+        words = [f"rpad(hex(substring(encode({c}, 'utf-8'), {1 + 7 * i}, 7)), 14, '0')" for i in range(_TEXT_WORDS)]
+        return [f"~CAST(conv({w}, 16, 10) AS BIGINT)" for w in words]
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return [f"NOT isnan({c})", f"-{c}"]
+    if isinstance(kind, T.DateType):
+        return [f"-unix_date({c})"]
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return [f"-unix_micros(CAST({c} AS TIMESTAMP))"]
+    return [f"~{c}" if isinstance(kind, T.IntegralType) else f"-{c}" if isinstance(kind, T.DecimalType) else f"NOT {c}"]
 
 
-def with_pieces(
-    df: DataFrame, by: list[str], order: list[str], budget: int | None = None,
-    sizes: DataFrame | None = None,
-) -> Pieces | None:
-    """Cut hot groups into consecutive pieces of the order, or None if no group is hot.
+def ordered_key(df: DataFrame, order: list[str], cut: bool = True) -> str:
+    """SQL of a struct that sorts as the order does.
 
-    Bounds are order values (of texts, their beginnings) at equal distances in a sample of the hot rows. The sample only
-    balances the pieces; every row is then placed by comparing it with the bounds.
+    A long text is cut where it is the last column, and a descending text ends the key, so that the key may tie where the order
+    does not; it never contradicts the order.
     """
-    budget = budget or rows_per_task(df.sparkSession)
-    hot = hot_groups(df if sizes is None else sizes, by, budget)
-    if not hot:
-        return None
-    spark = df.sparkSession
-    if sizes is not None:
-        df = written(df)
-    total = sum(r["_n"] for r in hot)
-    piece_rows = max(budget, total // hot_limit(df))
-    fields = [df.schema[name.lstrip("-")] for name in order]
-    places = T.ArrayType(T.StructType(fields))
-    keys = [df.schema[c] for c in by]
-    rows = [(*[r[c] for c in by], ceil(r["_n"] / piece_rows)) for r in hot]
-    groups = spark.createDataFrame(rows, T.StructType([*keys, T.StructField("_p", T.LongType())]))
-
-    def short(name: str) -> Column:
-        column = F.col(name)
-        return (F.substring(column, 1, _PREFIX) if isinstance(df.schema[name].dataType, T.StringType) else column).alias(name)
-
-    here = F.struct(*[short(name.lstrip("-")) for name in order])
-    at = here.alias("_at")
-    share = min(1.0, _SAMPLE_PER_PIECE * sum(r[-1] for r in rows) / total)
-    drawn = df.select(*by, at).sample(share, 7)
+    parts = []
+    for i, name in enumerate(order):
+        column, kind = quoted(name.removeprefix("-")), df.schema[name.removeprefix("-")].dataType
+        text = isinstance(kind, T.StringType)
+        parts.append(f"{column} IS NULL")
+        if name.startswith("-"):
+            parts += _descending(column, kind)
+            if text:
+                break
+        else:
+            parts.append(f"left({column}, {_PREFIX})" if text and cut and i == len(order) - 1 else column)
+    return "struct(" + ", ".join(f"{part} AS k{i}" for i, part in enumerate(parts)) + ")"
+
+
+def piece_count(df: DataFrame) -> int:
+    """Most pieces of a scan; bounds all that is broadcast."""
+    return _PIECES * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def bounds(keys: DataFrame, order: list[str]) -> Column:
+    """The keys at which pieces begin, as a scalar sub-query; ``keys`` is any frame with the order's keys."""
+    n = piece_count(keys)
+    key = ordered_key(keys, order)
+    hashed = keys.select(F.expr(f"{key} AS _key"), F.expr(f"xxhash64({key}) AS _hash"))
+    distinct = hashed.select(F.expr("approx_count_distinct(_hash)")).scalar()
+    kept = hashed.where(F.col("_hash") % F.greatest(F.lit(1), F.floor(distinct / (n * _SAMPLE))) == 0).select("_key").distinct()
+    found = kept.select(F.expr("array_sort(collect_list(_key)) AS _s"))
+    cut = f"array_distinct(transform(sequence(1, {n - 1}), i -> _s[CAST(floor(i * size(_s) / {n}) AS INT)]))"
+    return found.selectExpr(f"CASE WHEN size(_s) > 0 THEN {cut} END AS _b").scalar()
+
+
+def with_pieces(df: DataFrame, order: list[str], keys: DataFrame | None = None, at: Column | None = None) -> DataFrame:
+    """The frame with ``_piece``: consecutive pieces of the order, numbered from 0."""
+    at = bounds(df if keys is None else keys, order) if at is None else at
+    # Count the bounds up to a row's key by halving; a place past the last bound is null, which is never before a row. The key is
+    # bound by an array of one, so that it is made once per row.
+    steps = ", ".join(str(2**i) for i in reversed(range(piece_count(df).bit_length())))
+    before = f"aggregate(array({steps}), 0, (n, step) -> n + IF(get(_bounds, n + step - 1) <= k, step, 0))"
+    placed = df.withColumn("_bounds", at)
+    return placed.select(*[quoted(c) for c in df.columns], F.expr(f"transform(array({ordered_key(df, order)}), k -> {before})[0] AS {_PIECE}"))
+
+
+def _taken_over(pieces: DataFrame, by: list[str], totals: list[Column], over: Callable) -> DataFrame:
+    """(``_piece``, by, carried columns): what the rows of a group in a piece take over from its other pieces."""
+    table = pieces.groupBy(_PIECE, *by).agg(*totals)
     if by:
-        drawn = null_safe_join(drawn, F.broadcast(groups), by, "inner")
-    else:
-        drawn = drawn.withColumn("_p", F.lit(rows[0][-1]))
-    ordered = F.array_sort(F.collect_list("_at"), lambda a, b: _compared(order, a, b))
-    step = lambda i: F.get(F.col("_s"), (i * F.size("_s") / F.col("_p")).cast("int"))
-    cut = F.when(F.col("_p") > 1, F.transform(F.sequence(F.lit(1), F.col("_p") - 1), step))
-    found = drawn.groupBy(*by, "_p").agg(ordered.alias("_s")).select(*by, cut.alias(_BOUNDS)).collect()
-    bounds = [(*[r[c] for c in by], r[_BOUNDS] or []) for r in found]
-    heavy = any(x == y for r in bounds for x, y in zip(r[-1], r[-1][1:]))
-
-    table = spark.createDataFrame(bounds, T.StructType([*keys, T.StructField(_BOUNDS, places)]))
-    # At most hot_limit groups and about twice as many bounds.
-    if by:
-        placed = null_safe_join(df, F.broadcast(table), by, "left")
-    else:
-        placed = df.withColumn(_BOUNDS, table.scalar())
-    # Count the bounds before a row by halving. A place past the last bound reads as null and is
-    # never before a row. One expression, so that the optimizer has no chain of steps to expand.
-    most = max((len(r[-1]) for r in bounds), default=0)
-    powers = [2**i for i in reversed(range(max(most.bit_length(), 1)))]
+        group = ordered_key(table, by, cut=False)
+        row = "struct(" + ", ".join(quoted(c) for c in table.columns) + ")"
+        ends = table.groupBy(_PIECE).agg(
+            F.expr(f"min_by({row}, {group}) AS _first"), F.expr(f"max_by({row}, {group}) AS _last"), F.expr("count(1) > 1 AS _several")
+        )
+        table = ends.select(F.expr("inline(IF(_several, array(_first, _last), array(_first)))"))
+    before = Window.partitionBy(*by).orderBy(_PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*by).orderBy(_PIECE).rowsBetween(1, Window.unboundedFollowing)
+    return table.select(_PIECE, *by, *over(before, after))
 
-    def advance(place, power):
-        bound = F.get(F.col(_BOUNDS), place + power - 1)
-        return place + F.when(_compared(order, bound, here) < 0, power).otherwise(0)
 
-    steps = F.array(*[F.lit(p) for p in powers])
-    return Pieces(placed.withColumn(_PIECE, F.aggregate(steps, F.lit(0), advance)), heavy)
+def _with_state(pieces: DataFrame, by: list[str], totals: list[Column], over: Callable, source: DataFrame | None = None) -> DataFrame:
+    """Rows with the state that their piece takes over; at most two rows per piece are broadcast."""
+    table = _taken_over(pieces if source is None else source, by, totals, over)
+    return null_safe_join(pieces, F.broadcast(table), [_PIECE, *by], "left")
 
 
-def _with_offsets(pieces: DataFrame, by: list[str], totals: list[Column], carried) -> DataFrame:
-    """Join per-piece totals, carried over earlier pieces, back to the rows of hot groups."""
-    table = pieces.filter(F.col(_BOUNDS).isNotNull()).groupBy(*by, _PIECE).agg(*totals)
-    before = Window.partitionBy(*by).orderBy(_PIECE).rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(*by).orderBy(_PIECE).rowsBetween(1, Window.unboundedFollowing)
-    keys = [*by, _PIECE]
-    # One row per piece of a hot group: no more than hot_limit groups and pieces overall.
-    table = F.broadcast(table.select(*keys, *carried(before, after)))
-    return null_safe_join(pieces, table, keys, "left")
+def _window(by: list[str], order: list[str]):
+    return Window.partitionBy(_PIECE, *by).orderBy(*sort_columns(order))
 
 
-def numbered(
-    df: DataFrame, by: list[str], order: list[str], into: str, budget: int | None = None,
-    sizes: DataFrame | None = None,
-) -> DataFrame:
-    """Number rows 1..n inside each group (all rows if ``by`` is empty) in the given order."""
-    cut = with_pieces(df, by, order, budget, sizes)
-    number = F.row_number().over(_window(by, order, cut)).cast("long")
-    if cut is None:
-        return df.withColumn(into, number)
-    if cut.heavy_ties and {*by, *(c.lstrip("-") for c in order)} == set(df.columns):
-        return _numbered_copies(df, by, order, into, budget)
-    full = _with_offsets(
-        cut.frame.withColumn(into, number),
-        by,
-        [F.count(F.lit(1)).alias("_n")],
-        lambda before, after: [F.sum("_n").over(before).alias("_offset")],
-    )
-    return full.withColumn(into, F.col(into) + F.coalesce("_offset", F.lit(0))).drop(
-        _PIECE, _BOUNDS, "_offset"
-    )
+def numbered(df: DataFrame, by: list[str], order: list[str], into: str, source: DataFrame | None = None) -> DataFrame:
+    """Number rows 1..n inside each group (all rows if ``by`` is empty) in the given order.
 
+    Bounds and totals read the frame again. Where it is costly, ``source`` names a cheaper one whose rows have the same keys.
+    """
+    by = list(by)
+    if source is None and {*by, *(c.lstrip("-") for c in order)} == set(df.columns):
+        return _numbered_copies(df, by, order, into)
+    keys = [*by, *order]
+    at = bounds(df if source is None else source, keys)
+    pieces = with_pieces(df, keys, at=at)
+    totals = pieces if source is None else with_pieces(source, keys, at=at)
+    full = _with_state(
+        pieces.withColumn(into, F.row_number().over(_window(by, order)).cast("long")), by, [F.count(F.lit(1)).alias("_n")],
+        lambda before, after: [F.sum("_n").over(before).alias("_offset")], source=totals,
+    )
+    return full.withColumn(into, F.col(into) + F.coalesce("_offset", F.lit(0))).drop(_PIECE, "_offset")
 
-def _numbered_copies(
-    df: DataFrame, by: list[str], order: list[str], into: str, budget: int | None
-) -> DataFrame:
-    """Numbering when many rows are full copies: count copies, number the counts, write them out.
 
-    The copies of one row are written in chunks, so no task writes more than its budget.
-    """
-    chunk = budget or rows_per_task(df.sparkSession)
-    copies = written(df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")))
-    last = running_sum(copies, by, order, "_n", "_upto", budget)
-    chunks = last.withColumn("_from", F.explode(F.sequence(F.lit(0), F.col("_n") - 1, F.lit(chunk))))
-    spread = chunks.repartition(*df.columns, "_from")
+def _numbered_copies(df: DataFrame, by: list[str], order: list[str], into: str) -> DataFrame:
+    """Numbering when the keys tell all of a row: count copies, sum the counts up, write the numbers out in chunks."""
+    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    last = running_sum(copies, by, order, "_n", "_upto", source=df, count=True)
+    begin = F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(_CHUNK).cast("long"))
+    chunks = last.withColumn("_from", F.explode(begin))
     first = F.col("_upto") - F.col("_n") + 1 + F.col("_from")
-    final = F.least(first + (chunk - 1), F.col("_upto"))
-    return spread.select(*df.columns, F.explode(F.sequence(first, final)).alias(into))
+    final = F.least(first + (_CHUNK - 1), F.col("_upto"))
+    return chunks.select(*df.columns, F.explode(F.sequence(first, final)).alias(into))
 
 
 def running_sum(
-    df: DataFrame,
-    by: list[str],
-    order: list[str],
-    value: str,
-    into: str,
-    budget: int | None = None,
+    df: DataFrame, by: list[str], order: list[str], value: str, into: str, source: DataFrame | None = None, count: bool = False
 ) -> DataFrame:
-    """Sum of ``value`` over this and all earlier rows of the group; the order must be unique."""
-    cut = with_pieces(df, by, order, budget)
-    frame = _window(by, order, cut).rowsBetween(Window.unboundedPreceding, 0)
-    total = F.sum(value).over(frame)
-    if cut is None:
-        return df.withColumn(into, total)
-    full = _with_offsets(
-        cut.frame.withColumn(into, total),
-        by,
-        [F.sum(value).alias("_n")],
-        lambda before, after: [F.sum("_n").over(before).alias("_offset")],
+    """Sum of ``value`` over this and all earlier rows of the group; the order must be unique.
+
+    Where ``df`` holds counts of the rows of ``source``, keys and totals can be taken from those rows (``count``), which
+    need no shuffle for it.
+    """
+    by = list(by)
+    keys = [*by, *order]
+    at = bounds(df if source is None else source, keys)
+    pieces = with_pieces(df, keys, at=at)
+    rows = pieces if source is None else with_pieces(source, keys, at=at)
+    total = F.sum(value).over(_window(by, order).rowsBetween(Window.unboundedPreceding, 0))
+    full = _with_state(
+        pieces.withColumn(into, total), by, [(F.count(F.lit(1)) if count else F.sum(value)).alias("_n")],
+        lambda before, after: [F.sum("_n").over(before).alias("_offset")], source=rows,
     )
-    return full.withColumn(into, F.col(into) + F.coalesce("_offset", F.lit(0))).drop(
-        _PIECE, _BOUNDS, "_offset"
+    return full.withColumn(into, F.col(into) + F.coalesce("_offset", F.lit(0))).drop(_PIECE, "_offset")
+
+
+def running_max(df: DataFrame, by: list[str], order: list[str], value: str, into: str) -> DataFrame:
+    """Largest ``value`` of this and all earlier rows of the group."""
+    by = list(by)
+    pieces = with_pieces(df, [*by, *order])
+    most = F.max(value).over(_window(by, order).rowsBetween(Window.unboundedPreceding, 0))
+    full = _with_state(
+        pieces.withColumn(into, most), by, [F.max(value).alias("_n")],
+        lambda before, after: [F.max("_n").over(before).alias("_far")], source=pieces,
     )
+    return full.withColumn(into, F.greatest(into, "_far")).drop(_PIECE, "_far")
 
 
 def carried(
-    df: DataFrame,
-    by: list[str],
-    order: list[str],
-    columns: list[str],
-    directions: tuple[str, ...] = ("down",),
-    budget: int | None = None,
+    df: DataFrame, by: list[str], order: list[str], columns: list[str], directions: tuple[str, ...] = ("down",)
 ) -> DataFrame:
     """Fill nulls from the nearest known row of the group, trying the directions in turn.
 
-    ``down`` looks at earlier rows, ``up`` at later ones. All directions share one shuffle. The
-    order must be ascending over columns without nulls.
+    ``down`` looks at earlier rows, ``up`` at later ones. All directions share one shuffle.
     """
-    if any(name.startswith("-") for name in order):
-        raise ValueError("carried needs an ascending order")
-    cut = with_pieces(df, by, order, budget)
-    window = _window(by, order, cut)
+    by = list(by)
+    pieces = with_pieces(df, [*by, *order])
+    window = _window(by, order)
     earlier = window.rowsBetween(Window.unboundedPreceding, 0)
     later = window.rowsBetween(0, Window.unboundedFollowing)
     near = {
         "down": lambda c: F.last(c, ignorenulls=True).over(earlier),
         "up": lambda c: F.first(c, ignorenulls=True).over(later),
     }
-    if cut is None:
-        return df.withColumns({c: F.coalesce(*[near[d](c) for d in directions]) for c in columns})
-    place = F.struct(*order)
+    place = F.expr(ordered_key(df, order))
     pick = {"down": F.max_by, "up": F.min_by}
     edges = [
-        pick[d](c, F.when(F.col(c).isNotNull(), place)).alias(f"_{d}_{c}")
-        for d in directions
-        for c in columns
+        pick[d](c, F.when(F.col(c).isNotNull(), place)).alias(f"_{d}_{c}") for d in directions for c in columns
     ]
 
     def over_pieces(before, after):
@@ -303,66 +243,21 @@ def carried(
         }
         return [far[d](f"_{d}_{c}").alias(f"_far_{d}_{c}") for d in directions for c in columns]
 
-    full = _with_offsets(cut.frame, by, edges, over_pieces)
-    sources = lambda c: [x for d in directions for x in (near[d](c), F.col(f"_far_{d}_{c}"))]
-    filled = full.withColumns({c: F.coalesce(*sources(c)) for c in columns})
-    return filled.select(df.columns)
+    local = {f"_near_{d}_{c}": near[d](c) for d in directions for c in columns}
+    full = _with_state(pieces.withColumns(local), by, edges, over_pieces, source=pieces)
+    sources = lambda c: [f"_{w}_{d}_{c}" for d in directions for w in ("near", "far")]
+    return full.withColumns({c: F.coalesce(*sources(c)) for c in columns}).select(df.columns)
 
 
-def ranked(
-    df: DataFrame, by: list[str], order: str, into: str, budget: int | None = None
-) -> DataFrame:
+def ranked(df: DataFrame, by: list[str], order: str, into: str) -> DataFrame:
     """SQL ``RANK()`` by one column. Ties share a rank; the next rank skips.
 
-    Beyond the row budget, equal values are counted first, the counts get a running sum, and
-    the rank goes back to the rows by a look-up that spreads hot values.
+    Equal values are counted, the counts are summed up, and the rank goes back to the rows by a join on the value, whose hot
+    values adaptive execution splits.
     """
-    budget = budget or rows_per_task(df.sparkSession)
-    if not hot_groups(df, by, budget):
-        return df.withColumn(into, F.rank().over(_window(by, [order], None)).cast("long"))
     column = order.lstrip("-")
     keys = [*by, column]
-    counts = written(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
-    sums = running_sum(counts, by, [order], "_n", "_upto", budget)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    sums = running_sum(counts, by, [order], "_n", "_upto", source=df.select(*keys), count=True)
     ranks = sums.select(*keys, (F.col("_upto") - F.col("_n") + 1).cast("long").alias(into))
-    return spread_join(df, ranks, keys, "left", budget)
-
-
-def spread_join(
-    left: DataFrame, right: DataFrame, on: list[str], how: str = "left", budget: int | None = None,
-    sizes: DataFrame | None = None,
-) -> DataFrame:
-    """Null-safe inner or left join whose hot left keys are salted over several tasks.
-
-    The salt is a hash of the row, so a recomputed task sends each row to the same place. The
-    right rows of a hot key are copied once per salt.
-    """
-    if how not in ("inner", "left"):
-        raise ValueError("only the left side of an inner or left join can be spread")
-    budget = budget or rows_per_task(left.sparkSession)
-    hot = hot_groups(left if sizes is None else sizes, on, budget)
-    if not hot:
-        return null_safe_join(left, right, on, how)
-    piece_rows = max(budget, sum(r["_n"] for r in hot) // hot_limit(left))
-    schema = T.StructType(
-        [left.schema[c] for c in on] + [T.StructField(_WAYS, T.IntegerType(), False)]
-    )
-    rows = [(*[r[c] for c in on], ceil(r["_n"] / piece_rows)) for r in hot]
-    ways = F.broadcast(left.sparkSession.createDataFrame(rows, schema))
-
-    def add_ways(df):
-        return null_safe_join(df, ways, on, "left").fillna(1, [_WAYS])
-
-    salted = add_ways(left).withColumn(
-        _SALT, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.col(_WAYS)).cast("int")
-    )
-    copies = add_ways(right).withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0), F.col(_WAYS) - 1))
-    )
-    joined = null_safe_join(salted.drop(_WAYS), copies.drop(_WAYS), [*on, _SALT], how)
-    return joined.drop(_SALT)
-
-
-def _window(by: list[str], order: list[str], cut: Pieces | None):
-    keys = list(by) if cut is None else [*by, _PIECE]
-    return Window.partitionBy(*keys).orderBy(*sort_columns(order))
+    return null_safe_join(df, ranks, keys, "left")

@@ -5,41 +5,28 @@ Quantiles are exact and interpolate between neighbours: position ``(n - 1) * p``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldlab.operators.reshape import to_long
-from fieldlab.operators.skew import hot_groups, null_safe_join, running_sum, spread_join
-from fieldlab.session import rows_per_task, written
+from fieldlab.operators.skew import null_safe_join, running_sum
 
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
-def quantiles(
-    df: DataFrame, by: list[str], value: str, probs: dict[str, float], budget: int | None = None
-) -> DataFrame:
+def quantiles(df: DataFrame, by: list[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Exact quantiles per group, one column per named probability.
 
-    Equal values are counted, the counts are summed up in value order, and the rows at the wanted
-    positions are picked; sorting spills to disk where the built-in aggregate would hold every
-    distinct value of a group in memory. For hot groups the running sum is split.
+    Equal values are counted, the counts are summed up in value order by an ordered scan, so a group's values lie in as many
+    pieces as they need, and the values at the wanted positions are picked.
     """
-    budget = budget or rows_per_task(df.sparkSession)
+    by = list(by)
     present = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
     n = present.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    if not hot_groups(present, by, budget):
-        group = Window.partitionBy(*by)
-        ordered = group.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-        sized = n.withColumns({"_upto": F.sum("_n").over(ordered), "_size": F.sum("_n").over(group)})
-    else:
-        n = written(n)
-        upto = running_sum(n, by, ["_v"], "_n", "_upto", budget)
-        if by:
-            size = n.groupBy(*by).agg(F.sum("_n").alias("_size"))
-            sized = spread_join(upto, size, by, "left", budget, sizes=n)
-        else:
-            sized = upto.withColumn("_size", n.agg(F.sum("_n")).scalar())
+    upto = running_sum(n, by, ["_v"], "_n", "_upto", source=present, count=True)
+    size = present.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
+    sized = null_safe_join(upto, size, by, "inner") if by else upto.withColumn("_size", size.scalar())
     picks, wanted = [], F.lit(False)
     for name, p in probs.items():
         h = (F.col("_size") - 1) * F.lit(float(p))
@@ -56,7 +43,7 @@ def quantiles(
     return table.select(*by, *blend)
 
 
-def summary(df: DataFrame, columns: list[str], budget: int | None = None) -> DataFrame:
+def summary(df: DataFrame, columns: list[str]) -> DataFrame:
     """Per column: count, missing, minimum, quartiles, mean and maximum, as one row each."""
 
     def one(c):
@@ -72,20 +59,20 @@ def summary(df: DataFrame, columns: list[str], budget: int | None = None) -> Dat
 
     rows = df.agg(F.array(*[one(c) for c in columns]).alias("_rows")).select(F.inline("_rows"))
     long = to_long(df, [], columns, kind="double")
-    middle = quantiles(long, ["variable"], "value", QUARTILES, budget)
+    middle = quantiles(long, ["variable"], "value", QUARTILES)
     return rows.join(middle, "variable", "left").select(
         "variable", "n", "missing", "min", "q1", "median", "mean", "q3", "max"
     )
 
 
-def box_stats(df: DataFrame, by: list[str], value: str, budget: int | None = None) -> DataFrame:
+def box_stats(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """Quartiles, whiskers (last values within 1.5 interquartile ranges) and outlier count.
 
     Whiskers and outliers come from the counts of distinct values, not from the rows again.
     """
-    quartile = quantiles(df, by, value, QUARTILES, budget)
+    quartile = quantiles(df, by, value, QUARTILES)
     counted = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    full = spread_join(counted, quartile, by, "inner", budget)
+    full = null_safe_join(counted, quartile, by, "inner")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     x = F.col(value)
     inside = (x >= F.col("q1") - reach) & (x <= F.col("q3") + reach)
@@ -135,9 +122,7 @@ def line_fit(df: DataFrame, x: str, y: str, by: list[str] = ()) -> DataFrame:
     )
 
 
-def density(
-    df: DataFrame, by: list[str], value: str, grid: int = 512, budget: int | None = None
-) -> DataFrame:
+def density(df: DataFrame, by: list[str], value: str, grid: int = 512) -> DataFrame:
     """Gaussian density curve per group on ``grid`` equal steps over the range of all rows.
 
     Each value shares its weight between its two neighbouring grid points, so the data shrink to
@@ -148,7 +133,7 @@ def density(
     present = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_x"))
     low, high = present.agg(F.min("_x")).scalar(), present.agg(F.max("_x")).scalar()
     step = F.when(high > low, high - low).otherwise(F.lit(1.0)) / (grid - 1)
-    iqr = quantiles(present, by, "_x", QUARTILES, budget)
+    iqr = quantiles(present, by, "_x", QUARTILES)
     spread = present.groupBy(*by).agg(
         F.count(F.lit(1)).alias("_n"), F.stddev_samp("_x").alias("_sd"), F.abs(F.min("_x")).alias("_size")
     )
@@ -171,16 +156,23 @@ def density(
         .groupBy(*by)
         .agg(F.array_sort(F.collect_list(F.struct("i", "w"))).alias("_points"))
     )
-    # At most ``grid`` points per group from here on.
+    # At most ``grid`` points per group from here on. The kernel depends on the distance of two grid points only: one table
+    # of ``grid`` values per group, then products and sums.
     curve = null_safe_join(weights, width, by, "inner").withColumn("_step", step)
-    j = F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point")
-    z = lambda p: (F.col("point") - p["i"]) * F.col("_step") / F.col("_bw")
-    mass = F.aggregate(
-        "_points", F.lit(0.0), lambda total, p: total + p["w"] * F.exp(-0.5 * z(p) * z(p))
-    )
+    steps = F.sequence(F.lit(0), F.lit(grid - 1))
+    kernel = F.transform(steps, lambda d: F.exp(-0.5 * F.pow(d * F.col("_step") / F.col("_bw"), F.lit(2.0))))
+
+    def mass(kernel: Column) -> Column:
+        return F.transform(
+            steps,
+            lambda j: F.aggregate("_points", F.lit(0.0), lambda total, p: total + p["w"] * F.get(kernel, F.abs(j - p["i"]))),
+        )
+
+    # The table is bound by an array of one, so that it is made once per group.
+    masses = F.get(F.transform(F.array(kernel), mass), F.lit(0))
     return (
-        curve.select("*", j)
+        curve.select(*by, "_n", "_bw", "_step", F.posexplode(masses).alias("point", "_mass"))
         .withColumn("x", low + F.col("point") * F.col("_step"))
-        .withColumn("density", mass / (F.col("_n") * F.col("_bw") * (2 * 3.141592653589793) ** 0.5))
+        .withColumn("density", F.col("_mass") / (F.col("_n") * F.col("_bw") * (2 * 3.141592653589793) ** 0.5))
         .select(*by, "point", "x", "density")
     )

@@ -49,14 +49,14 @@ class Reports(Mapping):
 
 
 def age_structure(
-    df: DataFrame, age: str, length: str, sex: str, grid: int = 512, budget: int | None = None
+    df: DataFrame, age: str, length: str, sex: str, grid: int = 512
 ) -> Mapping[str, DataFrame]:
     """Counts and shares by age, length-at-age box figures, length density by sex, counts by sex; each is made when it is asked for."""
     return Reports(
         {
             "ages": lambda: shares(df, age, scale=1.0, name="share"),
-            "length_at_age": lambda: box_stats(df, [age], length, budget),
-            "density": lambda: density(df, [sex], length, grid, budget),
+            "length_at_age": lambda: box_stats(df, [age], length),
+            "density": lambda: density(df, [sex], length, grid),
             "sexes": lambda: counts(df, sex),
         }
     )

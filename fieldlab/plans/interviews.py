@@ -22,8 +22,7 @@ from fieldlab.operators.windows import renumber_within, run_ids, spread_collisio
 
 
 def clean_main(
-    raw: DataFrame, order: str = "_seq", synonyms: dict[str, list[str]] | None = None,
-    budget: int | None = None,
+    raw: DataFrame, order: str = "_seq", synonyms: dict[str, list[str]] | None = None
 ) -> DataFrame:
     """Main sheet as typed rows, one per survey.
 
@@ -38,15 +37,12 @@ def clean_main(
     one = first_known(dated, keys, order)
     one = one.withColumn("_number", to_number("survey_number"))
     moment = at_clock("date", serial_seconds("time"))
-    # Collapsing only removes rows, so group sizes can be taken from the sheet before it.
-    sizes = dated.select("date", moment.alias("time"))
-    numbered = renumber_within(
-        one, "date", ["_number", "survey_number", "time"], "_survey", budget, sizes
-    )
-    timed = numbered.withColumns(
-        {"survey_number": F.col("_survey"), "time": moment, "wind": undo_auto_date("wind")}
-    ).drop("_survey", "_number")
-    spread = spread_collisions(timed, "time", ["date", "survey_number"], budget=budget, sizes=sizes)
+    # Within a date the new numbers follow the sheet's, so collisions are told apart in the order that gave the numbers.
+    order_of = ["_number", "_given", "_clock"]
+    one = one.withColumns({"_given": F.col("survey_number"), "_clock": F.col("time"), "time": moment})
+    numbered = renumber_within(one, "date", order_of, "survey_number")
+    timed = numbered.withColumn("wind", undo_auto_date("wind"))
+    spread = spread_collisions(timed, "time", ["date", *order_of], source=one).drop(*order_of)
     shift = shift_parts("shift")
     return spread.withColumns(
         {
@@ -58,8 +54,7 @@ def clean_main(
 
 
 def clean_sheet(
-    raw: DataFrame, order: str = "_seq", moment: str = "date_time", synonyms: dict[str, list[str]] | None = None,
-    budget: int | None = None,
+    raw: DataFrame, order: str = "_seq", moment: str = "date_time", synonyms: dict[str, list[str]] | None = None
 ) -> DataFrame:
     """A sheet beside the main one (demography, fish, counts): one serial of date and time per row.
 
@@ -70,8 +65,9 @@ def clean_sheet(
         raw = coalesce_synonyms(raw, synonyms)
     day = serial_date(moment)
     dated = raw.filter(day.isNotNull()).withColumns({"date": day, "time": at_clock(day, serial_seconds(moment))}).drop(moment)
-    numbered = renumber_within(dated.drop("survey_number"), "date", [order], "survey_number", budget)
-    return spread_collisions(numbered, "time", ["date", "survey_number"], budget=budget)
+    dated = dated.drop("survey_number")
+    numbered = renumber_within(dated, "date", [order], "survey_number")
+    return spread_collisions(numbered, "time", ["date", order], source=dated)
 
 
 def question_table(df: DataFrame, columns: list[str]) -> DataFrame:

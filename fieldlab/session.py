@@ -1,4 +1,4 @@
-"""Session settings, scratch space and the row budget of one task."""
+"""Session settings and scratch space."""
 
 from __future__ import annotations
 
@@ -8,9 +8,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Most rows of one group that a single task should sort or buffer. Larger groups are split.
-DEFAULT_ROWS_PER_TASK = 2_000_000
-
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -44,11 +41,6 @@ def local_session(cpus: int = 8, app: str = "fieldlab") -> SparkSession:
     return configure(spark)
 
 
-def rows_per_task(spark: SparkSession) -> int:
-    """Row budget of one task, from ``spark.fieldlab.rowsPerTask`` or the default."""
-    return int(spark.conf.get("spark.fieldlab.rowsPerTask", str(DEFAULT_ROWS_PER_TASK)))
-
-
 _FOLDERS: dict[str, str] = {}
 
 

@@ -22,9 +22,8 @@ def raw(frame):
     )
 
 
-@pytest.mark.parametrize("budget", [None, 2])
-def test_clean_main(frame, budget):
-    got = interviews.clean_main(raw(frame), synonyms={"air_temp": ["mean_air_temp"]}, budget=budget)
+def test_clean_main(frame):
+    got = interviews.clean_main(raw(frame), synonyms={"air_temp": ["mean_air_temp"]})
     noon = dt.datetime(2024, 1, 1, 12)
     rows = values(got.select("date", "survey_number", "time", "shift", "wind", "air_temp", "hours_worked"), "date", "survey_number")
     assert rows == [
