@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlab.llm import bpe, chat, decontam, html, language, licenses, neardup, passages, quality, suffixes
+from fieldlab.llm import bpe, chat, decontam, fptree, html, language, licenses, neardup, passages, quality, suffixes
 from fieldlab.llm.frames import table
 from fieldlab.session import written
 
@@ -256,3 +256,29 @@ def op4_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated passages: one row per passage of a document and an earlier document that has it."""
     return passages.repeated(table(spark, sf_dir, "documents")).drop("n", "source_n")
+
+
+_ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    "op13_ranked",
+    rf"""
+    WITH d AS (
+      SELECT row_number() OVER () AS k, doc_id, list_filter(regexp_split_to_array({_ASCII_LOWER.format("coalesce(text, '')")}, '{_WORDS}'), lambda w: w <> '') AS words FROM documents),
+    i AS (
+      SELECT row_number() OVER () AS j, item_id, list_distinct(list_filter(regexp_split_to_array({_ASCII_LOWER.format("coalesce(text, '')")}, '{_WORDS}'), lambda w: w <> '')) AS words FROM benchmark),
+    t AS (SELECT count(*) FILTER (len(words) > 0)::BIGINT AS n, sum(len(words))::BIGINT AS l FROM d),
+    p AS (SELECT k, unnest(words) AS term FROM d),
+    f AS (SELECT k, term, count(*)::BIGINT AS tf FROM p GROUP BY 1, 2),
+    w AS (SELECT term, floor(1000 * ln((2 * n + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM f, t GROUP BY term, n),
+    q AS (SELECT j, item_id, unnest(words) AS term FROM i),
+    s AS (
+      SELECT j, q.item_id, d.doc_id, k, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(words)::BIGINT * n) // l))))::BIGINT AS score
+      FROM q JOIN f USING (term) JOIN w USING (term) JOIN d USING (k), t GROUP BY ALL)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY j ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= {fptree.TOP}
+    """,
+)
+def op13_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fptree.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
