@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlab.llm import bpe, chat, decontam, fptree, html, language, licenses, neardup, passages, quality, suffixes
+from fieldlab.llm import bpe, chat, decontam, fptree, html, language, licenses, neardup, onepermutation, passages, quality, suffixes
 from fieldlab.llm.frames import table
 from fieldlab.session import written
 
@@ -282,3 +282,14 @@ _ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrs
 )
 def op13_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fptree.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_fingerprints")
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = onepermutation.edited(table(spark, sf_dir, "documents"))
+    marked = made.withColumn("edited_fingerprint", onepermutation.fingerprint("edited"))
+    return marked.select(
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+        onepermutation.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
+        onepermutation.likeness("fingerprint", "next_fingerprint").alias("near_next"),
+    )
