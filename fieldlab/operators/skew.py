@@ -202,16 +202,27 @@ def running_sum(
     return full.withColumn(into, F.col(into) + F.coalesce("_offset", F.lit(0))).drop(_PIECE, "_offset")
 
 
-def running_max(df: DataFrame, by: list[str], order: list[str], value: str, into: str) -> DataFrame:
-    """Largest ``value`` of this and all earlier rows of the group."""
+#: How a running value goes on from what its piece takes over.
+_JOINED = {"sum": "{0} + coalesce({1}, 0)", "bit_xor": "{0} ^ coalesce({1}, 0)", "max": "greatest({0}, {1})", "min": "least({0}, {1})"}
+
+
+def running(df: DataFrame, by: list[str], order: list[str], columns: dict[str, tuple[str, str]]) -> DataFrame:
+    """Running aggregates over this and all earlier rows of the group: new name -> (``sum``, ``max``, ``min`` or ``bit_xor``, column).
+
+    The order must be unique. All columns share one scan.
+    """
     by = list(by)
     pieces = with_pieces(df, [*by, *order])
-    most = F.max(value).over(_window(by, order).rowsBetween(Window.unboundedPreceding, 0))
+    rows = _window(by, order).rowsBetween(Window.unboundedPreceding, 0)
+    local = {into: F.expr(f"{kind}({quoted(value)})").over(rows) for into, (kind, value) in columns.items()}
+    totals = [F.expr(f"{kind}({quoted(value)}) AS {quoted('_of_' + into)}") for into, (kind, value) in columns.items()]
     full = _with_state(
-        pieces.withColumn(into, most), by, [F.max(value).alias("_n")],
-        lambda before, after: [F.max("_n").over(before).alias("_far")], source=pieces,
+        pieces.withColumns(local), by, totals,
+        lambda before, after: [F.expr(f"{kind}({quoted('_of_' + into)})").over(before).alias(f"_far_{into}") for into, (kind, _) in columns.items()],
+        source=pieces,
     )
-    return full.withColumn(into, F.greatest(into, "_far")).drop(_PIECE, "_far")
+    ends = {into: F.expr(_JOINED[kind].format(quoted(into), quoted(f"_far_{into}"))) for into, (kind, _) in columns.items()}
+    return full.withColumns(ends).drop(_PIECE, *[f"_far_{into}" for into in columns])
 
 
 def carried(

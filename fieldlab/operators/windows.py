@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldlab.functions.times import plus_minutes
-from fieldlab.operators.skew import carried, numbered, running_max
+from fieldlab.operators.skew import carried, numbered, running
 
 
 def renumber_within(df: DataFrame, day: str, order: list[str], into: str) -> DataFrame:
@@ -51,7 +51,7 @@ def spread_apart(
     keyed = df.withColumn("_day", F.when(there, F.to_date(day) if isinstance(day, str) else day))
     placed = numbered(keyed, ["_day"], [moment, *order], "_k")
     free = plus_minutes(moment, -F.col("_k") * minutes)
-    least = running_max(placed.withColumn("_free", free), ["_day"], ["_k"], "_free", "_least")
+    least = running(placed.withColumn("_free", free), ["_day"], ["_k"], {"_least": ("max", "_free")})
     moved = F.when(F.col("_day").isNotNull(), plus_minutes("_least", F.col("_k") * minutes)).otherwise(F.col(moment))
     return least.withColumn(into or moment, moved).drop("_day", "_k", "_free", "_least")
 

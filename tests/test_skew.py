@@ -117,11 +117,13 @@ def test_fill_down_up(skewed, by):
     same(fill_down_up(skewed, ["sparse"], ["event_id"], by), skewed.withColumn("sparse", F.coalesce(down, up)))
 
 
-def test_running_sum_and_max(skewed):
+def test_running_values(skewed):
     whole = skewed.withColumn("one", F.col("event_id") % 5)
     rows = plain(["tag"], ["event_id"]).rowsBetween(Window.unboundedPreceding, 0)
     same(skew.running_sum(whole, ["tag"], ["event_id"], "one", "s"), whole.withColumn("s", F.sum("one").over(rows)))
-    same(skew.running_max(whole, ["tag"], ["event_id"], "value", "s"), whole.withColumn("s", F.max("value").over(rows)))
+    several = {"s": ("sum", "one"), "m": ("max", "value"), "x": ("bit_xor", "event_id")}
+    want = whole.withColumns({"s": F.sum("one").over(rows), "m": F.max("value").over(rows), "x": F.bit_xor("event_id").over(rows)})
+    same(skew.running(whole, ["tag"], ["event_id"], several), want)
 
 
 @pytest.mark.parametrize("by", [[], ["tag"]])
