@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlab.llm import bpe, chat, decontam, fptree, html, language, licenses, neardup, onepermutation, passages, quality, suffixes
+from fieldlab.llm import bpe, chat, decontam, fptree, html, language, licenses, neardup, onepermutation, passages, quality, suffixes, trie
 from fieldlab.llm.frames import table
 from fieldlab.session import written
 
@@ -293,3 +293,37 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         onepermutation.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
         onepermutation.likeness("fingerprint", "next_fingerprint").alias("near_next"),
     )
+
+
+_CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda crc, b: list_reduce(list_concat([xor(crc, b)], range(8)), lambda v, k: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)))"""
+
+
+@query(
+    "op12_trie",
+    rf"""
+    WITH t AS (
+      SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, {_CRC32} % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+    r AS (
+      SELECT c.conv_id, 0 AS part, place, role, text FROM c JOIN t ON t.conv_id = base AND place <= h
+      UNION ALL SELECT c.conv_id, 1, place, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND place > h),
+    m AS (
+      SELECT conv_id, row_number() OVER w AS depth, string_agg(md5(length(role) || ':' || role || text), '') OVER w AS key,
+        len(list_filter(regexp_split_to_array(text, '{_SPACE}'), lambda w: w <> '')) AS words
+      FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+    p AS (SELECT conv_id, depth, key, words FROM m UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+    n AS (SELECT key, min(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, min(words) AS words, (count(*) - 1) * min(words) AS saved FROM p GROUP BY key),
+    k AS (SELECT left(key, length(key) - 32) AS key, count(*) AS n FROM n WHERE depth > 0 GROUP BY 1),
+    u AS (
+      SELECT p.key, sum(saved)::BIGINT AS saved_tokens, (count(*) FILTER (k.n IS NULL))::BIGINT AS n_leaves
+      FROM n JOIN p ON p.conv_id = n.conv_id AND p.depth <= n.depth LEFT JOIN k ON k.key = n.key GROUP BY 1),
+    z AS (SELECT key, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS digest FROM p WHERE (conv_id, depth) IN (SELECT (conv_id, max(depth)) FROM p GROUP BY conv_id) GROUP BY 1)
+    SELECT n.conv_id, n.depth, b.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children, n_leaves, saved_tokens,
+      coalesce(digest, sha256('')) AS ends_sha256
+    FROM n LEFT JOIN n b ON n.depth > 0 AND b.key = left(n.key, length(n.key) - 32) LEFT JOIN k ON k.key = n.key JOIN u ON u.key = n.key LEFT JOIN z ON z.key = n.key
+    """,
+)
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
