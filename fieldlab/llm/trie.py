@@ -132,14 +132,18 @@ def rebuilt_first_turns() -> tuple[Column, Column]:
     return F.col("conv_id") - F.col("conv_id") % 20, (F.crc32(F.col("conv_id").cast("string")) % 4).cast("long")
 
 
-def placed_turns(conversations: DataFrame) -> DataFrame:
-    """conv_id, place (from 1), digest of role and text, words of the text."""
+def digested_turns(conversations: DataFrame) -> DataFrame:
+    """conv_id, timed, turn, digest of role and text, words of the text; rows without conv_id are left out."""
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
-    turns = conversations.where("conv_id IS NOT NULL").select(
+    return conversations.where("conv_id IS NOT NULL").select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").isNotNull().alias("timed"), "turn",
         F.unhex(F.sha2(F.concat(F.char_length(role).cast("string"), F.lit(":"), role, text), 256)).alias("digest"),
         F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")).cast("long").alias("words"),
     )
+
+
+def placed_turns(turns: DataFrame) -> DataFrame:
+    """conv_id, place (from 1), digest and words of digested turns, in order of turn."""
     order = ["timed", "turn", "digest", "words"]
     return numbered(turns, ["conv_id"], order, "place").select("conv_id", "place", "digest", "words")
 
@@ -268,5 +272,6 @@ def trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
 def rebuilt_trie(conversations: DataFrame) -> DataFrame:
     """The trie of the rebuilt conversations."""
     with Workbench(conversations.sparkSession) as bench:
-        placed = bench.written(placed_turns(conversations))
+        # Texts are read once; the ordered scan goes over their digests.
+        placed = bench.written(placed_turns(bench.written(digested_turns(conversations))))
         return trie(rebuilt(placed), placed.select("conv_id"))
