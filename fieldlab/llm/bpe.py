@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldlab.llm.frames import arrow_map, texts_of
+from fieldlab.llm.frames import arrow_map, free, texts_of
 
 #: Fixed value: the public pre-tokenizer pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -171,7 +171,8 @@ def encode_decode(df: DataFrame, path: str, text: str = "text", ids: str = "ids"
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add the ids of a whole text column as an array of int."""
-    return encode_decode(df, path, text, ids, "_decoded").drop("_decoded")
+    spare = free("_decoded", df)
+    return encode_decode(df, path, text, ids, spare).drop(spare)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:

@@ -43,6 +43,14 @@ def keyed_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     )
 
 
+def free(name: str, *frames: DataFrame) -> str:
+    """The name, with an underscore in front as often as some frame has a column of it."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """Texts of a batch; null is empty."""
     return ["" if t is None else t for t in column.to_pylist()]

@@ -7,12 +7,12 @@ node has its characters C, tags T, link characters LC and link tags LT (with eve
 
 with Cb and LCb those of the body, and 1 in place of 0. The density sum of a node is the sum of its children's densities. The
 least density on the path from the node with the largest sum up to the body is the threshold: from the body downwards,
-every node that reaches it gives its descendant of the largest sum, and the chosen subtrees make up the text. Where a page says
-by ``article`` or ``main`` elements what its article is, the outermost one of the largest sum is the subtree, unless it holds less
-than ``LEAST_SHARE`` of the page's characters. Without such an element, the title and what stands beside the path inside the
-body's branch stay if less than a third of it are links.
+every node that reaches it gives its descendant of the largest sum, and the chosen subtrees make up the text. The title and what
+stands beside the path inside the body's branch stay if less than a third of it are links; so does an ``article`` or ``main``
+beside the path.
 
-What a class or id calls surroundings stays if it holds an ``article`` or ``main``, or if the page has no text besides.
+What a class or id calls surroundings stays if the page has no text besides; an ``article`` or ``main`` in it always stays. Outside of
+those any word of a class or id tells; inside, where an author names things, a class or id only as a whole.
 
 Blocks are cut at block-level tags. Character references are decoded, white space in a block (line-break tags too) becomes
 one space, blocks are trimmed and joined by one line break; empty blocks vanish.
@@ -68,9 +68,6 @@ NAMES = frozenset(
     "commentform respond replies reply disqus share sharing social toolbar pagination pager skip".split()
 )
 
-#: Least share of the page's characters in an article element that stands for the article.
-LEAST_SHARE = 0.25
-
 _TOKEN = regex.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*+)(?:>|\Z)", regex.S
 )
@@ -114,7 +111,7 @@ def named_surroundings(tag: str, attributes: str, inside: bool) -> bool:
         for own in "".join(values).lower().split():
             if _LAYOUT.fullmatch(own):
                 continue
-            if any(word in NAMES and not (inside and word == "header") for word in _NAME_WORD.findall(own)):
+            if own != "header" and own in NAMES if inside else any(word in NAMES for word in _NAME_WORD.findall(own)):
                 return True
     return False
 
@@ -204,7 +201,7 @@ def parsed(page: str) -> Node:
 
 
 def without_suspects(root: Node) -> Node:
-    """Empty the nodes that are surroundings by name, if they hold no article and the page has text besides."""
+    """Empty the nodes that are surroundings by name, if the page has text besides; of those with an article, all but the way to it."""
     nodes = in_page_order(root)
     holds: set[int] = set()
     for node in reversed(nodes):
@@ -217,6 +214,10 @@ def without_suspects(root: Node) -> Node:
         kept = [(n, n.children) for n in gone]
         for n in gone:
             n.children = []
+    for n in nodes:
+        if n.suspect and id(n) in holds and n.tag not in ("article", "main"):
+            n.children = [c for c in n.children if isinstance(c, Node) and id(c) in holds]
+    if gone:
         if not any(isinstance(c, str) and c.strip() for n in in_page_order(root) for c in n.children):
             for n, children in kept:
                 n.children = children
@@ -267,11 +268,6 @@ def best_below(node: Node) -> Node:
 def chosen(root: Node) -> list[Node]:
     """The subtrees that hold the article, in page order."""
     weighed(root)
-    named = [n for n in _outermost(root, ("article", "main")) if n.chars]
-    if named:
-        article = max(named, key=lambda n: (n.total, n.chars))
-        if article.chars >= LEAST_SHARE * root.chars:
-            return [article]
     best = best_below(root)
     if best.total <= 0:
         return [root]
@@ -283,7 +279,7 @@ def chosen(root: Node) -> list[Node]:
     while todo:
         node = todo.pop()
         if node.density < threshold and id(node) not in on_path:
-            beside = node.tag == "h1" or node.above is not root
+            beside = node.tag in ("h1", "article", "main") or node.above is not root
             if beside and 3 * node.link_chars < node.chars:
                 marked.append(node)
             continue
@@ -298,18 +294,6 @@ def chosen(root: Node) -> list[Node]:
     return marked or [root]
 
 
-def _outermost(root: Node, tags: tuple[str, ...]) -> list[Node]:
-    """Elements of these kinds that are in no other, in page order."""
-    found, todo = [], [root]
-    while todo:
-        node = todo.pop()
-        if node.tag in tags:
-            found.append(node)
-        else:
-            todo.extend(c for c in reversed(node.children) if isinstance(c, Node))
-    return found
-
-
 def _ancestors(node: Node) -> list[Node]:
     found = []
     while node.above is not None:

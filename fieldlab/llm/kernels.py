@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 U = np.uint64
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+#: Bytes up to which a word has a polynomial hash.
+PLAIN = 32
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -68,9 +71,15 @@ def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``words`` and a 64-bit hash of each."""
+    """``words`` and a 64-bit hash of each.
+
+    A polynomial modulo 2**64 has long words that always collide, so words beyond ``PLAIN`` bytes get a hash of another kind.
+    """
     begin, end, first = words(data, at)
-    return begin, end, first, Prefix(data).of(begin, end)
+    hashes = Prefix(data).of(begin, end)
+    for i in np.flatnonzero(end - begin > PLAIN).tolist():
+        hashes[i] = xxhash.xxh3_64_intdigest(data[begin[i] : end[i]].tobytes())
+    return begin, end, first, hashes
 
 
 def grams(hashes: np.ndarray, n: int) -> np.ndarray:

@@ -31,8 +31,11 @@ CHARS_PER_DOC = 3000
 DICTIONARY_BYTES = 96 * 1024
 BLOCK = 2048
 LEVEL = 6
-#: ``accepted``: least score.
+#: ``accepted``: the least score of any text; texts from so many letters on need this share of the score that all but ``STRAY`` of
+#: the labelled texts of their length reach.
 LEAST_MARGIN = 0.001
+LENGTHS = (40, 200)
+STRAY, SHARE = 0.01, 0.7
 
 _OTHER = regex.compile(r"[^\p{L}]+")
 
@@ -111,6 +114,26 @@ def identified(docs: DataFrame, dictionaries: list[tuple[str, bytes]], text: str
     return arrow_map(kept, run, schema)
 
 
-def accepted(least: float = LEAST_MARGIN) -> Column:
-    """Whether a language was found by more than a narrow margin."""
-    return (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)
+def margins(docs: DataFrame, dictionaries: list[tuple[str, bytes]], doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> tuple[float, ...]:
+    """Least scores by length, from ``LENGTHS`` letters on: what the second bounded sample of labelled rows reaches.
+
+    The sample holds the ``DOCS_PER_LANGUAGE`` rows per language that follow those of the dictionaries; for shorter lengths their
+    first letters are scored.
+    """
+    rows = docs.where(F.col(lang).isNotNull() & (F.char_length(text) >= LENGTHS[-1]))
+    narrow = rows.select(F.col(lang).alias("lang"), F.xxhash64(F.col(doc_id).cast("string")).alias("spread"), F.col(doc_id).alias("id"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("spread", "id"))
+    chosen = narrow.withColumn("rank", place).where(F.col("rank").between(DOCS_PER_LANGUAGE + 1, 2 * DOCS_PER_LANGUAGE))
+    ids = [r[0] for r in chosen.select("id").distinct().collect() if r[0] is not None]
+    texts = rows.where(F.col(doc_id).isin(ids)).select(F.substring(text, 1, CHARS_PER_DOC).alias("text"))
+    parts = [texts.select(F.lit(i).alias("length"), F.substring("text", 1, size + size // 2).alias("text")) for i, size in enumerate(LENGTHS)]
+    scored = identified(parts[0].unionByName(parts[1]), dictionaries)
+    found = dict(scored.groupBy("length").agg(F.percentile("score", F.lit(STRAY))).collect())
+    return tuple(max(LEAST_MARGIN, SHARE * found.get(i, 0.0)) for i in range(len(LENGTHS)))
+
+
+def accepted(least: tuple[float, ...] = (LEAST_MARGIN, LEAST_MARGIN), text: str = "text") -> Column:
+    """Whether a language was found by more than a narrow margin; ``least`` as ``margins`` tells it."""
+    size = F.char_length(F.regexp_replace(text, r"[^\p{L}]+", ""))
+    needed = F.when(size >= LENGTHS[1], least[1]).when(size >= LENGTHS[0], least[0]).otherwise(LEAST_MARGIN)
+    return (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= needed)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldlab.llm import kernels as K
-from fieldlab.llm.frames import arrow_map, bytes_of, slices
+from fieldlab.llm.frames import arrow_map, bytes_of, free, slices
 
 #: Least words of a document.
 MIN_WORDS = 10
@@ -155,14 +155,15 @@ def host_verdicts(measured: DataFrame, host: str = "source", most: float = MOST_
 def judged(measured: DataFrame, verdicts: DataFrame, host: str = "source") -> DataFrame:
     """Measured documents with base_failed, host_rate, host_failed and kept. Hot hosts are salted."""
     part = F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(PARTS)).cast("int")
+    own, its_host, its_part = (free(name, measured) for name in ("_part", "_host", "_hpart"))
     spread = verdicts.select(
-        F.col("host").alias("_host"), F.col("rate").alias("host_rate"), F.col("host_failed"),
-        F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("_hpart"),
+        F.col("host").alias(its_host), F.col("rate").alias("host_rate"), F.col("host_failed"),
+        F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias(its_part),
     )
     return (
-        measured.withColumn("_part", part)
-        .join(spread, (F.col("_part") == F.col("_hpart")) & F.col(host).eqNullSafe(F.col("_host")), "left")
+        measured.withColumn(own, part)
+        .join(spread, (F.col(own) == F.col(its_part)) & F.col(host).eqNullSafe(F.col(its_host)), "left")
         .withColumn("base_failed", base_failed())
         .withColumn("kept", ~F.col("base_failed") & ~F.coalesce(F.col("host_failed"), F.lit(False)))
-        .drop("_part", "_hpart", "_host")
+        .drop(own, its_part, its_host)
     )

@@ -55,6 +55,54 @@ def test_title_and_layout_names():
     assert html.main_text("<div class='comment'><p>all there is</p></div>") == "all there is"
 
 
+def test_sibling_articles_and_names_of_authors():
+    text = "A long sentence with many words that make up the story of this page, told at some length."
+    page = "<body><nav><a href=1>One</a></nav>" + "".join(f"<article><h2>Part {i}</h2><p>{text}</p><p>{text}</p></article>" for i in range(3)) + "</body>"
+    assert html.main_text(page).count(text) == 6 and html.main_text(page).count("Part") == 3
+    own = f"<article><p class='side-note'>{text}</p><div class='pagination-info'>{text}</div><section id='search-results-analysis'>{text}</section><div class='sidebar'>{text}</div></article>"
+    assert html.main_text(f"<body>{own}</body>").count(text) == 3
+
+
+def plain_density(page: str) -> str:
+    """The text of the subtrees that densities choose, all sums made anew for each node."""
+    import math
+
+    root = html.without_suspects(html.parsed(page))
+    inside = lambda n: [x for c in n.children if isinstance(c, html.Node) for x in (c, *inside(c))]
+
+    def counts(n):
+        chars = sum(len("".join(c.split(" "))) for x in (n, *inside(n)) for c in ["".join("".join(t).split()) for t in x.children if isinstance(t, str)])
+        links = sum(counts(x)[0] for x in _tops(n)) if n.tag != "a" else chars
+        return chars, links, len(inside(n)), sum(x.tag == "a" for x in inside(n))
+
+    def _tops(n):
+        found = []
+        for c in n.children:
+            if isinstance(c, html.Node):
+                found += [c] if c.tag == "a" else _tops(c)
+        return found
+
+    c_body, l_body, _, _ = counts(root)
+
+    def density(n):
+        chars, links, tags, anchors = counts(n)
+        if not chars:
+            return 0.0
+        base = math.log(chars / max(1, chars - links) * links + l_body / max(1, c_body) * chars + math.e)
+        inner = chars / max(1, links) * max(1, tags) / max(1, anchors)
+        return chars / max(1, tags) * (math.log(inner) / math.log(base) if base > 1 else 1)
+
+    total = lambda n: sum(density(c) for c in n.children if isinstance(c, html.Node))
+    best = max((root, *inside(root)), key=total)
+    return "\n".join(html.blocks(best))
+
+
+def test_given_pages_by_a_plain_density_sum(spark):
+    pages = [r["html"] for r in spark.read.parquet(f"{SMALL}/pages.parquet").orderBy("page_id").limit(12).collect()]
+    for page in pages:
+        assert plain_density(page) in html.main_text(page)
+
+
 @pytest.mark.parametrize(
     ("page", "text"),
     [
@@ -212,6 +260,44 @@ def test_unknown_and_narrow(frame):
     assert values(language.identified(asked, []).select("lang_pred").distinct()) == [("und",)]
 
 
+def test_other_languages_are_rejected(spark):
+    import random
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    taught = language.learned(docs.where(~held_out()))
+    least = language.margins(docs.where(~held_out()), taught)
+    assert language.LEAST_MARGIN < least[1]
+    chance = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    noise = [" ".join("".join(chance.choice(letters) for _ in range(chance.randrange(2, 9))) for _ in range(120)) for _ in range(200)]
+    welsh = "mae hen wlad fy nhadau yn annwyl i mi gwlad beirdd a chantorion enwogion o fri ei gwrol ryfelwyr gwladgarwyr tra mad dros ryddid collasant eu gwaed "
+    asked = spark.createDataFrame([(i, t) for i, t in enumerate([*noise, welsh * 3])], "doc_id long, text string")
+    passed = {r["doc_id"] for r in language.identified(asked, taught).where(language.accepted(least)).collect()}
+    assert len(passed) <= 20 and 200 not in passed
+    left = docs.where(held_out() & (F.char_length("text") > 20))
+    assert language.identified(left, taught).where(language.accepted(least)).count() >= 0.98 * left.count()
+
+
+def test_classifier_against_a_plain_one(frame):
+    import zstandard
+
+    words = {"en": "the house and the garden were green with trees ", "de": "das haus und der garten waren voller schöner bäume "}
+    taught = [(k, (v * 40).encode()) for k, v in words.items()]
+    texts = ["The garden!", "der Garten", "Bäume, trees", "haus " * 3000]
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identified(frame("doc_id long, text string", *enumerate(texts)), taught).collect()}
+    for i, text in enumerate(texts):
+        raw = (" " + " ".join(re.findall(r"[^\W\d_]+", text.lower())) + " ").encode()
+        size = {}
+        for name, content in taught:
+            own = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            size[name] = sum(
+                len(zstandard.ZstdCompressor(level=language.LEVEL, dict_data=own, write_content_size=False, write_checksum=False, write_dict_id=False).compress(raw[a : a + language.BLOCK]))
+                for a in range(0, len(raw), language.BLOCK)
+            )
+        low, high = sorted(size.values())
+        assert got[i][1] == pytest.approx((high - low) / high) and (low == high or got[i][0] == min(size, key=size.get))
+
+
 # --- Quality ---------------------------------------------------------------------------------------------------------
 
 
