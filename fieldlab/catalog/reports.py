@@ -13,7 +13,8 @@ from fieldlab.functions import text
 from fieldlab.functions.geo import LAKE_LAT, LAKE_LON
 from fieldlab.operators import aggregates, shape
 from fieldlab.operators.sets import tagged
-from fieldlab.session import written
+from fieldlab.session import fresh_path
+from fieldlab.sources.versions import StoredTable
 from fieldlab.plans import anglers, checks, detections, interviews, nests, species, views
 
 
@@ -73,8 +74,8 @@ def interview_view(t):
         F.col("o_orderkey").alias("survey"), F.to_date("o_orderdate").alias("date"), F.col("o_orderpriority").alias("site"),
         F.col("o_orderstatus").alias("time"),
     )
-    # Several fish, persons and answers per survey; all sheets have a time. Orders and line items are joined once.
-    lines = written(t.lineitem.withColumnRenamed("l_orderkey", "survey").join(surveys.select(*on), "survey"))
+    # Several fish, persons and answers per survey; all sheets have a time.
+    lines = t.lineitem.withColumnRenamed("l_orderkey", "survey").join(surveys.select(*on), "survey")
     place = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("_seq")
     back = F.struct(-F.col("l_linenumber"), "l_partkey", "l_suppkey", "l_extendedprice").alias("_seq")
     fish = lines.select(*on, F.col("l_partkey").alias("species"), F.col("l_quantity").alias("time"), place)
@@ -251,6 +252,10 @@ SELECT split_part(receiver, '-', 2) AS receiver_name, event_id, receiver,
   round(-abs(CASE WHEN longitude IS NULL OR longitude < -123 THEN COALESCE(lon, longitude) ELSE longitude END), 9) AS longitude
 FROM ({_DETECTIONS}) LEFT JOIN st ON label = split_part(receiver, '-', 2)""")
 def repair_coordinates(t):
+    return _rounded(detections.repair_coordinates(*_seen_and_stations(t)), 9)
+
+
+def _seen_and_stations(t):
     kind = F.col("event_type")
     seen = t.events.select(
         "event_id", F.concat(F.lit("VR2W-"), F.col("user_id").cast("string")).alias("receiver"), F.lit(49.05).alias("latitude"),
@@ -263,7 +268,21 @@ def repair_coordinates(t):
         F.concat(F.lit("49 "), minutes, F.lit(".25 N")).alias("station_lat"),
         F.concat(F.lit("121 "), minutes, F.lit(".5 W")).alias("station_lon"),
     )
-    return _rounded(detections.repair_coordinates(seen, stations), 9)
+    return seen, stations
+
+
+@query("q8_rebuild", f"""
+WITH st AS (SELECT CAST(s_suppkey AS VARCHAR) AS label, 49 + (s_suppkey % 60 + 0.25) / 60.0::DOUBLE AS lat, -(121 + (s_suppkey % 60 + 0.5) / 60.0::DOUBLE) AS lon FROM supplier)
+SELECT event_id, receiver,
+  round(CASE WHEN longitude IS NULL OR longitude < -123 THEN COALESCE(lat, latitude) ELSE latitude END, 9) AS latitude,
+  round(-abs(CASE WHEN longitude IS NULL OR longitude < -123 THEN COALESCE(lon, longitude) ELSE longitude END), 9) AS longitude
+FROM ({_DETECTIONS}) LEFT JOIN st ON label = split_part(receiver, '-', 2)""")
+def rebuild_detections(t):
+    """The stored detections, repaired and stored over themselves."""
+    seen, stations = _seen_and_stations(t)
+    table = StoredTable(t.spark, fresh_path(t.spark)).replace(seen)
+    table.replace(detections.repair_coordinates(table.read(), stations).select(*seen.columns), since=table.version)
+    return _rounded(table.read(), 9)
 
 
 @query("q9_tag_registry", _CELLS + """,

@@ -13,6 +13,7 @@ from fieldlab.functions.numbers import to_number
 from fieldlab.session import fresh_path
 from fieldlab.sources.delimited import SOURCE_COLUMNS, scan_delimited, scan_forms
 from fieldlab.sources.sinks import append_table, csv_export, csv_report, snapshot
+from fieldlab.sources.versions import stored
 from fieldlab.sources.tables import key_sightings, profile_tables, tables_like
 
 TABLES = (
@@ -184,7 +185,9 @@ def report_roundtrip(t):
 def snapshot_roundtrip(t):
     path = fresh_path(t.spark)
     snapshot(t.orders.select("o_orderkey", "o_orderdate", "o_totalprice"), path)
-    return t.spark.read.parquet(path)
+    # Stored again from itself: nothing is lost, nothing doubled.
+    snapshot(stored(t.spark, path), path)
+    return stored(t.spark, path)
 
 
 @query("s12_export_tables", """

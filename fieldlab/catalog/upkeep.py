@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from fieldlab.catalog.registry import query
 from fieldlab.operators import maintain, validate
+from fieldlab.session import fresh_path
+from fieldlab.sources.versions import StoredTable
 
 @query("d2_append_unique", "SELECT o_orderkey, o_orderstatus FROM orders")
 def append_unique(t):
@@ -72,6 +74,25 @@ def delete_where(t):
     return maintain.delete_where(tagged, F.col("tag") > 75)
 
 
+@query("d5_update_stored", """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'alevin' ELSE o_orderstatus END AS o_orderstatus FROM orders""")
+def update_stored(t):
+    """The update stored over the table that it reads."""
+    table = StoredTable(t.spark, fresh_path(t.spark)).replace(t.orders.select("o_orderkey", "o_orderstatus"))
+    return table.update_where(F.col("o_orderstatus") == "P", {"o_orderstatus": F.lit("alevin")}).read()
+
+
+@query("d6_delete_stored", """
+SELECT event_id, tag FROM (SELECT event_id, CASE WHEN event_type = 'view' THEN NULL ELSE user_id END AS tag FROM events)
+WHERE (tag > 75) IS NOT TRUE""")
+def delete_stored(t):
+    """The deletion stored over the table that it reads, then older versions removed."""
+    tagged = t.events.select("event_id", F.when(F.col("event_type") != "view", F.col("user_id")).alias("tag"))
+    table = StoredTable(t.spark, fresh_path(t.spark)).replace(tagged).delete_where(F.col("tag") > 75)
+    table.vacuum()
+    return table.read()
+
+
 @query("d8_register_new", """
 WITH fresh AS (SELECT DISTINCT text FROM conversations WHERE text IS NOT NULL AND text NOT IN (SELECT text FROM benchmark))
 SELECT item_id, text FROM benchmark

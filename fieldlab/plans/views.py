@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldlab.operators.aggregates import first_known
 from fieldlab.operators.filters import between_dates, facet_filter
-from fieldlab.operators.joins import full_join_all, natural_join_all
+from fieldlab.operators.joins import natural_join_all, stacked_groups
 from fieldlab.operators.reshape import chosen_tables, to_wide
 from fieldlab.operators.shape import in_front
 
@@ -50,20 +49,24 @@ def interview_view(
 ) -> DataFrame | None:
     """One row per survey: the parts' first known values fully joined on their keys, with one column per question.
 
-    Only parts that hold all keys take part. Each is brought to one row per key first, so parts cannot multiply each other;
+    Only parts that hold all keys take part. All are stacked and grouped in one exchange, so parts cannot multiply each other;
     ``order`` tells which row comes first, or all columns of a part without it. Answers without questions are a part like
     others; questions alone are shown as they are if nothing else is. None if nothing qualifies.
     """
     both = questions is not None and answers is not None
     parts = [*parts, *([answers] if answers is not None and not both else [])]
-    usable = [_first_of_keys(p, on, order) for p in parts if set(on) <= set(p.columns)]
+    usable = [_ordered(p, on, order) for p in parts if set(on) <= set(p.columns)]
     if both:
-        usable.append(answers_wide(questions, answers, on, order, names))
-    return full_join_all(usable, on) if usable else questions
+        paired = answers.join(questions, "question_id")
+        if names is None:
+            # The questions become columns, so their names are needed to make the plan.
+            names = [r[0] for r in paired.select("question").dropna().distinct().orderBy("question").collect()]
+        told = [F.when(F.col("question") == name, F.col("answer")).alias(name) for name in names]
+        usable.append((paired.select(*on, *told, order), order))
+    return stacked_groups(usable, on) if usable else questions
 
 
-def _first_of_keys(part: DataFrame, on: list[str], order: str) -> DataFrame:
-    columns = [c for c in part.columns if c not in (*on, order)]
-    if order not in part.columns:
-        part = part.withColumn(order, F.struct(*columns) if columns else F.lit(0))
-    return first_known(part, on, order, columns) if columns else part.select(*on).distinct()
+def _ordered(part: DataFrame, on: list[str], order: str) -> tuple[DataFrame, Column | str]:
+    """A part and what tells its first row: the order column, or all columns without it."""
+    columns = [c for c in part.columns if c not in on]
+    return part, order if order in columns else F.struct(*columns) if columns else F.lit(0)

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from fieldlab.operators.shape import typed
 from fieldlab.sources.tables import tables_holding
+from fieldlab.sources.versions import StoredTable
 
 
 #: CSV options by which any text comes back as it was: a quote is doubled, white space stays.
@@ -18,13 +19,24 @@ QUOTING = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhi
 def append_table(
     df: DataFrame, path: str, schema: T.StructType, partition_by: list[str] = (), mode: str = "append"
 ) -> None:
-    """Append (or overwrite) rows with the declared types."""
-    typed(df, schema).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    """Append rows with the declared types, or (``overwrite``) store them as the table's next version."""
+    rows = typed(df, schema)
+    if mode == "overwrite":
+        StoredTable(df.sparkSession, path).replace(rows, partition_by)
+    else:
+        rows.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def snapshot(df: DataFrame, path: str) -> None:
-    """Replace the stored copy of a cleaned sheet."""
-    df.write.mode("overwrite").parquet(path)
+    """Replace the stored copy of a cleaned sheet, which the frame may read.
+
+    The first copy is plain files, later ones are versions beside them: ``versions.stored`` reads the current one.
+    """
+    table = StoredTable(df.sparkSession, path)
+    if table.version is None:
+        df.write.parquet(path)
+    else:
+        table.replace(df)
 
 
 def csv_report(df: DataFrame, path: str) -> None:

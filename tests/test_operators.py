@@ -240,3 +240,25 @@ def test_headers_and_synonyms(frame):
     assert shape.fix_headers(["Air Temp", "Air Temp", "# SMB c", "# SMB c", "a", "a", "a_2"], ("c", "r")) == [
         "air_temp", "air_temp_2", "no_smb_c", "no_smb_r", "a", "a_3", "a_2"]
     assert shape.coalesce_synonyms(frame("x int", (1,)), {"y": ["z"]}).first().asDict() == {"x": 1, "y": None}
+
+
+def test_full_join_in_one_exchange(spark, frame):
+    parts = [spark.range(50).select((F.col("id") % 50).alias("k"), (F.col("id") + i).alias("n")).where(F.col("id") % (i + 2) == 0) for i in range(6)]
+    parts.append(frame("k long, m string", (None, "no key"), (7, None), (90, "z")))
+    got = joins.full_join_all(parts, ["k"])
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    chain = parts[0]
+    for part in parts[1:]:
+        chain = joins.join_on(chain, part, ["k"], "full")
+    assert got.columns == chain.columns and values(got) == values(chain)
+    with pytest.raises(Exception, match="several rows of one key"):
+        joins.full_join_all([parts[0], parts[1].union(parts[1])], ["k"]).collect()
+    several = joins.natural_full_join_all([frame("k int, a int", (1, 1), (1, 2)), frame("k int, b int", (1, 3))], unique=False)
+    assert several.count() == 2
+
+
+def test_stacked_groups_of_a_hot_key(spark):
+    many = spark.range(20_000).select(F.lit(1).alias("k"), F.when(F.col("id") > 10, F.col("id")).alias("v"), "id")
+    few = spark.range(3).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("v"))
+    got = joins.stacked_groups([(many, "id"), (few, None)], ["k"])
+    assert got.columns == ["k", "v_x", "v_y"] and values(got) == [(0, None, 0), (1, 11, 2), (2, None, 4)]
