@@ -13,7 +13,8 @@ from fieldlab.functions.numbers import to_number
 from fieldlab.session import fresh_path
 from fieldlab.sources.delimited import SOURCE_COLUMNS, scan_delimited, scan_forms
 from fieldlab.sources.sinks import append_table, csv_export, csv_report, snapshot
-from fieldlab.sources.versions import stored
+from fieldlab.sources.ledger import ingest
+from fieldlab.sources.versions import StoredTable, stored
 from fieldlab.sources.tables import key_sightings, profile_tables, tables_like
 
 TABLES = (
@@ -44,6 +45,26 @@ def scan_landed_forms(t):
     return sheet.withColumnRenamed("_form", "form").drop(*SOURCE_COLUMNS)
 
 
+@query("s1_ledger", """
+SELECT CAST(o_orderkey AS VARCHAR) AS survey, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS site,
+  CASE WHEN o_orderstatus = 'O' THEN 'late' WHEN o_orderstatus = 'P' THEN 'changed' END AS note FROM orders""")
+def ingest_what_is_new(t):
+    """Three runs over a growing folder: first files, then new and changed ones, then nothing."""
+    root, part = fresh_path(t.spark), lambda status: t.orders.filter(F.col("o_orderstatus") == status)
+    key = F.col("o_orderkey").alias("Survey")
+    target, noted = StoredTable(t.spark, f"{fresh_path(t.spark)}"), StoredTable(t.spark, f"{fresh_path(t.spark)}")
+    csv_report(part("F").select(key, F.col("o_orderpriority").alias("Site")), f"{root}/a")
+    csv_report(part("P").select(key, F.lit("first").alias("Note")), f"{root}/b")
+    runs = [ingest(t.spark, root, target, noted)]
+    csv_report(part("O").select(key, F.lit("late").alias("Note")), f"{root}/c")
+    csv_report(part("P").select(key, F.lit("changed").alias("Note")), f"{root}/b2")
+    gone = F.element_at(F.split("_file", "/"), -2) == "b"
+    runs += [ingest(t.spark, root, target, noted), ingest(t.spark, root, target, noted)]
+    if runs[-1]:
+        raise RuntimeError("a file was read again")
+    return target.delete_where(gone).read().select("survey", "site", "note")
+
+
 @query("s3_scan_delimited", """
 SELECT event_id, CASE WHEN event_type IN ('click', 'view') THEN user_id END AS transmitter,
   event_type AS station_name,

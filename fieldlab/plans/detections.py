@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldlab.functions.geo import ddm_to_degrees, west_negative
@@ -11,6 +11,7 @@ from fieldlab.functions.times import serial_date
 from fieldlab.operators.aggregates import keep_first, ranked_counts
 from fieldlab.operators.joins import mapped_once, merge_inner
 from fieldlab.operators.shape import fix_headers
+from fieldlab.operators.skew import ranked
 from fieldlab.sources.workbooks import labelled_value, promote_header
 
 # Fixed value: longitudes west of this are outside the study area.
@@ -91,6 +92,5 @@ def activity(detections: DataFrame, moment: str, station: str, transmitter: str)
     ]
     long = base.select(F.inline(F.array(*parts)), "n")
     counted = long.groupBy("report", "value", "transmitter").agg(F.sum("n").alias("n"))
-    # Reports are ranked by size; one row per distinct value is left by now.
-    place = F.rank().over(Window.partitionBy("report").orderBy(F.desc("n")))
-    return counted.withColumn("rank", place.cast("long"))
+    # One row per distinct value is left by now; ranks come from an ordered scan over the distinct counts.
+    return ranked(counted, ["report"], "-n", "rank")

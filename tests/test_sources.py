@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 from conftest import values
 from fieldlab.operators.windows import renumber_within
 from fieldlab.session import scratch_dir
-from fieldlab.sources import delimited, sinks, tables, workbooks
+from fieldlab.sources import delimited, ledger, sinks, tables, workbooks
+from fieldlab.sources.versions import StoredTable
 
 
 def write(path, text):
@@ -49,6 +50,45 @@ def test_line_breaks_long_headers_and_odd_names(spark, frame, tmp_path):
     assert values(delimited.scan_delimited(spark, str(tmp_path / "report")).select("id", "t")) == values(texts)
 
 
+def test_many_header_versions_are_one_scan(spark, tmp_path):
+    for i in range(40):
+        write(tmp_path / f"{i}.csv", f"n,extra {i}\n{i},x\n")
+    got = delimited.scan_delimited(spark, str(tmp_path))
+    assert len(got.columns) == 44 and got._jdf.queryExecution().optimizedPlan().toString().count("csv") == 1
+    assert values(got.where("n = 7").select("n", "extra_7", "extra_8")) == [("7", "x", None)]
+
+
+def test_only_files_with_quoted_breaks_are_read_whole(spark, tmp_path):
+    write(tmp_path / "plain.csv", "a,b\n" + "".join(f"{i},\"x, y\"\n" for i in range(20_000)))
+    write(tmp_path / "broken.csv", 'b,a\n"one\ntwo",1\nthree,2\n')
+    write(tmp_path / "empty.csv", "")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        got = delimited.scan_delimited(spark, str(tmp_path))
+        assert got.where("b = 'x, y'").count() == 20_000 and got.where("_file LIKE '%plain%'").select("_block").distinct().count() > 2
+        assert values(got.where("_file LIKE '%broken%'").select("a", "b")) == [("1", "one\ntwo"), ("2", "three")]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_ledger_reads_new_and_changed_files_only(spark, tmp_path):
+    root, target, noted = tmp_path / "in", StoredTable(spark, f"{tmp_path}/t"), StoredTable(spark, f"{tmp_path}/l")
+    write(root / "x" / "a b.csv", "k,v\n1,a\n2,b\n")
+    write(root / "b.csv", "k\n3\n")
+    assert ledger.ingest(spark, str(root), target, noted) == 2 and ledger.ingest(spark, str(root), target, noted) == 0
+    opened = (root / "x" / "a b.csv").stat().st_atime_ns
+    write(root / "b.csv", "k,w\n4,new\n5,new\n")
+    write(root / "c.csv", "v,k\nc,6\n")
+    assert ledger.ingest(spark, str(root), target, noted) == 2
+    assert (root / "x" / "a b.csv").stat().st_atime_ns == opened
+    want = [("1", "a", None), ("2", "b", None), ("4", None, "new"), ("5", None, "new"), ("6", "c", None)]
+    assert values(target.read().select("k", "v", "w")) == want
+    # A run that broke off before the files were noted is made good by the next one.
+    noted.replace(noted.read().where("file NOT LIKE '%c.csv'"))
+    assert ledger.ingest(spark, str(root), target, noted) == 1 and values(target.read().select("k", "v", "w")) == want
+
+
 def test_scan_forms_stacks_all_sheet_names(spark, tmp_path):
     write(tmp_path / "June 1" / "Main Data" / "p.csv", "Survey #,# SMB c,# SMB c\n1,2,0\n")
     write(tmp_path / "June 2" / "Main Data" / "p.csv", "Survey #,Wind\n1,5-10\n")
