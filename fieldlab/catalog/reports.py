@@ -166,24 +166,45 @@ def catch_reconciliation(t):
 
 _REPORT_PART = """SELECT '{0}' AS sheet, variable, count(*) AS n, count(value) AS present, count(try_cast(value AS DOUBLE)) AS converted
 FROM ({1}) GROUP BY 2"""
+#: All columns of the four sheets and the type in which they become text, if not their own.
+_SHEET_COLUMNS = {
+    "main": ("orders", "o_orderdate", {"o_orderkey": "", "o_custkey": "", "o_orderstatus": "", "o_totalprice": "DECIMAL(18, 2)", "o_orderdate": "DATE", "o_orderpriority": ""}),
+    "demography": ("customer", None, {"c_custkey": "", "c_name": "", "c_nationkey": "", "c_acctbal": "DECIMAL(18, 2)", "c_mktsegment": ""}),
+    "fish": ("lineitem", "l_shipdate", {
+        "l_orderkey": "", "l_partkey": "", "l_suppkey": "", "l_linenumber": "", "l_quantity": "DECIMAL(18, 2)", "l_extendedprice": "DECIMAL(18, 2)",
+        "l_discount": "", "l_tax": "", "l_returnflag": "", "l_linestatus": "", "l_shipdate": "DATE"}),
+    "counts": ("events", "ts", {"event_id": "", "ts": "DATE", "user_id": "", "event_type": "", "value": "DECIMAL(18, 4)", "props": ""}),
+}
+#: Cells of the fish sheet that are not as they should be: the discount of returned lines, taxes of closed ones.
+_ODD_CELLS = {
+    "l_discount": "CASE WHEN l_returnflag = 'R' THEN 'n/a' ELSE CAST(l_discount AS {0}) END",
+    "l_tax": "CASE WHEN l_linestatus = 'O' THEN NULL ELSE concat(CAST(l_linenumber AS {0}), 'f') END",
+}
+
+
+def _cell(column: str, kind: str, text: str) -> str:
+    """SQL of a cell as text, for Spark (STRING) and for the oracle (VARCHAR)."""
+    return _ODD_CELLS.get(column, f"CAST({f'CAST({column} AS {kind})' if kind else column} AS {{0}})").format(text)
+
+
 _SHEETS = {
-    sheet: f"SELECT date, unnest({columns}) AS variable, unnest([{', '.join(f'CAST({c} AS VARCHAR)' for c in columns)}]) AS value FROM {source}"
-    for sheet, columns, source in (
-        ("main", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"], "(SELECT *, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date FROM orders)"),
-        ("demography", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"], "(SELECT *, NULL::VARCHAR AS date FROM customer)"),
-        ("fish", ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax"], f"(SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM {_TEXT_LINES})"),
-        ("counts", ["event_id", "user_id", "event_type", "props"], "(SELECT *, CAST(CAST(ts AS DATE) AS VARCHAR) AS date FROM events)"),
-    )
+    sheet: f"SELECT {f'CAST(CAST({day} AS DATE) AS VARCHAR)' if day else 'NULL::VARCHAR'} AS date, unnest({list(columns)}) AS variable, "
+    f"unnest([{', '.join(_cell(c, kind, 'VARCHAR') for c, kind in columns.items())}]) AS value FROM {source}"
+    for sheet, (source, day, columns) in _SHEET_COLUMNS.items()
 }
 
 
 def _sheets(t):
-    """The four sheets as text, with all their columns of whole numbers and text."""
+    """The four sheets as text with all their columns, and the names of these."""
     return {
-        "main": (shape.as_text(t.orders.withColumn("date", F.to_date("o_orderdate"))), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]),
-        "demography": (shape.as_text(t.customer.withColumn("date", F.lit(None).cast("date"))), ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]),
-        "fish": (shape.as_text(text_lines(t)), ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax"]),
-        "counts": (shape.as_text(t.events.withColumn("date", F.to_date("ts"))), ["event_id", "user_id", "event_type", "props"]),
+        sheet: (
+            t.table(source).select(
+                F.to_date(day).cast("string").alias("date") if day else F.lit(None).cast("string").alias("date"),
+                *[F.expr(_cell(c, kind, "STRING")).alias(c) for c, kind in columns.items()],
+            ),
+            list(columns),
+        )
+        for sheet, (source, day, columns) in _SHEET_COLUMNS.items()
     }
 
 
