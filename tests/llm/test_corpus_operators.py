@@ -328,10 +328,11 @@ def test_chains_prefer_order():
     assert [c.tolist() for c in passages.chains_of(pos, src)] == [[0, 1, 3, 4]]
 
 
-def test_whole_passage_between_its_parts(frame):
+@pytest.mark.parametrize(("head", "tail"), [(30, 30), (47, 13), (40, 20)])
+def test_whole_passage_between_its_parts(frame, head, tail):
     """Its parts are in documents that come first and just before; only document 10 has the whole passage."""
     words = invented(1, 60).split()
-    parts = {1: words[:30], 15: words[:30], 2: words[30:], 16: words[30:], 10: words, 20: words}
+    parts = {1: words[:head], 15: words[:head], 2: words[tail:], 16: words[tail:], 10: words, 20: words}
     texts = {i: " ".join([invented(100 + i, 70), *p, invented(200 + i, 70)]) for i, p in parts.items()}
     found = passages.repeated(frame(DOCS, *((i, t, 1, "x") for i, t in texts.items()))).collect()
     # Brute force: places of the later documents whose 50 words an earlier one has.
@@ -358,7 +359,7 @@ def test_every_copy_of_an_earlier_passage(frame, monkeypatch):
     assert spans == {(r["doc_id"], r["first_word"], r["end_word"]) for r in passages.repeated(docs).collect()}
 
 
-@pytest.mark.parametrize(("size", "identity", "least"), [(50, 0.83, 0.9), (50, 0.9, 0.95), (60, 0.83, 0.95), (120, 0.83, 0.95)])
+@pytest.mark.parametrize(("size", "identity", "least"), [(50, 0.8, 0.9), (60, 0.8, 0.93), (50, 0.83, 0.9), (50, 0.9, 0.95), (60, 0.83, 0.95), (120, 0.83, 0.95)])
 def test_recall_of_fuzzy_passages(frame, size, identity, least):
     """Evenly spread substitutions, first and last word equal."""
     rows, trials = [], 100
