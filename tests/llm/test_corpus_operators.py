@@ -345,6 +345,20 @@ def test_whole_passage_between_its_parts(frame, head, tail):
     assert got == expected and len(expected[20]) == 60
 
 
+def test_equal_chains_do_not_depend_on_their_order(frame, tmp_path, monkeypatch):
+    """Document 9 has its passage from 1 and 8, equally long; whichever pair arrives first in a part, the first source is told."""
+    monkeypatch.setattr(passages, "PARTS", 1)
+    p = invented(1, 60)
+    docs = frame(DOCS, *((i, f"{invented(10 + i, 30)} {p if i < 3 or i > 7 else ''} {invented(20 + i, 30)}", 1, "x") for i in range(1, 10)))
+    keyed = passages._keyed(docs, "doc_id", "text")
+    words = passages.hashed_words(keyed)
+    pairs = passages.chains(passages.links(passages.seeds(keyed)))
+    passages.with_source_words(words, pairs).write.parquet(f"{tmp_path}/sourced")
+    sourced = docs.sparkSession.read.parquet(f"{tmp_path}/sourced")
+    found = [values(passages.passages_of(words, sourced.coalesce(1).orderBy(order))) for order in (F.asc("src"), F.desc("src"))]
+    assert found[0] == found[1] and {r[4] for r in found[0] if r[0] == 9} == {1}
+
+
 def test_every_copy_of_an_earlier_passage(frame, monkeypatch):
     p, q = invented(1, 60), invented(2, 60).split()
     texts = {
