@@ -29,21 +29,34 @@ FORMATS = {
 FIRST_SERIAL, LAST_SERIAL = -693593, 2958465
 
 
-def _serial(c: Column | str) -> Column:
-    """A spreadsheet day number, null if it is no number or out of range."""
-    x = to_number(c)
-    return F.when((x >= FIRST_SERIAL) & (x < LAST_SERIAL + 1), x)
+def serial_number(c: Column | str) -> Column:
+    """A spreadsheet day number (text or numeric), null if it is no number or out of range.
+
+    The text is bound by an array of one, so that it is read once, not once for each comparison.
+    """
+    within = lambda x: F.when((x >= FIRST_SERIAL) & (x < LAST_SERIAL + 1), x)
+    return F.get(F.transform(F.array(to_number(c)), within), F.lit(0))
+
+
+def date_of_serial(x: Column | str) -> Column:
+    """Date of a day number as ``serial_number`` gives it; day 0 is 1899-12-30."""
+    return F.date_add(F.lit("1899-12-30").cast("date"), F.floor(as_column(x)).cast("int"))
+
+
+def seconds_of_serial(x: Column | str) -> Column:
+    """Fraction of a day number as ``serial_number`` gives it, as seconds of the day."""
+    x = as_column(x)
+    return F.round((x - F.floor(x)) * SECONDS_PER_DAY).cast("int")
 
 
 def serial_date(c: Column | str) -> Column:
     """Spreadsheet day number (text or numeric) to date; day 0 is 1899-12-30. Out of range: null."""
-    return F.date_add(F.lit("1899-12-30").cast("date"), F.floor(_serial(c)).cast("int"))
+    return date_of_serial(serial_number(c))
 
 
 def serial_seconds(c: Column | str) -> Column:
     """Fraction of a spreadsheet day number as seconds of the day. Out of range: null."""
-    x = _serial(c)
-    return F.round((x - F.floor(x)) * SECONDS_PER_DAY).cast("int")
+    return seconds_of_serial(serial_number(c))
 
 
 def parse_date(c: Column | str, order: str) -> Column:

@@ -3,15 +3,17 @@
 A Spark window sends all rows of a group to one task. Here the rows are first cut into consecutive *pieces* of their whole order
 (group, then order inside it), so a large group spans many pieces and a task gets pieces, not groups:
 
-1. *Bounds.* Of the distinct keys, those whose hash falls on a stride are kept, about ``_SAMPLE`` per piece; the stride comes from a
-   distinct count by sketch. The kept keys, sorted, are cut at equal distances. Bounds are a scalar sub-query and a pure function
+0. *Large groups.* The rows of each group are counted. Only a group with more rows than a shuffle partition holds on average is cut; there
+   are fewer such groups than partitions. All other groups stay whole, as in a plain window, and need no bounds.
+1. *Bounds.* Of the distinct keys of large groups, those whose hash falls on a stride are kept, about ``_SAMPLE`` per piece; the stride comes
+   from a distinct count by sketch. The kept keys, sorted, are cut at equal distances. Bounds are a scalar sub-query and a pure function
    of the rows: recomputed tasks and pruned branches of a plan place every row alike. They only balance, they decide no result.
 2. *Windows* run inside each piece and group.
 3. *Carried state.* Totals are summed up per piece and group with partial sums on the map side. A group that spans pieces is the
    first or the last one of each of its pieces, so two rows per piece are left; a window over these gives what
    each piece takes over from earlier (or later) pieces. That table is broadcast; its size is bounded by the number of pieces.
 
-No job starts while a plan is built. Nothing depends on row counts or budgets.
+No job starts while a plan is built. Row counts and bounds only decide where rows are put.
 
 An order is a list of column names; a leading ``-`` means descending. Nulls sort last. Rows with equal keys stay in one piece; where
 keys cover all columns, so that equal rows are copies, copies are counted first and written out in chunks.
@@ -27,6 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _PIECE = "_piece"
+#: The piece of rows whose group stays whole.
+_WHOLE = -1
 #: Pieces per shuffle partition, and sampled keys per piece.
 _PIECES, _SAMPLE = 2, 50
 #: Characters of a last text that a bound holds; texts that begin alike so far stay in one piece, where they are sorted in full.
@@ -103,27 +107,58 @@ def piece_count(df: DataFrame) -> int:
     return _PIECES * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def bounds(keys: DataFrame, order: list[str]) -> Column:
-    """The keys at which pieces begin, as a scalar sub-query; ``keys`` is any frame with the order's keys."""
+def bounds(keys: DataFrame, order: list[str], counted: DataFrame | None = None) -> Column:
+    """The keys at which pieces begin, as a scalar sub-query; ``keys`` is any frame with the order's keys, ``counted`` another for their number."""
     n = piece_count(keys)
     key = ordered_key(keys, order)
     hashed = keys.select(F.expr(f"{key} AS _key"), F.expr(f"xxhash64({key}) AS _hash"))
-    distinct = hashed.select(F.expr("approx_count_distinct(_hash)")).scalar()
-    kept = hashed.where(F.col("_hash") % F.greatest(F.lit(1), F.floor(distinct / (n * _SAMPLE))) == 0).select("_key").distinct()
-    found = kept.select(F.expr("array_sort(collect_list(_key)) AS _s"))
+    distinct = (keys if counted is None else counted).select(F.expr(f"approx_count_distinct(xxhash64({key}))")).scalar()
+    # Kept inside the aggregate: a filter would be pushed below and work out the key's columns anew for every place it names them.
+    kept = F.when(F.col("_hash") % F.greatest(F.lit(1), F.floor(distinct / (n * _SAMPLE))) == 0, F.col("_key"))
+    found = hashed.agg(F.collect_set(kept).alias("_s")).select(F.array_sort("_s").alias("_s"))
     cut = f"array_distinct(transform(sequence(1, {n - 1}), i -> _s[CAST(floor(i * size(_s) / {n}) AS INT)]))"
     return found.selectExpr(f"CASE WHEN size(_s) > 0 THEN {cut} END AS _b").scalar()
 
 
-def with_pieces(df: DataFrame, order: list[str], keys: DataFrame | None = None, at: Column | None = None) -> DataFrame:
-    """The frame with ``_piece``: consecutive pieces of the order, numbered from 0."""
+def with_pieces(
+    df: DataFrame, order: list[str], keys: DataFrame | None = None, at: Column | None = None, where: str | None = None
+) -> DataFrame:
+    """The frame with ``_piece``: consecutive pieces of the order, numbered from 0; ``_WHOLE`` for rows on which ``where`` is not true."""
     at = bounds(df if keys is None else keys, order) if at is None else at
     # Count the bounds up to a row's key by halving; a place past the last bound is null, which is never before a row. The key is
     # bound by an array of one, so that it is made once per row.
     steps = ", ".join(str(2**i) for i in reversed(range(piece_count(df).bit_length())))
     before = f"aggregate(array({steps}), 0, (n, step) -> n + IF(get(_bounds, n + step - 1) <= k, step, 0))"
     placed = df.withColumn("_bounds", at)
-    return placed.select(*[quoted(c) for c in df.columns], F.expr(f"transform(array({ordered_key(df, order)}), k -> {before})[0] AS {_PIECE}"))
+    piece = f"transform(array({ordered_key(df, order)}), k -> {before})[0]"
+    if where is not None:
+        piece = f"CASE WHEN {quoted(where)} THEN {piece} ELSE {_WHOLE} END"
+    return placed.select(*[quoted(c) for c in df.columns], F.expr(f"{piece} AS {_PIECE}"))
+
+
+def large_groups(keys: DataFrame, by: list[str], least: int = 1) -> DataFrame:
+    """The groups with more rows than a shuffle partition holds on average, ``least`` at least; fewer than there are partitions."""
+    n = keys.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+    more = F.col("_rows") * (piece_count(keys) // _PIECES) > n.agg(F.sum("_rows")).scalar()
+    return n.where(more & (F.col("_rows") >= least)).select(*by)
+
+
+def _cut(df: DataFrame, by: list[str], order: list[str], source: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The frame with ``_piece``, and the rows of its large groups, or of those of ``source``, with it.
+
+    The rows of other groups have the piece ``_WHOLE``, and take over nothing.
+    """
+    keys = [*by, *order]
+    source = df if source is None else source
+    if not by:
+        at = bounds(source, keys)
+        return with_pieces(df, keys, at=at), with_pieces(source, keys, at=at)
+    # Where no group is large, adaptive execution spares the scans for bounds and totals, but not if they share a broadcast that is
+    # there already. Least sizes tell their broadcasts apart; bounds may leave out small groups, as they only balance.
+    cut, sampled, counted = (null_safe_join(source, F.broadcast(large_groups(source, by, k)), by, "left_semi") for k in (1, 2, 3))
+    at = bounds(sampled, keys, counted)
+    marked = null_safe_join(df, F.broadcast(large_groups(source, by).withColumn("_cut", F.lit(True))), by, "left")
+    return with_pieces(marked, keys, at=at, where="_cut").drop("_cut"), with_pieces(cut, keys, at=at)
 
 
 def _taken_over(pieces: DataFrame, by: list[str], totals: list[Column], over: Callable) -> DataFrame:
@@ -141,9 +176,9 @@ def _taken_over(pieces: DataFrame, by: list[str], totals: list[Column], over: Ca
     return table.select(_PIECE, *by, *over(before, after))
 
 
-def _with_state(pieces: DataFrame, by: list[str], totals: list[Column], over: Callable, source: DataFrame | None = None) -> DataFrame:
-    """Rows with the state that their piece takes over; at most two rows per piece are broadcast."""
-    table = _taken_over(pieces if source is None else source, by, totals, over)
+def _with_state(pieces: DataFrame, by: list[str], totals: list[Column], over: Callable, source: DataFrame) -> DataFrame:
+    """Rows with the state that their piece takes over, from the pieces of ``source``; at most two rows per piece are broadcast."""
+    table = _taken_over(source, by, totals, over)
     return null_safe_join(pieces, F.broadcast(table), [_PIECE, *by], "left")
 
 
@@ -159,10 +194,7 @@ def numbered(df: DataFrame, by: list[str], order: list[str], into: str, source:
     by = list(by)
     if source is None and {*by, *(c.lstrip("-") for c in order)} == set(df.columns):
         return _numbered_copies(df, by, order, into)
-    keys = [*by, *order]
-    at = bounds(df if source is None else source, keys)
-    pieces = with_pieces(df, keys, at=at)
-    totals = pieces if source is None else with_pieces(source, keys, at=at)
+    pieces, totals = _cut(df, by, order, source)
     full = _with_state(
         pieces.withColumn(into, F.row_number().over(_window(by, order)).cast("long")), by, [F.count(F.lit(1)).alias("_n")],
         lambda before, after: [F.sum("_n").over(before).alias("_offset")], source=totals,
@@ -190,10 +222,7 @@ def running_sum(
     need no shuffle for it.
     """
     by = list(by)
-    keys = [*by, *order]
-    at = bounds(df if source is None else source, keys)
-    pieces = with_pieces(df, keys, at=at)
-    rows = pieces if source is None else with_pieces(source, keys, at=at)
+    pieces, rows = _cut(df, by, order, source)
     total = F.sum(value).over(_window(by, order).rowsBetween(Window.unboundedPreceding, 0))
     full = _with_state(
         pieces.withColumn(into, total), by, [(F.count(F.lit(1)) if count else F.sum(value)).alias("_n")],
@@ -212,14 +241,14 @@ def running(df: DataFrame, by: list[str], order: list[str], columns: dict[str, t
     The order must be unique. All columns share one scan.
     """
     by = list(by)
-    pieces = with_pieces(df, [*by, *order])
+    pieces, cut = _cut(df, by, order)
     rows = _window(by, order).rowsBetween(Window.unboundedPreceding, 0)
     local = {into: F.expr(f"{kind}({quoted(value)})").over(rows) for into, (kind, value) in columns.items()}
     totals = [F.expr(f"{kind}({quoted(value)}) AS {quoted('_of_' + into)}") for into, (kind, value) in columns.items()]
     full = _with_state(
         pieces.withColumns(local), by, totals,
         lambda before, after: [F.expr(f"{kind}({quoted('_of_' + into)})").over(before).alias(f"_far_{into}") for into, (kind, _) in columns.items()],
-        source=pieces,
+        source=cut,
     )
     ends = {into: F.expr(_JOINED[kind].format(quoted(into), quoted(f"_far_{into}"))) for into, (kind, _) in columns.items()}
     return full.withColumns(ends).drop(_PIECE, *[f"_far_{into}" for into in columns])
@@ -233,7 +262,7 @@ def carried(
     ``down`` looks at earlier rows, ``up`` at later ones. All directions share one shuffle.
     """
     by = list(by)
-    pieces = with_pieces(df, [*by, *order])
+    pieces, cut = _cut(df, by, order)
     window = _window(by, order)
     earlier = window.rowsBetween(Window.unboundedPreceding, 0)
     later = window.rowsBetween(0, Window.unboundedFollowing)
@@ -255,7 +284,7 @@ def carried(
         return [far[d](f"_{d}_{c}").alias(f"_far_{d}_{c}") for d in directions for c in columns]
 
     local = {f"_near_{d}_{c}": near[d](c) for d in directions for c in columns}
-    full = _with_state(pieces.withColumns(local), by, edges, over_pieces, source=pieces)
+    full = _with_state(pieces.withColumns(local), by, edges, over_pieces, source=cut)
     sources = lambda c: [f"_{w}_{d}_{c}" for d in directions for w in ("near", "far")]
     return full.withColumns({c: F.coalesce(*sources(c)) for c in columns}).select(df.columns)
 

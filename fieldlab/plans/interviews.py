@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from fieldlab.functions.numbers import to_number
 from fieldlab.functions.times import (
     at_clock,
+    date_of_serial,
     hours_between,
+    seconds_of_serial,
     serial_date,
+    serial_number,
     serial_seconds,
     shift_parts,
     undo_auto_date,
@@ -63,8 +66,9 @@ def clean_sheet(
     """
     if synonyms:
         raw = coalesce_synonyms(raw, synonyms)
-    day = serial_date(moment)
-    dated = raw.filter(day.isNotNull()).withColumns({"date": day, "time": at_clock(day, serial_seconds(moment))}).drop(moment)
+    told = raw.withColumn("_serial", serial_number(moment)).filter(F.col("_serial").isNotNull())
+    day = date_of_serial("_serial")
+    dated = told.withColumns({"date": day, "time": at_clock(day, seconds_of_serial("_serial"))}).drop(moment, "_serial")
     dated = dated.drop("survey_number")
     numbered = renumber_within(dated, "date", [order], "survey_number")
     return spread_collisions(numbered, "time", ["date", order], source=dated)

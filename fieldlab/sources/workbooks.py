@@ -114,10 +114,11 @@ def promote_header(cells: DataFrame, header_row: int = 1, names: list[str] | Non
         return F.max(F.when(is_header == 1, _first_column(lambda text: F.trim(text) == name)))
 
     place = [column_of(n).alias(f"_c{i}") for i, n in enumerate(names)]
-    places = lines.groupBy("file", "sheet").agg(F.max(is_header).alias("_header"), *place).dropna(subset=["_header"])
+    places = lines.groupBy("file", "sheet").agg(F.max(F.when(is_header == 1, F.col("row"))).alias("_header"), *place).dropna(subset=["_header"])
     fixed = fix_headers(names)
     values = [F.try_element_at("_line", F.col(f"_c{i}")).alias(n) for i, n in enumerate(fixed)]
-    wide = lines.join(places, ["file", "sheet"]).where(F.col("row") > header_row).select("file", "sheet", "row", *values)
+    # Compared with the header that was found, as a fixed row would be cut off before the lines are made, which then are made twice.
+    wide = lines.join(places, ["file", "sheet"]).where(F.col("row") > F.col("_header")).select("file", "sheet", "row", *values)
     return wide.dropna("all", subset=fixed)
 
 
