@@ -115,17 +115,19 @@ def identified(docs: DataFrame, dictionaries: list[tuple[str, bytes]], text: str
 
 
 def margins(docs: DataFrame, dictionaries: list[tuple[str, bytes]], doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> tuple[float, ...]:
-    """Least scores by length, from ``LENGTHS`` letters on: what the second bounded sample of labelled rows reaches.
+    """Least scores by length, from ``LENGTHS`` letters on: what the labelled rows reach that no dictionary was made of.
 
-    The sample holds the ``DOCS_PER_LANGUAGE`` rows per language that follow those of the dictionaries; for shorter lengths their
-    first letters are scored.
+    Every labelled row of ``LENGTHS[-1]`` characters or more counts, but the ``DOCS_PER_LANGUAGE`` first ones per language, which the
+    dictionaries hold. Their first letters are scored, for each length. Scores are quotients of small sizes, so that the exact
+    percentile counts few distinct values, however many rows there are.
     """
     rows = docs.where(F.col(lang).isNotNull() & (F.char_length(text) >= LENGTHS[-1]))
     narrow = rows.select(F.col(lang).alias("lang"), F.xxhash64(F.col(doc_id).cast("string")).alias("spread"), F.col(doc_id).alias("id"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("spread", "id"))
-    chosen = narrow.withColumn("rank", place).where(F.col("rank").between(DOCS_PER_LANGUAGE + 1, 2 * DOCS_PER_LANGUAGE))
-    ids = [r[0] for r in chosen.select("id").distinct().collect() if r[0] is not None]
-    texts = rows.where(F.col(doc_id).isin(ids)).select(F.substring(text, 1, CHARS_PER_DOC).alias("text"))
+    taught = narrow.withColumn("rank", place).where(F.col("rank") <= DOCS_PER_LANGUAGE)
+    ids = [r[0] for r in taught.select("id").distinct().collect() if r[0] is not None]
+    others = rows.where(F.col(doc_id).isNull() | ~F.col(doc_id).isin(ids))
+    texts = others.select(F.substring(text, 1, CHARS_PER_DOC).alias("text"))
     parts = [texts.select(F.lit(i).alias("length"), F.substring("text", 1, size + size // 2).alias("text")) for i, size in enumerate(LENGTHS)]
     scored = identified(parts[0].unionByName(parts[1]), dictionaries)
     found = dict(scored.groupBy("length").agg(F.percentile("score", F.lit(STRAY))).collect())

@@ -260,6 +260,25 @@ def test_unknown_and_narrow(frame):
     assert values(language.identified(asked, []).select("lang_pred").distinct()) == [("und",)]
 
 
+def test_margins_come_from_all_labelled_rows(frame):
+    words = {"en": "the house and the garden were green with trees ", "de": "das haus und der garten waren voller schöner bäume "}
+    n = 3 * language.DOCS_PER_LANGUAGE
+    plain = [(2 * i + k, words[lang] * 8, "s", lang, 0) for i in range(n) for k, lang in enumerate(["en", "de"])]
+    both = (words["en"] + words["de"]) * 4
+    columns = "doc_id long, text string, source string, lang string, n_chars long"
+    sure = frame(columns, *plain)
+    order = [(r["lang"], r["doc_id"]) for r in sure.orderBy(F.xxhash64(F.col("doc_id").cast("string"))).collect()]
+    late = {i for lang in words for i in [i for known, i in order if known == lang][2 * language.DOCS_PER_LANGUAGE :]}
+    mixed = [(i, both if i in late else text, source, lang, size) for i, text, source, lang, size in plain]
+    docs = frame(columns, *mixed)
+    taught = language.learned(sure)
+    # Only rows behind the first 128 of each language are mixed; the least margin has to follow them.
+    assert language.margins(docs, taught)[1] < language.margins(sure, taught)[1]
+    without_id = frame(columns, *mixed, *[(None, both, "s", "en", 0)] * 2)
+    assert len(language.margins(without_id, taught)) == 2
+    assert language.margins(docs.limit(0), taught) == (language.LEAST_MARGIN,) * 2
+
+
 def test_other_languages_are_rejected(spark):
     import random
 
