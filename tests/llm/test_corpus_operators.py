@@ -373,6 +373,18 @@ def test_every_copy_of_an_earlier_passage(frame, monkeypatch):
     assert spans == {(r["doc_id"], r["first_word"], r["end_word"]) for r in passages.repeated(docs).collect()}
 
 
+def test_shuffle_files_go_with_their_step(spark, frame, monkeypatch):
+    p = invented(1, 60)
+    docs = frame(DOCS, *((i, f"{invented(2 + i, 40)} {p} {invented(50 + i, 40)}", 1, "x") for i in range(20)))
+    blocks = lambda: {b for b in str(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()).split() if "shuffle_" in b}
+    before, left = blocks(), []
+    for name in ("with_source_words", "passages_of"):
+        step = getattr(passages, name)
+        monkeypatch.setattr(passages, name, lambda *a, step=step: (left.append(blocks() - before), step(*a))[1])
+    assert {r["doc_id"] for r in passages.repeated(docs).collect()} == set(range(1, 20))
+    assert left == [set(), set()]
+
+
 @pytest.mark.parametrize(("size", "identity", "least"), [(50, 0.8, 0.9), (60, 0.8, 0.93), (50, 0.83, 0.9), (50, 0.9, 0.95), (60, 0.83, 0.95), (120, 0.83, 0.95)])
 def test_recall_of_fuzzy_passages(frame, size, identity, least):
     """Evenly spread substitutions, first and last word equal."""
