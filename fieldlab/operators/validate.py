@@ -46,8 +46,16 @@ def failed_values(
 
 
 def values_by_day(df: DataFrame, day: str, columns: list[str]) -> DataFrame:
-    """Rows per column, date and value."""
-    return counts(to_long(df, [day], columns), "variable", day, "value")
+    """Rows per column, date and value.
+
+    Each column is read and counted on its own: a task's table then holds the values of one column, not of all at once, and a
+    value is compared with those of its column only. Of a stored table only the date is read repeatedly.
+    """
+    def one(c: str) -> DataFrame:
+        n = counts(df.select(day, F.col(c).cast("string").alias("value")), day, "value")
+        return n.select(F.lit(c).alias("variable"), day, "value", "n")
+
+    return reduce(DataFrame.unionByName, [one(c) for c in columns])
 
 
 def key_audit(df: DataFrame, keys: list[str]) -> DataFrame:

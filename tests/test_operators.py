@@ -262,3 +262,13 @@ def test_stacked_groups_of_a_hot_key(spark):
     few = spark.range(3).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("v"))
     got = joins.stacked_groups([(many, "id"), (few, None)], ["k"])
     assert got.columns == ["k", "v_x", "v_y"] and values(got) == [(0, None, 0), (1, 11, 2), (2, None, 4)]
+
+
+def test_values_by_day_count_one_column_at_a_time(frame):
+    df = frame("day string, a int, b string", ("d", 1, "1"), ("d", 1, None), (None, None, "x"), (None, None, "x"))
+    got = validate.values_by_day(df, "day", ["a", "b"])
+    assert values(got) == sorted(
+        [("a", "d", "1", 2), ("a", None, None, 2), ("b", "d", "1", 1), ("b", "d", None, 1), ("b", None, "x", 2)], key=str
+    )
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 2 and "Expand" not in plan
