@@ -29,13 +29,17 @@ FORMATS = {
 FIRST_SERIAL, LAST_SERIAL = -693593, 2958465
 
 
+def serial_numbers(c: Column | str) -> Column:
+    """An array of the spreadsheet day number (text or numeric); empty if it is no number or out of range."""
+    return F.filter(F.array(to_number(c)), lambda x: (x >= FIRST_SERIAL) & (x < LAST_SERIAL + 1))
+
+
 def serial_number(c: Column | str) -> Column:
     """A spreadsheet day number (text or numeric), null if it is no number or out of range.
 
     The text is bound by an array of one, so that it is read once, not once for each comparison.
     """
-    within = lambda x: F.when((x >= FIRST_SERIAL) & (x < LAST_SERIAL + 1), x)
-    return F.get(F.transform(F.array(to_number(c)), within), F.lit(0))
+    return F.get(serial_numbers(c), F.lit(0))
 
 
 def date_of_serial(x: Column | str) -> Column:

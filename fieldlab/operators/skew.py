@@ -136,14 +136,24 @@ def with_pieces(
     return placed.select(*[quoted(c) for c in df.columns], F.expr(f"{piece} AS {_PIECE}"))
 
 
-def large_groups(keys: DataFrame, by: list[str], least: int = 1) -> DataFrame:
-    """The groups with more rows than a shuffle partition holds on average, ``least`` at least; fewer than there are partitions."""
-    n = keys.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+def row_counts(df: DataFrame, *by: str) -> DataFrame:
+    """Rows of each group as ``_rows``, for the ``counts`` of several scans: their groups are made of these, so the rows are counted once."""
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def large_groups(keys: DataFrame, by: list[str], least: int = 1, counts: DataFrame | None = None) -> DataFrame:
+    """The groups with more rows than a shuffle partition holds on average, ``least`` at least; fewer than there are partitions.
+
+    ``counts`` are the ``row_counts`` of the same rows by ``by`` and other columns, if there are any.
+    """
+    n = row_counts(keys, *by) if counts is None else counts.groupBy(*by).agg(F.sum("_rows").alias("_rows"))
     more = F.col("_rows") * (piece_count(keys) // _PIECES) > n.agg(F.sum("_rows")).scalar()
     return n.where(more & (F.col("_rows") >= least)).select(*by)
 
 
-def _cut(df: DataFrame, by: list[str], order: list[str], source: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def _cut(
+    df: DataFrame, by: list[str], order: list[str], source: DataFrame | None = None, counts: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """The frame with ``_piece``, and the rows of its large groups, or of those of ``source``, with it.
 
     The rows of other groups have the piece ``_WHOLE``, and take over nothing.
@@ -155,9 +165,9 @@ def _cut(df: DataFrame, by: list[str], order: list[str], source: DataFrame | Non
         return with_pieces(df, keys, at=at), with_pieces(source, keys, at=at)
     # Where no group is large, adaptive execution spares the scans for bounds and totals, but not if they share a broadcast that is
     # there already. Least sizes tell their broadcasts apart; bounds may leave out small groups, as they only balance.
-    cut, sampled, counted = (null_safe_join(source, F.broadcast(large_groups(source, by, k)), by, "left_semi") for k in (1, 2, 3))
+    cut, sampled, counted = (null_safe_join(source, F.broadcast(large_groups(source, by, k, counts)), by, "left_semi") for k in (1, 2, 3))
     at = bounds(sampled, keys, counted)
-    marked = null_safe_join(df, F.broadcast(large_groups(source, by).withColumn("_cut", F.lit(True))), by, "left")
+    marked = null_safe_join(df, F.broadcast(large_groups(source, by, counts=counts).withColumn("_cut", F.lit(True))), by, "left")
     return with_pieces(marked, keys, at=at, where="_cut").drop("_cut"), with_pieces(cut, keys, at=at)
 
 
@@ -186,15 +196,18 @@ def _window(by: list[str], order: list[str]):
     return Window.partitionBy(_PIECE, *by).orderBy(*sort_columns(order))
 
 
-def numbered(df: DataFrame, by: list[str], order: list[str], into: str, source: DataFrame | None = None) -> DataFrame:
+def numbered(
+    df: DataFrame, by: list[str], order: list[str], into: str, source: DataFrame | None = None, counts: DataFrame | None = None
+) -> DataFrame:
     """Number rows 1..n inside each group (all rows if ``by`` is empty) in the given order.
 
     Bounds and totals read the frame again. Where it is costly, ``source`` names a cheaper one whose rows have the same keys.
+    ``counts`` are the ``row_counts`` of its rows by ``by`` and other columns, if several scans share them.
     """
     by = list(by)
     if source is None and {*by, *(c.lstrip("-") for c in order)} == set(df.columns):
         return _numbered_copies(df, by, order, into)
-    pieces, totals = _cut(df, by, order, source)
+    pieces, totals = _cut(df, by, order, source, counts)
     full = _with_state(
         pieces.withColumn(into, F.row_number().over(_window(by, order)).cast("long")), by, [F.count(F.lit(1)).alias("_n")],
         lambda before, after: [F.sum("_n").over(before).alias("_offset")], source=totals,

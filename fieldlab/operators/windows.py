@@ -9,9 +9,9 @@ from fieldlab.functions.times import plus_minutes
 from fieldlab.operators.skew import carried, numbered, running
 
 
-def renumber_within(df: DataFrame, day: str, order: list[str], into: str) -> DataFrame:
-    """Number surveys 1..n inside each date, in source order."""
-    return numbered(df, [day], order, into)
+def renumber_within(df: DataFrame, day: str, order: list[str], into: str, counts: DataFrame | None = None) -> DataFrame:
+    """Number surveys 1..n inside each date, in source order; ``counts`` as for ``numbered``."""
+    return numbered(df, [day], order, into, counts=counts)
 
 
 def run_ids(df: DataFrame, day: str, into: str) -> DataFrame:
@@ -27,14 +27,15 @@ def run_ids(df: DataFrame, day: str, into: str) -> DataFrame:
 
 
 def spread_collisions(
-    df: DataFrame, moment: str, order: list[str], minutes: int = 5, into: str | None = None, source: DataFrame | None = None
+    df: DataFrame, moment: str, order: list[str], minutes: int = 5, into: str | None = None, source: DataFrame | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Shift the k-th row with one timestamp by ``(k - 1) * minutes``; a single pass.
 
     A shifted row can meet another one; ``spread_apart`` leaves no two rows of a day together. ``source`` is a
-    cheaper frame whose rows have the same moments and order, if there is one.
+    cheaper frame whose rows have the same moments and order, if there is one; ``counts`` as for ``numbered``.
     """
-    spread = numbered(df, [moment], order, "_k", source)
+    spread = numbered(df, [moment], order, "_k", source, counts)
     moved = plus_minutes(moment, (F.col("_k") - 1) * minutes)
     return spread.withColumn(into or moment, moved).drop("_k")
 

@@ -12,7 +12,7 @@ from fieldlab.functions.times import (
     hours_between,
     seconds_of_serial,
     serial_date,
-    serial_number,
+    serial_numbers,
     serial_seconds,
     shift_parts,
     undo_auto_date,
@@ -21,6 +21,7 @@ from fieldlab.operators.aggregates import first_known, reconcile
 from fieldlab.operators.reshape import to_long
 from fieldlab.operators.sets import tagged
 from fieldlab.operators.shape import coalesce_synonyms, matching
+from fieldlab.operators.skew import row_counts
 from fieldlab.operators.windows import renumber_within, run_ids, spread_collisions
 
 
@@ -66,12 +67,14 @@ def clean_sheet(
     """
     if synonyms:
         raw = coalesce_synonyms(raw, synonyms)
-    told = raw.withColumn("_serial", serial_number(moment)).filter(F.col("_serial").isNotNull())
+    # Exploded, as a filter would be pushed below the column and read each text twice.
+    told = raw.withColumn("_serial", F.explode(serial_numbers(moment)))
     day = date_of_serial("_serial")
     dated = told.withColumns({"date": day, "time": at_clock(day, seconds_of_serial("_serial"))}).drop(moment, "_serial")
     dated = dated.drop("survey_number")
-    numbered = renumber_within(dated, "date", [order], "survey_number")
-    return spread_collisions(numbered, "time", ["date", order], source=dated)
+    counts = row_counts(dated, "date", "time")
+    numbered = renumber_within(dated, "date", [order], "survey_number", counts)
+    return spread_collisions(numbered, "time", ["date", order], source=dated, counts=counts)
 
 
 def question_table(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -149,3 +149,22 @@ def test_column_report(frame):
     assert values(report["failed"]) == [(1, "a", "x")]
     assert values(report["by_day"]) == [("a", 1, "1", 1), ("a", 1, "x", 1), ("a", 2, "1", 1)]
     assert report["profile"].select(F.col("converted")).first()[0] == 2
+
+
+def test_sheet_texts_are_read_once_and_counted_once(frame):
+    """A hot date, hot times, repeated texts and texts that are no date, against a plain window; each use of the sheet reads its texts once."""
+    texts = ["45292.25"] * 40 + ["45292.5"] * 30 + ["45293.25", "45293", " 45294 ", "x", "", None, "1e9", "-5.5"]
+    raw = frame("species string, date_time string, _seq int", *[("smb", text, i) for i, text in enumerate(texts)])
+    got = interviews.clean_sheet(raw)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # The rows, their counts, and the bounds and totals of the large groups of either numbering; a filter on what was read doubled each.
+    assert plan.count("RLIKE") == plan.count("explode(") and "isnotnull(get(" not in plan
+    kinds = {line.split("Aggregate ")[1].split("]")[0].split("#")[0] for line in plan.splitlines() if "count(1) AS _rows" in line}
+    assert kinds == {"[date"}
+    rows = values(got.select("_seq", "date", "survey_number", "time"))
+    first, second, third = (dt.date(2024, 1, day) for day in (1, 2, 3))
+    at = lambda day, hour, place: dt.datetime(day.year, day.month, day.day, hour) + dt.timedelta(minutes=5 * place)
+    told = [(i, first, i + 1, at(first, 6, i)) for i in range(40)] + [(i, first, i + 1, at(first, 12, i - 40)) for i in range(40, 70)]
+    told += [(70, second, 1, at(second, 6, 0)), (71, second, 2, at(second, 0, 0)), (72, third, 1, at(third, 0, 0))]
+    before = dt.date(1899, 12, 24)
+    assert rows == sorted([*told, (77, before, 1, at(before, 12, 0))], key=str)
