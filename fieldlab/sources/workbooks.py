@@ -87,11 +87,12 @@ def workbook_cells(spark: SparkSession, root: str, glob: str = "*.xlsx") -> Data
 def sheet_lines(cells: DataFrame) -> DataFrame:
     """One row per (file, sheet, row) with its cells as a map from column to text.
 
-    Everything below is made from these rows. Where a plan uses them more than once, Spark reuses their exchange, so the cells
-    are evaluated once.
+    Everything below is made from these rows. Where a plan uses them more than once, Spark reuses their exchange. The one after the
+    grouping is asked for, as the maps, which cost the most, would be gathered anew for every use otherwise; its keys are in another
+    order than the grouping's, as Spark leaves out an exchange that repeats one.
     """
     line = F.map_from_entries(F.collect_list(F.struct("col", "text"))).alias("_line")
-    return cells.groupBy("file", "sheet", "row").agg(line)
+    return cells.groupBy("file", "sheet", "row").agg(line).repartition("row", "file", "sheet")
 
 
 def _first_column(reads) -> Column:
@@ -117,8 +118,10 @@ def promote_header(cells: DataFrame, header_row: int = 1, names: list[str] | Non
     places = lines.groupBy("file", "sheet").agg(F.max(F.when(is_header == 1, F.col("row"))).alias("_header"), *place).dropna(subset=["_header"])
     fixed = fix_headers(names)
     values = [F.try_element_at("_line", F.col(f"_c{i}")).alias(n) for i, n in enumerate(fixed)]
-    # Compared with the header that was found, as a fixed row would be cut off before the lines are made, which then are made twice.
-    wide = lines.join(places, ["file", "sheet"]).where(F.col("row") > F.col("_header")).select("file", "sheet", "row", *values)
+    # Compared with the header that was found, as a fixed row would be cut off before the lines are made, which then are made twice;
+    # so would missing rows be, without the coalesce.
+    below = F.coalesce(F.col("row") > F.col("_header"), F.lit(False))
+    wide = lines.join(places, ["file", "sheet"]).where(below).select("file", "sheet", "row", *values)
     return wide.dropna("all", subset=fixed)
 
 

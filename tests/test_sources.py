@@ -178,3 +178,16 @@ def test_catalog_and_profile(spark, frame):
 
 def test_scratch_follows_the_session(spark):
     assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_lines_are_gathered_once(frame):
+    """Header, values and title of a sheet come from lines that were put together once."""
+    cells = frame(
+        workbooks.CELLS, ("f", "s", 1, 1, "North"), ("f", "s", 2, 1, "a"), ("f", "s", 2, 3, "b"), ("f", "s", 3, 1, "1"), ("f", "s", 3, 3, "2"),
+        ("f", "s", 4, 3, "3"), ("g", "s", 1, 1, "a"), (None, "s", 2, 1, "a"), (None, "s", 3, 1, "4"),
+    )
+    table = workbooks.with_title(workbooks.promote_header(cells, 2, ["a", "b"]), cells, 1, 1, "title")
+    assert values(table) == [("f", "s", 3, "1", "2", "North"), ("f", "s", 4, None, "3", "North")]
+    table.collect()
+    final = table._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("functions=[collect_list(") == 1
