@@ -74,8 +74,11 @@ def interview_view(t):
         F.col("o_orderkey").alias("survey"), F.to_date("o_orderdate").alias("date"), F.col("o_orderpriority").alias("site"),
         F.col("o_orderstatus").alias("time"),
     )
-    # Several fish, persons and answers per survey; all sheets have a time.
-    lines = t.lineitem.withColumnRenamed("l_orderkey", "survey").join(surveys.select(*on), "survey")
+    # Several fish, persons and answers per survey; all sheets have a time. Dealt out to a fixed number of tasks, as splits of files and
+    # merged partitions are cut by compressed bytes: one of them can hold many millions of such rows, which one task then sorts.
+    tasks = int(t.lineitem.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = t.lineitem.repartition(tasks, "l_orderkey")
+    lines = dealt.withColumnRenamed("l_orderkey", "survey").join(surveys.select(*on), "survey")
     place = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("_seq")
     back = F.struct(-F.col("l_linenumber"), "l_partkey", "l_suppkey", "l_extendedprice").alias("_seq")
     fish = lines.select(*on, F.col("l_partkey").alias("species"), F.col("l_quantity").alias("time"), place)
@@ -91,7 +94,7 @@ def interview_view(t):
         F.col("r_regionkey").alias("question_id"),
         F.when(F.col("r_regionkey") == 1, names[0]).otherwise(names[1]).alias("question"),
     )
-    return views.interview_view([surveys, fish, people, caught, t.supplier], on, questions, answers, names=names)
+    return views.interview_view([surveys.repartition(tasks, "survey"), fish, people, caught, t.supplier], on, questions, answers, names=names)
 
 
 # Raw main sheet built from orders: serial dates, fractional times, several rows per survey.

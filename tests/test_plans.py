@@ -168,3 +168,26 @@ def test_sheet_texts_are_read_once_and_counted_once(frame):
     told += [(70, second, 1, at(second, 6, 0)), (71, second, 2, at(second, 0, 0)), (72, third, 1, at(third, 0, 0))]
     before = dt.date(1899, 12, 24)
     assert rows == sorted([*told, (77, before, 1, at(before, 12, 0))], key=str)
+
+
+def test_interview_lines_are_dealt_out(spark, tmp_path):
+    """The rows of one file are spread over the tasks that sort them, whatever the size of a split."""
+    from fieldlab.catalog.reports import interview_view
+    from fieldlab.sources.tables import Store
+
+    day = "timestamp_ntz'1996-01-02 00:00:00'"
+    parts = {
+        "orders": f"id AS o_orderkey; {day} AS o_orderdate; concat('p', id % 3) AS o_orderpriority; 'O' AS o_orderstatus",
+        "lineitem": "id DIV 4 AS l_orderkey; CAST(id % 4 + 1 AS INT) AS l_linenumber; id AS l_partkey; id % 7 AS l_suppkey; 1.0D AS l_extendedprice; "
+        "CAST(id % 5 AS DOUBLE) AS l_quantity; 0.1D AS l_tax; CAST(id % 4 AS STRING) AS l_returnflag",
+        "supplier": "id AS s_suppkey", "region": "CAST(id AS INT) AS r_regionkey",
+    }
+    for name, columns in parts.items():
+        rows = {"orders": 50, "lineitem": 200, "supplier": 7, "region": 5}[name]
+        spark.range(0, rows, 1, 1).selectExpr(*columns.split("; ")).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = interview_view(Store(spark, str(tmp_path)))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    union = [line for line in plan.splitlines() if "RepartitionByExpression" in line]
+    assert len(union) == 5 and all(line.endswith(", 8") for line in union)
+    rows = values(got.select("survey", "site", "species", "person", "caught", "Why this location", "Clean, drain, dry"), "survey")
+    assert rows == [(i, f"p{i % 3}", 4 * i, (4 * i + 3) % 7, float(sum((4 * i + k) % 5 for k in range(4))), "0", "2") for i in range(50)]
