@@ -75,7 +75,8 @@ def interview_view(t):
         F.col("o_orderstatus").alias("time"),
     )
     # Several fish, persons and answers per survey; all sheets have a time. Dealt out to a fixed number of tasks, as splits of files and
-    # merged partitions are cut by compressed bytes: one of them can hold many millions of such rows, which one task then sorts.
+    # merged partitions are cut by compressed bytes: one of them can hold many millions of such rows, which one task then sorts. The
+    # surveys go in turn: dealt by key as well, all parts would meet in one task without the exchange that leaves a row per key.
     tasks = int(t.lineitem.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = t.lineitem.repartition(tasks, "l_orderkey")
     lines = dealt.withColumnRenamed("l_orderkey", "survey").join(surveys.select(*on), "survey")
@@ -94,7 +95,7 @@ def interview_view(t):
         F.col("r_regionkey").alias("question_id"),
         F.when(F.col("r_regionkey") == 1, names[0]).otherwise(names[1]).alias("question"),
     )
-    return views.interview_view([surveys.repartition(tasks, "survey"), fish, people, caught, t.supplier], on, questions, answers, names=names)
+    return views.interview_view([surveys.repartition(tasks), fish, people, caught, t.supplier], on, questions, answers, names=names)
 
 
 # Raw main sheet built from orders: serial dates, fractional times, several rows per survey.
