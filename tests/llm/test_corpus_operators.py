@@ -373,6 +373,66 @@ def test_every_copy_of_an_earlier_passage(frame, monkeypatch):
     assert spans == {(r["doc_id"], r["first_word"], r["end_word"]) for r in passages.repeated(docs).collect()}
 
 
+@pytest.mark.parametrize("kind", ["equal", "substituted", "shifted"])
+def test_passage_of_neither_the_first_nor_the_previous_document(frame, kind):
+    """All documents share a line of 12 words; only 10 and 20 have the words beside it, and all their other k-mers lie in others too."""
+    words = invented(1, 54).split()
+    other = list(words)
+    if kind != "equal":
+        other[4::13] = [f"edit{i}" for i in range(len(other[4::13]))]
+    if kind == "shifted":
+        other[34:34] = ["more"]
+    # Each k-mer of the passage is in documents that come first and just before, without the words beside it.
+    cuts = [words[a : a + 14] for a in (*range(0, 40, 6), 40)]
+    others = {k * 100 + j: cut for k in (0, 1) for j, cut in enumerate(cuts)}
+    parts = {(i + 1 if i < 100 else i): p for i, p in others.items()}
+    parts |= {20: words, 900: other}
+    texts = {i: " ".join([invented(1000 + i, 70), *parts[i], invented(3000 + i, 70)]) for i in sorted(parts)}
+    found = passages.repeated(frame(DOCS, *((i, t, 1, "x") for i, t in texts.items()))).collect()
+    assert {(r["doc_id"], r["source_id"]) for r in found} == {(900, 20)}
+    covered = {w for r in found for w in range(r["first_word"], r["end_word"])}
+    assert len(covered) >= len(other) - 4 and min(covered) >= 68 and max(covered) <= 72 + len(other)
+
+
+def test_strays_in_tiles_and_blocks(frame, monkeypatch):
+    """Small tiles and blocks lose no pair, whichever documents of a line share a passage; a null id comes first."""
+    line = invented(1, 10).split()
+    tails = {j: invented(300 + j, 46).split() for j in range(4)}
+    ids = [None, *range(1, 40)]
+    texts = {}
+    for k, i in enumerate(ids):
+        tail = tails.get({0: 0, 3: 1, 5: 2, 17: 1, 20: 0, 33: 2, 36: 1}.get(k), [])
+        # All k-mers of a tail are in many documents, each in a piece of its own.
+        pieces = [w for j in tails for w in [*tails[j][6 * (k % 7) : 6 * (k % 7) + 12], invented(5000 + 4 * k + j, 40)]]
+        texts[i] = " ".join([invented(500 + k, 70), *line, *tail, invented(600 + k, 70), *pieces])
+    docs = frame(DOCS, *((i, t, 1, "x") for i, t in texts.items()))
+    expected = {(20, None), (17, 3), (33, 5)}
+    got = []
+    for tile, block in ((8192, 512), (5, 3)):
+        monkeypatch.setattr(passages, "TILE", tile)
+        monkeypatch.setattr(passages, "BLOCK", block)
+        found = passages.repeated(docs).collect()
+        pairs = {(r["doc_id"], r["source_id"]) for r in found}
+        assert expected <= pairs and {d for d, _ in pairs} == {17, 20, 33, 36}
+        got.append(sorted({(r["doc_id"], r["first_word"], r["end_word"]) for r in found}))
+    assert got[0] == got[1]
+
+
+def test_strays_of_runs_over_batches_and_buckets(spark, frame):
+    """Every place of a k-mer of STRAY documents is a stray, however its run is cut into batches."""
+    rows = [(h << 2, d, 0, p) for h, many in ((1, 3), (2, 4), (3, 9), (4, 5000), (5, 2)) for d in range(many) for p in (5, 90)]
+    seeds = frame("hash long, doc_id long, n int, pos int", *rows)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in ("1", "3"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            got = {(r["src_pos"], r["doc_id"], r["pos"]) for r in passages.links(seeds, strays=True).where(passages._itself()).collect()}
+            assert got >= {(h >> 2, d, p) for h, d, _, p in rows if h >> 2 in (2, 3, 4)}
+            assert all(r["doc_id"] != r["src"] for r in passages.links(seeds).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_shuffle_files_go_with_their_step(spark, frame, monkeypatch):
     p = invented(1, 60)
     docs = frame(DOCS, *((i, f"{invented(2 + i, 40)} {p} {invented(50 + i, 40)}", 1, "x") for i in range(20)))
