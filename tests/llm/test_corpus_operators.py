@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SMALL, values
 from pyspark.sql import functions as F
@@ -433,6 +434,98 @@ def test_strays_of_runs_over_batches_and_buckets(spark, frame):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def stray_rows(docs):
+    """Tiles and links of strays of which no words are found yet."""
+    keyed = passages._keyed(docs, "doc_id", "text")
+    pairs = passages.chains(passages.links(passages.seeds(keyed), strays=True))
+    none = docs.limit(0).selectExpr("doc_id", "0 AS n", "0 AS first_word", "0 AS end_word")
+    tiled = passages.tiles(passages.hashed_words(keyed), passages.stray_places(pairs, none))
+    return tiled, passages.stray_links(tiled)
+
+
+def test_runs_of_a_word_give_each_link_once(frame):
+    """All places of runs of a word are strays; a pair of documents has their links once, not once for each pair of places."""
+    tail = invented(1, 30)
+    texts = {i: " ".join([invented(100 + i, 70), *["in"] * (34 + i), tail if i in (5, 9) else invented(200 + i, 30), invented(300 + i, 70)]) for i in range(12)}
+    docs = frame(DOCS, *((i, t, 1, "x") for i, t in texts.items()))
+    got = [tuple(r) for r in stray_rows(docs)[1].collect()]
+    assert {(r[0], r[3]) for r in got} >= {(9, 5)} and len(got) < 1.5 * len(set(got)) < 66 * 45 * 45
+    found = passages.repeated(docs).collect()
+    assert {(r["doc_id"], r["source_id"]) for r in found} == {(9, 5)}
+    covered = {w for r in found for w in range(r["first_word"], r["end_word"])}
+    assert covered >= set(range(70 + 43 - 39, 70 + 43 + 30)) and max(covered) < 70 + 43 + 30 + 8
+
+
+def test_places_without_a_pair_are_left_out(frame):
+    """Of places that are not open only those before an open one of another document are compared."""
+    texts = {i: f"{invented(1, 8)} {invented(10 + i, 60)}" for i in range(6)}
+    keyed = passages._keyed(frame(DOCS, *((i, t, 1, "x") for i, t in texts.items())), "doc_id", "text")
+    words = passages.hashed_words(keyed)
+    places = [(1, d, 0, 0, d == 3) for d in range(6)] + [(2, d, 0, 1, d == 0) for d in range(6)] + [(3, 4, 0, p, True) for p in range(3)]
+    tiled = passages.tiles(words, frame("key int, doc_id long, n int, pos int, open boolean", *places)).collect()
+    assert sorted((r["key"], r["doc_id"], r["open"]) for r in tiled) == [(1, 0, 0), (1, 1, 0), (1, 2, 0), (1, 3, 1)]
+
+
+def stray_places_of(texts, rows):
+    """Rows (tile, document, place, run, open) of documents given as lists of word hashes."""
+    m = passages.MARGIN
+    beside = [np.array(texts[d][max(0, p - m) : p + passages.SEED + m], np.uint16).tobytes() for _, d, p, _, _ in rows]
+    tile, doc, pos, run, open_ = (np.array(c) for c in zip(*rows))
+    same = np.zeros(len(rows), np.int32)
+    table = pa.table({
+        "lo": same, "hi": same, "part": same, "doc_id": doc, "n": same, "pos": pos.astype(np.int32), "run": run.astype(np.int32),
+        "open": open_.astype(np.int32), "beside": pa.array(beside, pa.binary()),
+    })
+    return passages._Places(table, tile)
+
+
+def test_compared_places(monkeypatch):
+    """Small and large tiles give the pairs that counting gives, but for those that go on from the pair before."""
+    rng = np.random.default_rng(3)
+    texts = [rng.choice(np.arange(1, 400) ** 2 % 4093, 150, p=(w := 1 / np.arange(1, 400)) / w.sum()) for _ in range(40)]
+    for t in texts[::2]:
+        t[60:95] = 7
+    rows = [(d % 3, d, p, int(p > 62), 1 + int(p > 62) if (d + p) % 3 else 0) for d in range(40) for p in (30, 62, 63, 64, 70)]
+    p = stray_places_of(texts, rows)
+    expected = set()
+    for t in range(len(rows)):
+        for s in range(len(rows)):
+            if p.tile[t] == p.tile[s] and p.doc[s] < p.doc[t] and p.open[t] and (p.open[t] < 2 or p.run[t] != p.run[s]):
+                mine, other = p.beside[t], p.beside[s]
+                met = np.isin(mine, other[other >= 0])[passages.LOW : passages.HIGH].astype(int)
+                likely = max(met[i : i + 50].sum() for i in range(len(met) - 49)) >= passages.LEAST_ALIKE
+                if likely and np.isin(other, mine[mine >= 0]).sum() >= passages.LEAST_ALIKE:
+                    expected.add((t, s))
+    assert len(expected) > 100
+    for block in (512, 7):
+        monkeypatch.setattr(passages, "BLOCK", block)
+        got = [(int(t), int(s)) for one, other in passages._alike(p) for t, s in zip(one, other)]
+        assert len(got) == len(set(got)) and set(got) == expected
+
+
+def test_places_of_passages_are_never_passed_over():
+    """Whatever is replaced, left out or put in, each common k-mer of a passage with IDENTITY tells that there may be one."""
+    rng = np.random.default_rng(4)
+    for trial in range(150):
+        size = int(rng.integers(50, 121))
+        source = rng.integers(1, 4000, size).tolist() if trial % 3 else [int(v) for v in np.repeat(rng.integers(1, 4000, size), 20)[:size]]
+        other, at, edits = [], [], 0
+        for i, word in enumerate(source):
+            if 4 < i < size - 5 and edits < 0.18 * size and rng.random() < 0.25:
+                edits += 1
+                other += ([9000 + i], [], [word, 9000 + i])[rng.integers(3)]
+            else:
+                at.append((len(other), i))
+                other.append(word)
+        if len(other) < 50:
+            continue
+        texts = [[*rng.integers(4000, 8000, 90), *source, *rng.integers(4000, 8000, 90)], [*rng.integers(4000, 8000, 90), *other, *rng.integers(4000, 8000, 90)]]
+        for k in range(len(at) - 3):
+            if at[k + 3] == (at[k][0] + 3, at[k][1] + 3):
+                p = stray_places_of(texts, [(0, 0, at[k][1] + 90, 0, 0), (0, 1, at[k][0] + 90, 0, 1)])
+                assert passages._passable(p, np.array([1]), np.array([0]))[0]
+
+
 def test_shuffle_files_go_with_their_step(spark, frame, monkeypatch):
     p = invented(1, 60)
     docs = frame(DOCS, *((i, f"{invented(2 + i, 40)} {p} {invented(50 + i, 40)}", 1, "x") for i in range(20)))
