@@ -113,9 +113,10 @@ def bounds(keys: DataFrame, order: list[str], counted: DataFrame | None = None)
     key = ordered_key(keys, order)
     hashed = keys.select(F.expr(f"{key} AS _key"), F.expr(f"xxhash64({key}) AS _hash"))
     distinct = (keys if counted is None else counted).select(F.expr(f"approx_count_distinct(xxhash64({key}))")).scalar()
-    # Kept inside the aggregate: a filter would be pushed below and work out the key's columns anew for every place it names them.
+    # Not a filter: it would be pushed below and work out the key's columns anew for every place it names them. Not an argument of the
+    # aggregate: over CSV lines the sub-query holds their numbers, which counts as not deterministic.
     kept = F.when(F.col("_hash") % F.greatest(F.lit(1), F.floor(distinct / (n * _SAMPLE))) == 0, F.col("_key"))
-    found = hashed.agg(F.collect_set(kept).alias("_s")).select(F.array_sort("_s").alias("_s"))
+    found = hashed.select(kept.alias("_kept")).agg(F.collect_set("_kept").alias("_s")).select(F.array_sort("_s").alias("_s"))
     cut = f"array_distinct(transform(sequence(1, {n - 1}), i -> _s[CAST(floor(i * size(_s) / {n}) AS INT)]))"
     return found.selectExpr(f"CASE WHEN size(_s) > 0 THEN {cut} END AS _b").scalar()
 
